@@ -9,6 +9,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import edits
+
+    return edits(table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import classify
+
+    return classify(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import digest
 
