@@ -35,9 +35,25 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+#: DuckDB counterparts of the queries that SQL can express.
+OP7_SQL = """
+SELECT page_id, strlen(p)::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM (SELECT page_id, p, d, CASE WHEN strlen(p) >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS first
+      FROM (SELECT page_id, coalesce(html, '') AS p, sha256(coalesce(html, '')) AS d FROM pages))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_warc_bundles": OP7_SQL}
