@@ -35,6 +35,12 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
+def op6_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import round_trip
 
