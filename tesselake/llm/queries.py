@@ -9,6 +9,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import predict
+
+    return predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import edits
 
