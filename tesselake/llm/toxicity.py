@@ -331,7 +331,7 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = 1200, threshold:
     """The columns named, with score and predicted."""
     net = learn(docs, labels, per_label)
     carried = docs.select(*columns, F.col("text").alias("__text"))
-    schema = carried.drop("__text").schema.add("score", "double").add("predicted", "int")
+    schema = carried.drop("__text").schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, block_bytes):
