@@ -1,6 +1,6 @@
 """N-gram Jaccard self-join by universe partition and pigeonhole, and its connected components.
 
-A text's set holds the 64-bit hashes of its distinct 4-word shingles.  Texts with equal sets are one node from the
+A text's set holds the 64-bit hashes of its distinct ``width``-word shingles.  Texts with equal sets are one node from the
 start.  For two sets of a and b elements with Jaccard similarity of at least t, the symmetric difference is at most
 H = (1 - t) / (1 + t) * (a + b).  Sets fall into size bands with a ratio of t, so that a partner is in the same or a
 neighbouring band; a set is indexed for its own band (as the larger of a pair) and the next one (as the smaller).
@@ -16,8 +16,8 @@ than ``few`` sets yields a star instead of all pairs, and members that the verif
 components are then compared with more and more of the others, up to all of them, until nothing is left.  All
 candidates are verified on the whole sets.
 
-Words are as the contract says: ASCII letters lowered, cut at ASCII white space.  Texts with fewer than four words
-have one shingle, null texts and texts without words none (they are their own component).  Rows without doc_id keep a
+Words are as the contract says: ASCII letters lowered, cut at ASCII white space.  Texts with fewer words than
+a shingle have one, null texts and texts without words none (they are their own component).  Rows without doc_id keep a
 null component.  Repeated rows get the same component each; an empty table gives no rows.
 """
 
@@ -146,18 +146,18 @@ def signatures(s: np.ndarray, band: int, a: Allocation) -> np.ndarray:
     return np.unique(np.concatenate([full, less]))
 
 
-def keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
     """(id, n, key) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
-            sets = [shingle_set(t) for t in b.column("t").to_pylist()]
+            sets = [shingle_set(t, width) for t in b.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64())], names=["id", "n", "key"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, key long")
 
 
-def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, buckets: int) -> DataFrame:
+def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int) -> DataFrame:
     """Packed signatures by bucket.  A set that its task has met already is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | No
         for b in small_batches(batches, 8 << 20):
             keys, sizes, sigs, owner = [], [], [], []
             for x in b.column("t").to_pylist():
-                s = shingle_set(x)
+                s = shingle_set(x, width)
                 if not len(s) or (key := set_key(s)) in met:
                     continue
                 met.add(key)
@@ -251,35 +251,35 @@ def verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     return joined.where(t.den * F.col("both") >= t.num * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
     """(key, s) of the documents that stand for the wanted keys (key, id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([shingle_set(t).view(np.int64) for t in b.column("t").to_pylist()], pa.list_(pa.int64()))], names=["key", "s"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([shingle_set(t, width).view(np.int64) for t in b.column("t").to_pylist()], pa.list_(pa.int64()))], names=["key", "s"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null")
     joined = texts.join(wanted.hint("shuffle_hash"), "id").select("key", "t", F.col("id"))
     return joined.mapInArrow(run, "key long, s array<long>").dropDuplicates(["key"])
 
 
-def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), few: int = 16, per_bucket: int = 1_500_000) -> DataFrame:
+def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, few: int = 16, per_bucket: int = 1_500_000) -> DataFrame:
     """Per row: id, n (size of its set), component (smallest id that links reach)."""
-    nodes = written(keyed(docs, id_col, text), "nodes")
+    nodes = written(keyed(docs, id_col, text, width), "nodes")
     known = nodes.where("id is not null and n > 0")
     reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n")), "reps")
     bands = {r.band: r.n for r in reps.groupBy(F.floor(F.log("n") / log(t.den / t.num) + 1e-9).cast("int").alias("band")).agg(F.count("*").alias("n")).collect()}
     plan = {k: allocate(t, k, bands.get(k, 0) + bands.get(k - 1, 0)) for b in bands for k in (b, b + 1)}
     entries = sum(n * sum(a.exact + a.deletion * (1 + ceil(t.top(k) / (a.exact + a.deletion))) for k in (b, b + 1) if (a := plan[k])) for b, n in bands.items())
     buckets = min(1 << 15, max(partitions(docs), entries // per_bucket))
-    found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, buckets), t, few), "candidates")
+    found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, width, buckets), t, few), "candidates")
     pairs = found.where("b is not null").select("a", "b").distinct()
     groups = found.where("b is null").select(F.monotonically_increasing_id().alias("g"), "members")
     large = not groups.isEmpty()
     members = unpacked_members(groups) if large else None
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key"))
     wanted = (wanted.unionByName(members.select("key")) if large else wanted).distinct().join(reps.select("key", "id"), "key")
-    sets = written(sets_of(docs, wanted, id_col, text), "sets")
+    sets = written(sets_of(docs, wanted, id_col, text, width), "sets")
     ids = reps.select("key", "id")
 
     def by_id(links: DataFrame) -> DataFrame:

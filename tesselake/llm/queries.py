@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -65,8 +67,20 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents")).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .pieces import encoded
+
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ids=False)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)} | {"pipeline": pipeline}
 
 
 #: DuckDB counterparts of the queries that SQL can express.

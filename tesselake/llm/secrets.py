@@ -194,22 +194,17 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, block_bytes: int = 8 << 20) -> DataFrame:
-    """Per row: the id, ``spans`` (array of start, end, kind) and the text with its secrets blanked out."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def redacted(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, block_bytes: int = 8 << 20) -> DataFrame:
+    """The rows with secrets blanked out of the text; null texts stay null, other columns as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
         for b in small_batches(batches, block_bytes):
-            texts = texts_of(b, "t")
-            spans = scan(texts, rules)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([[{"start": s, "end": e, "kind": k} for s, e, k in x] for x in spans], kind), pa.array([redact(t, x) if x else t for t, x in zip(texts, spans)], pa.string())],
-                names=["id", "spans", "redacted"],
-            )
-
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"id {id_type}, spans array<struct<start:bigint,end:bigint,kind:string>>, redacted string")
-    return out.withColumnRenamed("id", id_col)
+            at, texts = b.schema.get_field_index(text), texts_of(b, text)
+            clean = [redact(t, x) if x else t for t, x in zip(texts, scan(texts, rules))]
+            column = pa.array([None if old is None else new for old, new in zip(b.column(text).to_pylist(), clean)], b.schema.field(at).type)
+            yield b.set_column(at, b.schema.field(at), column)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES, block_bytes: int = 8 << 20) -> DataFrame:

@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -431,3 +432,15 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
         F.when(F.col("whole"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
         "sha", "kept",
     )
+
+
+def decoded(kept):
+    """Bytes as text, without the rests of characters that a cut went through.
+
+    A lead byte must be followed by its continuation bytes; all else of them goes."""
+
+    @F.pandas_udf("string")
+    def decode(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda x: None if x is None else x.decode("utf-8", "ignore"))
+
+    return decode(kept)
