@@ -25,8 +25,8 @@ def like(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't rated toxic.  The network learns from the labelled documents of its input."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rated = toxicity.score(docs, labels, columns=tuple(docs.columns))
-    return rated.where("predicted = 0").select(*docs.columns)
+    rated = toxicity.score(docs, labels, columns=tuple(docs.columns), names=("__score", "__predicted"))
+    return rated.where("__predicted = 0").select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +47,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     What is left of a character that was cut through goes with it; documents of which nothing is left go."""
     found = suffix.deduplicated(docs)
-    changed = found.where("n_removed > 0 and id is not null").select(F.col("id").alias("doc_id"), "sha", F.when(F.col("n_removed") == F.col("n_bytes"), F.lit("")).otherwise(suffix.decoded(F.col("kept"))).alias("left")).dropDuplicates(["doc_id", "sha"])
-    keyed = docs.withColumn("sha", F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256))
-    joined = keyed.join(changed, ["doc_id", "sha"], "left").where("left is null or left <> ''")
-    return like(joined.withColumn("text", F.coalesce("left", "text")), docs)
+    changed = found.where("n_removed > 0 and id is not null").select(F.col("id").alias("doc_id"), F.col("sha").alias("__sha"), F.when(F.col("n_removed") == F.col("n_bytes"), F.lit("")).otherwise(suffix.decoded(F.col("kept"))).alias("__left")).dropDuplicates(["doc_id", "__sha"])
+    keyed = docs.withColumn("__sha", F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256))
+    joined = keyed.join(changed, ["doc_id", "__sha"], "left").where("__left is null or __left <> ''")
+    return like(joined.withColumn("text", F.coalesce("__left", "text")), docs)
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -327,16 +327,16 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = 1200) -> Network
     return train([(t, y) for _, t, y in rows]) if {y for *_, y in rows} == {0, 1} else None
 
 
-def score(docs: DataFrame, labels: DataFrame, per_label: int = 1200, threshold: float = THRESHOLD, block_bytes: int = 2 << 20, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns named, with score and predicted."""
+def score(docs: DataFrame, labels: DataFrame, per_label: int = 1200, threshold: float = THRESHOLD, block_bytes: int = 2 << 20, columns: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """The columns named, with the score and the prediction under ``names``."""
     net = learn(docs, labels, per_label)
     carried = docs.select(*columns, F.col("text").alias("__text"))
-    schema = carried.drop("__text").schema.add("score", "double").add("predicted", "integer")
+    schema = carried.drop("__text").schema.add(names[0], "double").add(names[1], "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, block_bytes):
             s = net.scores(texts_of(b, "__text")) if net else np.zeros(b.num_rows)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[*columns, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[*columns, *names])
 
     return carried.mapInArrow(run, schema)
 

@@ -1,0 +1,57 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tesselake.llm import secrets
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(found)]
+
+
+PARTS = ["password", "PassWd: ", "token = 'abcdefgh123'", "api_key=", "apikey:\"x\"", "AKIA", "AKIAABCDEFGHIJKL", "deadbeef" * 4, "0" * 31, "é", " ", "\n", "secret=12345678", "secret=1234567", "toKen\" :  'a.b-c_d/e+f=='", "ſecret=12345678", "𓀀"]
+
+
+def texts():
+    rng = random.Random(5)
+    return ["", None] + ["".join(rng.choice(PARTS) for _ in range(rng.randrange(40))) for _ in range(300)]
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query("AKIA[A-Z0-9]+") == frozenset({frozenset({b"aki", b"kia"})})
+    assert secrets.trigram_query("[0-9a-f]+") is None
+    assert secrets.trigram_query("(foo|bar)baz") == frozenset({frozenset({b"foo", b"oob", b"oba", b"baz"}), frozenset({b"bar", b"arb", b"rba", b"baz"})})
+    assert secrets.trigram_query("(ab|)c") is None
+
+
+def test_query_never_misses_a_match():
+    for rule in secrets.RULES:
+        q = secrets.trigram_query(rule.pattern)
+        for text in texts():
+            if q is not None and re.search(rule.pattern, text or ""):
+                low = text.encode().lower()
+                assert any(all(t in low for t in words) for words in q)
+
+
+def test_equals_brute_force(spark):
+    rows = [(i, t, "x") for i, t in enumerate(texts())] + [(None, "secret=12345678", "y"), (3, texts()[3], "z")]
+    out = secrets.digest(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+    assert len(out) == len(rows)
+    for r, (doc, text, _) in zip(sorted(out, key=lambda r: (r.doc_id is None, r.doc_id)), sorted(rows, key=lambda r: (r[0] is None, r[0]))):
+        want = brute(text or "")
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for k, _, _ in want) for x in ("assign", "access", "hex")]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in want).encode()).hexdigest()
+        assert {f"{k}:{s}:{e}" for k, s, e in want} <= set(r.spans.split(","))
+
+
+def test_redaction_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a secret=12345678 b"), (2, None), (3, "plain")], "doc_id long, text string")
+    assert [r.text for r in secrets.redacted(df).orderBy("doc_id").collect()] == ["a [ASSIGN] b", None, "plain"]
+    assert secrets.digest(df.where(F.lit(False))).count() == 0
