@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-LYRICS = "struct<lyrics:array<struct<words:array<struct<word:string,start:double,end:double>>,start:double,end:double>>>"
+LYRICS = "lyrics array<struct<words:array<struct<word:string,start:double,end:double>>,start:double,end:double>>"
 # Phrases that speech-to-text models invent over silence.
 FILLERS = ("Bye.", "Thank you.")
 

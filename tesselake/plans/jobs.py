@@ -142,7 +142,7 @@ def shard(spark: SparkSession, src_dir: str, dest_dir: str, audio_suffix: str, s
 def byte_features(spark: SparkSession, match_pattern: str, overwrite: bool = False) -> DataFrame:
     """(path, tokens, starts, ends) of timed lyrics that have words left after the filler filter."""
     todo = pending(spark, match_pattern, ".whisper.json", [".whisper-byt5.npz"], overwrite)
-    parsed = files.load_json(open_files(spark, match_pattern, todo), lyrics.LYRICS.removeprefix("struct<").removesuffix(">"))
+    parsed = files.load_json(open_files(spark, match_pattern, todo), lyrics.LYRICS)
     parsed = parsed.select(lyrics.require_suffix(F.col("path")).alias("path"), "value")
     word = lyrics.words(parsed, "path", "value").withColumn("tokens", lyrics.byte_tokens(F.col("word")))
     order = F.array_sort(F.collect_list(F.struct("segment", "at", "tokens", "start", "end")))

@@ -22,7 +22,7 @@ def put(uri: str, data: bytes) -> None:
     """Write under a temporary name, then rename: a task that runs again leaves one whole file."""
     system, path = filesystem(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    with system.open_output_stream(part := f"{path}.{uuid.uuid4().hex}.part") as out:
+    with system.open_output_stream(part := f"{path}.{uuid.uuid4().hex}.part", compression=None) as out:
         out.write(data)
     system.move(part, path)
 
@@ -54,7 +54,7 @@ def copy_files(pairs: DataFrame, source: str = "src", target: str = "dst", block
                 try:
                     (a, p), (c, q) = filesystem(s), filesystem(t)
                     c.create_dir(q.rpartition("/")[0], recursive=True)
-                    with a.open_input_stream(p) as x, c.open_output_stream(part := f"{q}.{uuid.uuid4().hex}.part") as y:
+                    with a.open_input_stream(p, compression=None) as x, c.open_output_stream(part := f"{q}.{uuid.uuid4().hex}.part", compression=None) as y:
                         while data := x.read(block):
                             y.write(data)
                     c.move(part, q)
@@ -152,7 +152,7 @@ def read_shards(spark: SparkSession, root: str, schema: str) -> DataFrame:
         for b in batches:
             for name in b.column("name").to_pylist():
                 system, path = filesystem(f"{root}/{name}")
-                with system.open_input_stream(path) as f:
+                with system.open_input_stream(path, compression=None) as f:
                     raw = zstandard.ZstdDecompressor().decompressobj().decompress(f.read())
                 yield pa.RecordBatch.from_arrays([pa.array(raw.decode().splitlines(), pa.string())], names=["line"])
 
