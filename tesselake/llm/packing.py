@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -48,48 +49,60 @@ class Encoder:
     """Ids of whole texts, as the tokenizer gives them; its work on a blank-free chunk is remembered.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its chunks' ids in turn.
-    It lowers its input, so that lowering first changes nothing where both forms are composed (NFC).  Control
-    characters that Python alone takes for white space send a text to the tokenizer whole."""
-
-    ODD = re.compile("[\\x1c-\\x1f\u03a3]")
+    It lowers its input, so that lowering first changes nothing where both forms are composed (NFC; but for the
+    capital sigma, whose small form depends on its place)."""
 
     def __init__(self, path: str, most: int = 1_000_000):
-        self.tokenizer, self.known, self.most = tokenizer(path), {}, most
+        self.tokenizer, self.known, self.most = tokenizer(path), {"": b""}, most
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def learn(self, chunks: list[str]) -> None:
+    def learn(self, chunks: set[str]) -> None:
         """Remember new chunks; words are tokenised many at a time and told apart by their ends."""
-        parts = [(c, m.groups() if (m := WORD.fullmatch(c)) else None) for c in chunks]
-        words = [w for w in {x for _, p in parts if p for x in p if x} if w not in self.known]
+        known, split = self.known, [m for c in chunks if (m := WORD.fullmatch(c))]
+        heads, tails = [m[1] for m in split], [m[2] for m in split]
+        words = list({*heads, *tails} - known.keys())
         for i in range(0, len(words), 2000):
             own = words[i : i + 2000]
             ids = self.whole(" ".join(own))
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            cut = np.split(ids, stops[:-1]) if len(stops) == len(own) else map(self.whole, own)
-            self.known.update((w, x.tobytes()) for w, x in zip(own, cut))
-        self.known[""] = b""
-        for c, p in parts:
-            self.known[c] = self.known[p[0]] + self.known[p[1]] if p else self.whole(c).tobytes()
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()
+            if len(stops) == len(own):
+                raw = ids.tobytes()
+                known.update(zip(own, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+            else:
+                known.update((w, self.whole(w).tobytes()) for w in own)
+        known.update([(m[0], known[a] + known[b]) for m, a, b in zip(split, heads, tails) if b])
+        known.update((c, self.whole(c).tobytes()) for c in chunks if c not in known)
 
     def lower(self, text: str) -> str:
         low = text.lower()
         return low if text.isascii() or unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) else text
 
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
-        chunked = [None if self.ODD.search(t) else self.lower(t).split() for t in texts]
-        new = {c for x in chunked if x for c in x} - self.known.keys()
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = {c for x in chunked if x for c in x}
-        self.learn(list(new))
-        get = self.known.__getitem__
-        return [(self.whole(t) if x is None else np.frombuffer(b"".join(map(get, x)), self.kind)).astype(np.uint32) for t, x in zip(texts, chunked)]
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in turn, and where each text's begin (one entry more than texts).
+
+        Arrow splits the texts and numbers their distinct chunks; only those are looked up one by one."""
+        if len(self.known) > self.most:
+            self.known = {"": b""}
+        split = pc.ascii_split_whitespace(pa.array([t if "\u03a3" in t else self.lower(t) for t in texts], pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if new := set(distinct) - self.known.keys():
+            self.learn(new)
+        found = list(map(self.known.__getitem__, distinct))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.kind).itemsize
+        start = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(found), self.kind)
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        count = size[which]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        places = np.repeat(start[which] - ends[:-1], count) + np.arange(ends[-1])
+        return ids[places].astype(np.uint32), ends[np.asarray(split.offsets)]
 
 
 @lru_cache
@@ -97,16 +110,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, block_bytes: int = 2 << 20) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, block_bytes: int = 8 << 20) -> DataFrame:
     """A row per piece of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in small_batches(batches, block_bytes):
             rows = []
-            for doc, ids in zip(b.column("doc_id").to_pylist(), enc.batch(texts_of(b))):
-                ids = np.append(ids, np.uint32(end)).astype("<u4")
-                rows += [(doc, k, at, len(x := ids[at : at + capacity]), zlib.crc32(x.tobytes())) for k, at in enumerate(range(0, len(ids), capacity))]
+            flat, at = enc.batch(texts_of(b))
+            for doc, i, j in zip(b.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                ids = np.append(flat[i:j], np.uint32(end)).astype("<u4")
+                rows += [(doc, k, s, len(x := ids[s : s + capacity]), zlib.crc32(x.tobytes())) for k, s in enumerate(range(0, len(ids), capacity))]
             columns = list(zip(*rows)) if rows else [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
