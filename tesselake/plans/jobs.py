@@ -139,6 +139,95 @@ def shard(spark: SparkSession, src_dir: str, dest_dir: str, audio_suffix: str, s
     return sinks.copy_files(pairs.repartition("shard", "chunk"))
 
 
+# The classifier heads that the job knows.
+FEATURES = (
+    "genre_discogs400", "mtg_jamendo_genre", "approachability", "danceability", "engagement", "mood_aggressive", "mood_happy", "mood_party",
+    "mood_relaxed", "mood_sad", "mtg_jamendo_moodtheme", "mtg_jamendo_instrument", "mood_acoustic", "mood_electronic", "voice_instrumental",
+    "timbre", "nsynth_instrument", "nsynth_reverb", "tonal_atonal", "mtg_jamendo_top50tags", "mtt", "audioset_yamnet", "tempo",
+)
+
+
+def classify(spark: SparkSession, src_dir: str, audio_suffix: str, heads: dict[str, Callable], embed: Callable, features: list[str] | None = None, overwrite: bool = False, known: tuple[str, ...] = FEATURES) -> DataFrame:
+    """Several classifier heads on one decoded and embedded file; one .npy per feature beside the source.
+
+    ``heads`` maps a feature to a function of the embedding, ``embed`` makes the embedding of mono audio once per file.
+    The first head that fails ends its file; features made before it are written."""
+    wanted = list(heads) if features is None else features
+    if unknown := set(wanted) - set(known):
+        raise ValueError(f"unknown features: {sorted(unknown)}")
+    glob, rate = f"{src_dir.rstrip('/')}/**{audio_suffix}", infer.CONTRACTS["classifier"].rate
+    todo = pending(spark, glob, audio_suffix, [f".{f}.npy" for f in wanted], overwrite)
+    audio = signal.resampled(files.decode_audio(open_files(spark, glob, todo)), rate)
+
+    def run(batches):
+        import pyarrow as pa
+
+        from ..sources.codecs import write_npy
+
+        for b in batches:
+            for r in b.to_pylist():
+                made = []
+                try:
+                    x = embed(np.array(r["samples"], np.float32).mean(0), rate)
+                    for f in wanted:
+                        made.append((f, write_npy(np.asarray(heads[f](x), np.float32))))
+                except Exception:
+                    pass
+                yield pa.RecordBatch.from_arrays([pa.array([r["path"]] * len(made), pa.string()), pa.array([f for f, _ in made], pa.string()), pa.array([c for _, c in made], pa.binary())], names=["path", "feature", "content"])
+
+    found = audio.where("status = 'ok'").select("path", "samples").mapInArrow(run, "path string, feature string, content binary")
+    return sinks.write_files(found.select(F.concat(paths.remove_suffix(F.col("path"), audio_suffix), F.lit("."), "feature", F.lit(".npy")).alias("out_path"), "content"))
+
+
+def transcribe(spark: SparkSession, match_pattern: str, audio_suffix: str, factory: Callable, overwrite: bool = False, suffix: str = ".whisper.json") -> DataFrame:
+    """Speech to text: {"lyrics": segments} beside each file; files without a segment give no output.
+
+    ``factory`` makes a function of (audio, rate) that returns segments, or raises: the file is then left out."""
+    if not match_pattern.endswith(audio_suffix):
+        raise ValueError(f"the pattern must end with {audio_suffix}")
+    todo = pending(spark, match_pattern, audio_suffix, [suffix], overwrite)
+
+    def run(batches):
+        import json
+
+        import pyarrow as pa
+
+        model = factory()
+        for b in batches:
+            for r in b.to_pylist():
+                try:
+                    segments = model(np.array(r["samples"], np.float32), r["sr"])
+                except Exception:
+                    continue
+                if segments:
+                    yield pa.RecordBatch.from_arrays([pa.array([r["path"]]), pa.array([json.dumps({"lyrics": segments}).encode()], pa.binary())], names=["path", "content"])
+
+    found = files.decode_audio(open_files(spark, match_pattern, todo)).where("status = 'ok'").select("path", "sr", "samples").mapInArrow(run, "path string, content binary")
+    return sinks.write_files(found.select(paths.output_path(F.col("path"), audio_suffix, suffix).alias("out_path"), "content"))
+
+
+def embed_lyrics(spark: SparkSession, match_pattern: str, factory: Callable, overwrite: bool = False) -> DataFrame:
+    """Byte-token embeddings of timed lyrics: .npz of embeds (dim x tokens), tokens, starts and ends."""
+    rows = byte_features(spark, match_pattern, overwrite)
+
+    def run(batches):
+        import pyarrow as pa
+
+        from ..sources.codecs import write_npz
+
+        model = factory()
+        for b in batches:
+            for r in b.to_pylist():
+                tokens = np.array(r["tokens"], np.int32)
+                arrays_ = {"embeds": np.asarray(model(tokens), np.float32), "tokens": tokens, "starts": np.array(r["starts"], np.float32), "ends": np.array(r["ends"], np.float32)}
+                if len({a.shape[-1] for a in arrays_.values()}) != 1:
+                    raise ValueError("embeddings, tokens and times differ in length")
+                yield pa.RecordBatch.from_arrays([pa.array([r["path"]]), pa.array([write_npz(arrays_)], pa.binary())], names=["path", "content"])
+
+    found = rows.mapInArrow(run, "path string, content binary")
+    return sinks.write_files(found.select(paths.output_path(F.col("path"), ".whisper.json", ".whisper-byt5.npz").alias("out_path"), "content"))
+
+
 def byte_features(spark: SparkSession, match_pattern: str, overwrite: bool = False) -> DataFrame:
     """(path, tokens, starts, ends) of timed lyrics that have words left after the filler filter."""
     todo = pending(spark, match_pattern, ".whisper.json", [".whisper-byt5.npz"], overwrite)

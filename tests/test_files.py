@@ -129,6 +129,23 @@ def test_byte_features(spark, tmp_path):
     assert len(out) == 1 and out[0].tokens == [107, 198, 172] and out[0].ends == [1.0] * 3
 
 
+def test_classifiers_speech_and_lyrics(spark, lake):
+    heads = {"mood_sad": lambda x: x[:2], "timbre": lambda x: 1 / 0, "tempo": lambda x: x[:1]}
+    embed = lambda x, rate: np.abs(x[: 16 * 10]).reshape(16, 10)
+    out = jobs.classify(spark, f"{lake}/t1", ".wav", heads, embed)
+    assert [r.path.rpartition("/")[2] for r in out.collect()] == ["t1.mood_sad.npy"]
+    assert jobs.classify(spark, f"{lake}/t2", ".wav", heads, embed, ["tempo", "mood_sad"]).count() == 2
+    with pytest.raises(ValueError, match="unknown"):
+        jobs.classify(spark, str(lake), ".wav", heads, embed, ["none"])
+    words = lambda: lambda x, sr: [] if x.shape[0] == 1 else [{"start": 0.0, "end": 1.0, "words": [{"word": "so", "start": 0.0, "end": 1.0}]}]
+    said = jobs.transcribe(spark, f"{lake}/**/t*.wav", ".wav", words)
+    assert sorted(r.path.rpartition("/")[2] for r in said.collect()) == ["t1.whisper.json", "t3.whisper.json"]
+    made = jobs.embed_lyrics(spark, f"{lake}/**.whisper.json", lambda: lambda t: np.ones((4, len(t))))
+    assert made.where("status = 'ok'").count() == 2
+    found = codecs.read_npz((lake / "t1/t1.whisper-byt5.npz").read_bytes())
+    assert found["embeds"].shape == (4, 2) and found["tokens"].tolist() == [ord("s") + 3, ord("o") + 3]
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "out").mkdir()
