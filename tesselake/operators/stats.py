@@ -22,10 +22,10 @@ def channel_kind(channels: Column) -> Column:
 
 def histogram(rows: DataFrame, value: str, bins: int = 100) -> DataFrame:
     """Counts in bins of equal width from the smallest to the largest value; the last bin is closed."""
-    edges = rows.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    place = F.least(F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("lo"), width)), F.lit(0)), F.lit(bins - 1)).cast("int")
-    return rows.where(F.col(value).isNotNull()).join(F.broadcast(edges)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
+    edges = rows.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()  # one row, a scalar subquery
+    width = (edges["hi"] - edges["lo"]) / bins
+    place = F.least(F.coalesce(F.floor(F.try_divide(F.col(value) - edges["lo"], width)), F.lit(0)), F.lit(bins - 1)).cast("int")
+    return rows.where(F.col(value).isNotNull()).select(place.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
 
 
 def top(rows: DataFrame, key: str, k: int) -> DataFrame:
