@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from .common import written
 
 
-def components(links: DataFrame, most: int = 60) -> DataFrame:
+def components(links: DataFrame, most: int = 60, alone: bool = False) -> DataFrame:
     """(id, component): each id that occurs in ``links`` (a, b) with the smallest id that it is connected to.
+    Links of an id with itself count only with ``alone``.
 
     A round takes the smallest label among a node and its neighbours, then the label of that label; labels
     only fall and are ids of the same component, so the end is reached when a round changes nothing.  Labels are
     written to the shared folder each round; only one count reaches the driver."""
-    both = written(links.select("a", "b").where("a <> b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct(), "links")
+    links = links.select("a", "b") if alone else links.select("a", "b").where("a <> b")
+    both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
     for _ in range(most):
         near = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("component").alias("m"))

@@ -7,14 +7,18 @@ neighbouring band; a set is indexed for its own band (as the larger of a pair) a
 
 For a band the universe of hashes is cut into segments.  A segment is matched exactly (worth 1) or within one
 deletion (worth 2: its subset and all subsets with one element less are indexed); as soon as the segments are worth
-H + 1 together, some segment of a linked pair must match.  How many segments of either kind a band gets is chosen by
-cost: signatures written against candidates expected, from the band's number of sets.  Bands get some segments
-more than needed, and a set leaves out its empty exact segments as long as that slack covers them.
+H + 1 together, some segment of a linked pair must match.  Which kind a band gets is chosen by cost: signatures
+written against candidates expected, from the band's number of sets.  Exact segments that are empty in a set are left out:
+bands get spare ones, and as many as the sets that they really hold need for that (counted over all of them).
 
-Signatures are dealt to buckets in packed form.  Sets that share one become a candidate pair; a signature of more
-than ``few`` sets yields a star instead of all pairs, and members that the verified links leave in different
-components are then compared with more and more of the others, up to all of them, until nothing is left.  All
-candidates are verified on the whole sets.
+Signatures are dealt to buckets in packed form.  Sets that share one become candidate pairs, unless more than ``few``
+do.  Such a frequent signature is left out as long as the slack covers a set's frequent ones (a linked pair then still
+meets in another).  What remains are families of near copies, whose sets have more of them: sets that share frequent
+signatures are brought together in blocks of bounded size, every two blocks of a family meet once, and only links
+that join components of the two blocks leave the task.
+
+Candidate pairs are first held against small parity sketches, whose distance can't exceed the sets' symmetric
+difference; those left are verified on the whole sets.
 
 Words are as the contract says: ASCII letters lowered, cut at ASCII white space.  Texts with fewer words than
 a shingle have one, null texts and texts without words none (they are their own component).  Rows without doc_id keep a
@@ -30,7 +34,7 @@ from math import ceil, exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import mix64, partitions, small_batches, written
 from .components import components
@@ -99,35 +103,69 @@ class Threshold:
 
 @dataclass(frozen=True)
 class Allocation:
+    """Segments of a band, and how many matches it can spare for frequent signatures."""
+
     exact: int
     deletion: int
-    slack: int
+    frequent: int
+
+
+#: Further segments, for empty ones, of which a band takes the least that is enough for all of its sets.
+SPARE = ((0.08, 2), (0.16, 3), (0.32, 4), (0.64, 6))
+
+
+def exact_segments(t: Threshold, band: int, step: int) -> tuple[int, int]:
+    """Exact segments of a band at a step of SPARE, and its matches for frequent signatures."""
+    need = t.most_apart(2 * t.top(band))
+    share, more = SPARE[step]
+    frequent = max(1, need // 16)
+    return need + 1 + frequent + ceil(need * share) + more, frequent
+
 
+def segment_numbers(s: np.ndarray, m: int) -> np.ndarray:
+    """The segment of each element; a sorted set's are in order."""
+    return ((s >> U(32)) * U(m)) >> U(32)
 
-def allocate(t: Threshold, band: int, sets: int) -> Allocation | None:
-    """The cheapest numbers of exact and one-deletion segments of a band with so many sets; None: equal sets only."""
+
+def enough(s: np.ndarray, t: Threshold) -> int:
+    """The steps of SPARE, as bits, at which a set has so few empty segments in its own band that any set linked to it,
+    and no larger, meets it in more filled segments than the band sets aside for frequent signatures."""
+    found, n = 0, len(s)
+    for step in range(len(SPARE)):
+        m, frequent = exact_segments(t, t.band(n), step)
+        filled = len(np.unique(segment_numbers(s, m)))
+        found |= (filled - t.most_apart(2 * n) > frequent) << step
+    return found
+
+
+def allocate(t: Threshold, band: int, sets: int, steps: int) -> Allocation | None:
+    """The cheapest segments of a band with so many sets, of which ``steps`` are enough; None: equal sets only.
+
+    Either exact segments, of which sets leave out empty ones, or one-deletion segments with all their subsets."""
     size = t.top(band)
     need = t.most_apart(2 * size)
     if need == 0:
         return None
-    slack = max(1, need // 12)
-    best = None
-    for share in (0, 0.25, 0.5, 1):
-        deletion = int(share * (need + 1 + slack)) // 2
-        exact = need + 1 + slack - 2 * deletion
-        length = size / (exact + deletion)
-        written_ = exact + deletion * (1 + length)
-        chance = exact * 0.2**length + deletion * (1 + length) * 0.2 ** max(0.0, length - 1) + exp(-length)
-        cost = written_ + 0.05 * sets * chance
-        if best is None or cost < best[0]:
-            best = cost, Allocation(exact, deletion, slack)
+
+    def cost(m: int, each: float, chance: float) -> float:
+        return m * each + 0.05 * sets * m * chance
+
+    frequent = max(1, need // 16)
+    deletion = (need + 2 + 2 * frequent) // 2
+    length = size / deletion
+    best = cost(deletion, 1 + length, (1 + length) * 0.2 ** max(0.0, length - 1) + exp(-length)), Allocation(0, deletion, frequent)
+    for step in range(len(SPARE)):
+        if steps >> step & 1:
+            m, frequent = exact_segments(t, band, step)
+            best = min(best, (cost(m, 1, 0.2 ** (size / m)), Allocation(m, 0, frequent)), key=lambda x: x[0])
+            break
     return best[1]
 
 
 def signatures(s: np.ndarray, band: int, a: Allocation) -> np.ndarray:
-    """The signatures of a sorted set for a band."""
+    """The signatures of a sorted set for a band: 40 bits of hash over 8 bits of band, above 16 bits of bucket."""
     m = a.exact + a.deletion
-    seg = ((s >> U(32)) * U(m)) >> U(32)
+    seg = segment_numbers(s, m)
     mixed = mix64(s)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed)])
     at = np.searchsorted(seg, np.arange(m + 1, dtype=np.uint64))
@@ -135,30 +173,33 @@ def signatures(s: np.ndarray, band: int, a: Allocation) -> np.ndarray:
     base = np.arange(m, dtype=np.uint64) * U(0x9E3779B97F4A7C15) + U((band + 1) * 0xC2B2AE3D27D4EB4F % 2**64)
     total = sums[at[1:]] - sums[at[:-1]]
     full = mix64(total + count.astype(np.uint64) * U(0x165667B19E3779F9) + base)
-    empty = (count == 0) & (np.arange(m) < a.exact)
-    if 0 < empty.sum() <= a.slack:
-        full = full[~empty]
     if not a.deletion:
-        return full
-    own = np.arange(at[a.exact], len(s))
-    k = seg[own].astype(np.int64)
-    less = mix64(total[k] - mixed[own] + (count[k] - 1).astype(np.uint64) * U(0x165667B19E3779F9) + base[k])
-    return np.unique(np.concatenate([full, less]))
+        return marked(full[count > 0], band)
+    k = seg.astype(np.int64)
+    less = mix64(total[k] - mixed + (count[k] - 1).astype(np.uint64) * U(0x165667B19E3779F9) + base[k])
+    return np.unique(marked(np.concatenate([full, less]), band))
+
 
+def marked(h: np.ndarray, band: int) -> np.ndarray:
+    return (h & ~U(0xFF)) | U(band)
 
-def keyed(docs: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
-    """(id, n, key) of each row."""
+
+def keyed(docs: DataFrame, id_col: str, text: str, t: Threshold, width: int) -> DataFrame:
+    """(id, n, key, steps) of each row; steps as ``enough`` has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
-            sets = [shingle_set(t, width) for t in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64())], names=["id", "n", "key"])
+            sets = [shingle_set(x, width) for x in b.column("t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32())], names=["id", "n", "key", "steps"])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, key long, steps int")
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, key long")
 
+def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int, few: int) -> DataFrame:
+    """Packed signatures by bucket.  A set that its task has met already is left out.
 
-def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int) -> DataFrame:
-    """Packed signatures by bucket.  A set that its task has met already is left out."""
+    Of a signature that more than ``few`` + 1 sets of a batch share the rest is known to be frequent and goes to buckets
+    of its own (below 0), dealt by batch: no bucket gets more than a few entries of a signature from a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -179,33 +220,48 @@ def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | No
             if not keys:
                 continue
             sig, who = np.concatenate(sigs), np.repeat(np.arange(len(keys), dtype=np.int32), owner)
-            bucket = ((sig >> U(48)) * U(buckets)) >> U(16)
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(sig, kind="stable")  # and so by bucket
             sig, who = sig[order], who[order]
-            at = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             keys_, sizes_ = np.array(keys, np.int64), np.array(sizes, np.int32)
+            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, int)
+            over = np.arange(len(sig)) - np.repeat(first, np.diff(np.append(first, len(sig)))) > few
             rows = []
+            if over.any():
+                # frequent in this task alone: few + 1 sets tell the bucket so, the others need not go there
+                rows.append((-1 - keys[0] % buckets, packed(sig[over]), None, keys_[who[over]].tobytes(), None))
+                sig, who = sig[~over], who[~over]
+            bucket = ((sig >> U(48)) * U(buckets)) >> U(16)
+            at = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             for i in range(buckets):
                 if at[i] < at[i + 1]:
                     used, local = np.unique(who[at[i] : at[i + 1]], return_inverse=True)
                     # the low 48 bits of the signature, and which of this row's sets it is of
-                    packed = (sig[at[i] : at[i + 1]] << U(16)).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
-                    rows.append((i, packed, local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(), keys_[used].tobytes(), sizes_[used].tobytes()))
+                    rows.append((i, packed(sig[at[i] : at[i + 1]]), local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(), keys_[used].tobytes(), sizes_[used].tobytes()))
             kinds = (pa.int32(), *[pa.binary()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "sig", "local", "keys", "sizes"])
 
     return docs.select(F.col(text).alias("t")).mapInArrow(run, "bucket int, sig binary, local binary, keys binary, sizes binary")
 
 
+def packed(h: np.ndarray) -> bytes:
+    """The low 48 bits of each."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked48(raw: bytes) -> np.ndarray:
+    a = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(a), 8), np.uint8)
+    wide[:, :6] = a
+    return wide.view(np.uint64).ravel()
+
+
 def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, key, size) of a bucket's distinct entries, by signature and key."""
     sig, key, size = [], [], []
     for r in table.to_pylist():
-        raw = np.frombuffer(r["sig"], np.uint8).reshape(-1, 6)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :6] = raw
-        local = np.frombuffer(r["local"], np.uint16 if len(r["local"]) == 2 * len(raw) else np.uint32)
-        sig.append(wide.view(np.uint64).ravel())
+        own = unpacked48(r["sig"])
+        local = np.frombuffer(r["local"], np.uint16 if len(r["local"]) == 2 * len(own) else np.uint32)
+        sig.append(own)
         key.append(np.frombuffer(r["keys"], np.int64)[local])
         size.append(np.frombuffer(r["sizes"], np.int32)[local])
     sig, key, size = map(np.concatenate, (sig, key, size))
@@ -217,118 +273,182 @@ def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def candidates(dealt: DataFrame, t: Threshold, few: int) -> DataFrame:
-    """Pairs (a, b) of keys; and, with b null, the members of the large groups, packed."""
+    """Pairs (a, b) of keys; and, with b null, of the groups of more than ``few`` number, band and packed members."""
+    columns = (("a", pa.int64()), ("b", pa.int64()), ("g", pa.int64()), ("band", pa.int32()), ("members", pa.binary()))
+
+    def shaped(ab: np.ndarray, large: list[tuple[int, bytes]]) -> pa.Table:
+        n, none = [None] * len(ab), [None] * len(large)
+        found = ([*ab[:, 0].tolist(), *none], [*ab[:, 1].tolist(), *none], [*n, *(g for g, _ in large)], [*n, *(g & 0xFF for g, _ in large)], [*n, *(m for _, m in large)])
+        return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(columns, found)})
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:
+            rows = table.to_pylist()
+            sig, key = np.concatenate([unpacked48(r["sig"]) for r in rows]), np.concatenate([np.frombuffer(r["keys"], np.int64) for r in rows])
+            order = np.argsort(sig, kind="stable")
+            sig, key = sig[order], key[order]
+            ends = np.append(np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])), len(sig))
+            return shaped(np.zeros((0, 2), np.int64), [(int(sig[i]), key[i:j].tobytes()) for i, j in zip(ends, ends[1:])])
         sig, key, size = unpacked(table)
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, int)
         count = np.diff(np.append(first, len(sig)))
-        pairs, large = [], []
+        pairs = [np.zeros((0, 2), np.int64)]
         for k in range(2, few + 1):  # all groups of k sets at once
             at = first[count == k]
             if len(at):
                 i, j = np.triu_indices(k, 1)
-                pairs.append(np.stack([(at[:, None] + i).ravel(), (at[:, None] + j).ravel()], 1))
-        for at, k in zip(first[count > few], count[count > few]):
-            middle = at + int(np.argsort(size[at : at + k], kind="stable")[k // 2])
-            others = np.arange(at, at + k)
-            pairs.append(np.stack([np.full(k - 1, middle), others[others != middle]], 1))
-            large.append(key[at : at + k].tobytes())
-        found = np.concatenate(pairs) if pairs else np.zeros((0, 2), int)
-        small, big = np.minimum(size[found[:, 0]], size[found[:, 1]]).astype(np.int64), np.maximum(size[found[:, 0]], size[found[:, 1]]).astype(np.int64)
-        fine = t.den * small >= t.num * big
-        a, b = np.minimum(key[found[fine, 0]], key[found[fine, 1]]), np.maximum(key[found[fine, 0]], key[found[fine, 1]])
-        ab = np.unique(np.stack([a, b], 1), axis=0)
-        return pa.table({"a": pa.array([*ab[:, 0].tolist(), *[None] * len(large)], pa.int64()), "b": pa.array([*ab[:, 1].tolist(), *[None] * len(large)], pa.int64()), "members": pa.array([*[None] * len(ab), *large], pa.binary())})
-
-    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long, members binary")
+                i, j = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+                small, big = np.minimum(size[i], size[j]).astype(np.int64), np.maximum(size[i], size[j]).astype(np.int64)
+                fine = t.den * small >= t.num * big
+                a, b = key[i[fine]], key[j[fine]]
+                pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+        large = [(int(sig[at]), key[at : at + k].tobytes()) for at, k in zip(first[count > few], count[count > few])]
+        return shaped(np.unique(np.concatenate(pairs), axis=0), large)
+
+    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long, g long, band int, members binary")
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the elements by cell; one to two cells an element, a power of two of 64-bit words."""
+    words = 1 << max(0, (len(s) - 1) // 64).bit_length()
+    cell = (s % U(64 * words)).astype(np.int64)
+    parity = (np.bincount(cell, minlength=64 * words) & 1).astype(np.uint8)
+    return np.packbits(parity, bitorder="little").view(np.int64)
+
+
+def sketch_distance(a: Column, b: Column) -> Column:
+    """The number of cells in which two sketches differ, the finer one folded to the coarser."""
+    words = F.least(F.size(a), F.size(b))
+    folded = lambda x, i: F.when(F.size(x) > words, F.get(x, i).bitwiseXOR(F.get(x, i + words))).otherwise(F.get(x, i))
+    return F.aggregate(F.sequence(F.lit(0), words - 1), F.lit(0), lambda n, i: n + F.bit_count(folded(a, i).bitwiseXOR(folded(b, i))))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs whose sets are similar enough; sets: (key, s array of hashes)."""
-    left, right = sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), sets.select(F.col("key").alias("b"), F.col("s").alias("sb"))
-    joined = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    return joined.where(t.den * F.col("both") >= t.num * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    """The pairs whose sets are similar enough; sets: (key, s array of hashes, p sketch).
+
+    Sketches go through the first two joins, whole sets only for pairs that these can't rule out."""
+
+    def beside(df: DataFrame, what: str) -> DataFrame:
+        left, right = sets.select(F.col("key").alias("a"), F.col(what).alias("x"), F.size("s").alias("na")), sets.select(F.col("key").alias("b"), F.col(what).alias("y"), F.size("s").alias("nb"))
+        return df.join(left, "a").join(right, "b")
+
+    near = beside(pairs, "p").where((t.den + t.num) * sketch_distance(F.col("x"), F.col("y")) <= (t.den - t.num) * (F.col("na") + F.col("nb"))).select("a", "b")
+    joined = beside(written(near, "near"), "s").withColumn("both", F.size(F.array_intersect("x", "y")))
+    return joined.where(t.den * F.col("both") >= t.num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
-    """(key, s) of the documents that stand for the wanted keys (key, id)."""
+    """(key, s, p) of the documents that stand for the wanted keys (key, id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int64())
         for b in small_batches(batches, 4 << 20):
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([shingle_set(t, width).view(np.int64) for t in b.column("t").to_pylist()], pa.list_(pa.int64()))], names=["key", "s"])
+            sets = [shingle_set(x, width) for x in b.column("t").to_pylist()]
+            fits = [set_key(s) == k for s, k in zip(sets, b.column("key").to_pylist())]  # a repeated id may bring other texts
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([s.view(np.int64) for s in sets], kind), pa.array([sketch(s) for s in sets], kind)], names=["key", "s", "p"]).filter(pa.array(fits, pa.bool_()))
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null")
-    joined = texts.join(wanted.hint("shuffle_hash"), "id").select("key", "t", F.col("id"))
-    return joined.mapInArrow(run, "key long, s array<long>").dropDuplicates(["key"])
+    return texts.join(wanted.hint("shuffle_hash"), "id").select("key", "t").mapInArrow(run, "key long, s array<long>, p array<long>").dropDuplicates(["key"])
+
+
+def unpacked_members(groups: DataFrame) -> DataFrame:
+    """(g, band, key) of packed groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [np.frombuffer(x, np.int64) for x in b.column("members").to_pylist()]
+            sizes = [len(k) for k in keys]
+            if keys:
+                g, band = (np.repeat(b.column(n).to_numpy(), sizes) for n in ("g", "band"))
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(band), pa.array(np.concatenate(keys))], names=["g", "band", "key"])
+
+    return groups.mapInArrow(run, "g long, band int, key long")
+
+
+def families(groups: DataFrame, plan: dict[int, Allocation | None]) -> DataFrame:
+    """(key, family) of the sets that have more frequent signatures in a band than its slack covers."""
+    members = written(unpacked_members(groups), "members")
+    allowed = F.create_map(*[F.lit(x) for k, a in plan.items() if a for x in (k, a.frequent)])
+    worth = F.create_map(*[F.lit(x) for k, a in plan.items() if a for x in (k, 2 if a.deletion else 1)])
+    many = members.groupBy("key", "band").agg(F.count("*").alias("c")).where(F.col("c") * worth[F.col("band")] > allowed[F.col("band")]).select("key", "band")
+    held = written(members.join(many, ["key", "band"]).select("g", "key"), "members")
+    # each set is linked to the least head of its groups, and that head to the heads of the set's other groups
+    heads = held.join(held.groupBy("g").agg(F.min("key").alias("head")), "g").select("key", "head").distinct()
+    least = heads.groupBy("key").agg(F.min("head").alias("least"))
+    links = least.select(F.col("key").alias("a"), F.col("least").alias("b"))
+    links = links.unionByName(heads.join(least, "key").select(F.col("least").alias("a"), F.col("head").alias("b")).distinct())
+    # a set that is the head of its own groups alone has no link yet
+    return components(links, alone=True).select(F.col("id").alias("key"), F.col("component").alias("family"))
+
+
+def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int = 1024, elements: int = 400_000) -> DataFrame:
+    """Links (a, b) of keys within families (key, family, n), enough of them to join what is linked.
+
+    A block holds about ``block`` sets with ``elements`` elements together at most."""
+    sizes = family.groupBy("family").agg(F.greatest(F.count("*") / block, F.sum("n") / elements).alias("size"))
+    placed = family.join(sizes, "family").withColumn("blocks", F.ceil("size").cast("int"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("family", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def run(table: pa.Table) -> pa.Table:
+        key, own = table.column("key").to_numpy(), table.column("own").to_numpy()
+        s = table.column("s").combine_chunks()
+        size = np.diff(s.offsets.to_numpy()).astype(np.int64)
+        token, number = np.unique(s.flatten().to_numpy(), return_inverse=True)
+        row = np.repeat(np.arange(len(key)), size)
+        shared = np.bincount(number, minlength=len(token)) > 1
+        place = np.cumsum(shared) - 1
+        row, number = row[shared[number]], place[number[shared[number]]]
+        width = -(-(int(shared.sum()) or 1) // 64) * 64
+        ends = np.searchsorted(row, np.arange(len(key) + 1))
+        bits = np.empty((len(key), width // 64), np.uint64)
+        for i in range(0, len(key), 256):
+            part = np.zeros((min(256, len(key) - i), width), np.uint8)
+            span = slice(ends[i], ends[min(i + 256, len(key))])
+            part[row[span] - i, number[span]] = 1
+            bits[i : i + 256] = np.packbits(part, axis=1, bitorder="little").view(np.uint64)
+        label, found = np.arange(len(key)), []
+        cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        for x in range(len(key) - 1):
+            with_ = np.arange(x + 1, len(key))
+            fine = (label[with_] != label[x]) & (t.den * np.minimum(size[with_], size[x]) >= t.num * np.maximum(size[with_], size[x]))
+            with_ = with_[fine & (own[with_] != own[x]) if cross else fine]
+            if not len(with_):
+                continue
+            both = np.bitwise_count(bits[with_] & bits[x]).sum(1, dtype=np.int64)
+            for y in with_[t.den * both >= t.num * (size[with_] + size[x] - both)]:
+                if label[y] != label[x]:
+                    found.append((key[x], key[y]))
+                    label[label == label[y]] = label[x]
+        a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        return pa.table({"a": a, "b": b})
+
+    return placed.join(sets.select("key", "s"), "key").groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, few: int = 16, per_bucket: int = 1_500_000) -> DataFrame:
     """Per row: id, n (size of its set), component (smallest id that links reach)."""
-    nodes = written(keyed(docs, id_col, text, width), "nodes")
+    nodes = written(keyed(docs, id_col, text, t, width), "nodes")
     known = nodes.where("id is not null and n > 0")
-    reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n")), "reps")
-    bands = {r.band: r.n for r in reps.groupBy(F.floor(F.log("n") / log(t.den / t.num) + 1e-9).cast("int").alias("band")).agg(F.count("*").alias("n")).collect()}
-    plan = {k: allocate(t, k, bands.get(k, 0) + bands.get(k - 1, 0)) for b in bands for k in (b, b + 1)}
-    entries = sum(n * sum(a.exact + a.deletion * (1 + ceil(t.top(k) / (a.exact + a.deletion))) for k in (b, b + 1) if (a := plan[k])) for b, n in bands.items())
+    reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("steps").alias("steps")), "reps")
+    band = F.floor(F.log("n") / log(t.den / t.num) + 1e-9).cast("int")
+    bands = {r.band: (r.n, r.steps) for r in reps.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.bit_and("steps").alias("steps")).collect()}
+    # a set that is the smaller of a pair in the band above leaves out its empty segments, too: the larger one's count
+    plan = {k: allocate(t, k, bands.get(k, (0, 0))[0] + bands.get(k - 1, (0, 0))[0], bands.get(k, (0, 0))[1]) if k in bands else None for b in bands for k in (b, b + 1)}
+    entries = sum(n * sum(a.exact + a.deletion + (t.top(k) if a.deletion else 0) for k in (b, b + 1) if (a := plan[k])) for b, (n, _) in bands.items())
     buckets = min(1 << 15, max(partitions(docs), entries // per_bucket))
-    found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, width, buckets), t, few), "candidates")
-    pairs = found.where("b is not null").select("a", "b").distinct()
-    groups = found.where("b is null").select(F.monotonically_increasing_id().alias("g"), "members")
+    found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, width, buckets, few), t, few), "candidates")
+    pairs = written(found.where("b is not null").select("a", "b").distinct(), "pairs")
+    groups = found.where("b is null").select("g", "band", "members")
     large = not groups.isEmpty()
-    members = unpacked_members(groups) if large else None
+    family = written(families(groups, plan).join(reps.select("key", "n"), "key"), "families") if large else None
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    wanted = (wanted.unionByName(members.select("key")) if large else wanted).distinct().join(reps.select("key", "id"), "key")
+    wanted = (wanted.unionByName(family.select("key")) if large else wanted).distinct().join(reps.select("key", "id"), "key")
     sets = written(sets_of(docs, wanted, id_col, text, width), "sets")
-    ids = reps.select("key", "id")
-
-    def by_id(links: DataFrame) -> DataFrame:
-        a, b = ids.select(F.col("key").alias("a"), F.col("id").alias("ia")), ids.select(F.col("key").alias("b"), F.col("id").alias("ib"))
-        return links.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
-
-    links = written(by_id(verified(pairs, sets, t)), "links")
-    labels = components(links)
-    if large:
-        links, labels = resolved(written(members.join(reps, "key"), "members"), links, labels, lambda p: by_id(verified(p, sets, t)), t)
+    links = verified(pairs, sets, t)
+    links = links.unionByName(family_links(family, sets, t)) if large else links
+    a, b = reps.select(F.col("key").alias("a"), F.col("id").alias("ia")), reps.select(F.col("key").alias("b"), F.col("id").alias("ib"))
+    labels = components(links.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")))
     label = reps.join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     out = nodes.join(label, "key", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"))
     return out.withColumnRenamed("id", id_col)
-
-
-def unpacked_members(groups: DataFrame) -> DataFrame:
-    """(g, key) of packed groups."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for g, raw in zip(b.column("g").to_pylist(), b.column("members").to_pylist()):
-                keys = np.frombuffer(raw, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), g)), pa.array(keys)], names=["g", "key"])
-
-    return groups.mapInArrow(run, "g long, key long")
-
-
-def resolved(members: DataFrame, links: DataFrame, labels: DataFrame, verify, t: Threshold) -> tuple[DataFrame, DataFrame]:
-    """Compare what large groups still hold in different components.
-
-    members: (g, key, id, n).  Each round takes of a group whose members are in several components those outside
-    its largest one, and compares them with the next members in the order of a hash: 16, 256, ..., all."""
-    for upto in (16, 256, 4096, None):
-        now = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        sizes = now.groupBy("g", "component").agg(F.count("*").alias("size"))
-        main = sizes.groupBy("g").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"), F.sum("size").alias("whole")).where("parts > 1")
-        main = written(main, "groups")
-        if main.isEmpty():
-            break
-        now = written(now.join(main, "g"), "members")
-        rank = now.select("g", "key", "n", "component", F.xxhash64("key").alias("h"))
-        # the place in the hash order is wanted up to a bound only; all others are compared in the last round
-        other = rank.select("g", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "h")
-        if upto is not None:
-            cut = rank.groupBy("g").agg(F.count("*").alias("k"))
-            share = F.least(F.lit(1.0), F.lit(float(upto)) / F.col("k"))
-            other = other.join(cut, "g").where(F.col("h").cast("double") <= F.lit(-(2.0**63)) + F.lit(2.0**64) * share).select("g", "b", "nb", "cb")
-        pairs = now.where("component <> main").select("g", F.col("key").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "g").where((F.col("ca") != F.col("cb")) & (t.den * F.least("na", "nb") >= t.num * F.greatest("na", "nb")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = written(links.unionByName(verify(pairs)).distinct(), "links")
-        labels = components(links)
-    return links, labels
