@@ -185,14 +185,14 @@ def marked(h: np.ndarray, band: int) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, id_col: str, text: str, t: Threshold, width: int) -> DataFrame:
-    """(id, n, key, steps) of each row; steps as ``enough`` has them."""
+    """(id, n, key, band, steps) of each row; steps as ``enough`` has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
             sets = [shingle_set(x, width) for x in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32())], names=["id", "n", "key", "steps"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([t.band(len(s)) for s in sets], pa.int32()), pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32())], names=["id", "n", "key", "band", "steps"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, key long, steps int")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, key long, band int, steps int")
 
 
 def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int, few: int) -> DataFrame:
@@ -430,9 +430,8 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Thres
     """Per row: id, n (size of its set), component (smallest id that links reach)."""
     nodes = written(keyed(docs, id_col, text, t, width), "nodes")
     known = nodes.where("id is not null and n > 0")
-    reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("steps").alias("steps")), "reps")
-    band = F.floor(F.log("n") / log(t.den / t.num) + 1e-9).cast("int")
-    bands = {r.band: (r.n, r.steps) for r in reps.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.bit_and("steps").alias("steps")).collect()}
+    reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("band").alias("band"), F.first("steps").alias("steps")), "reps")
+    bands = {r.band: (r.n, r.steps) for r in reps.groupBy("band").agg(F.count("*").alias("n"), F.bit_and("steps").alias("steps")).collect()}
     # a set that is the smaller of a pair in the band above leaves out its empty segments, too: the larger one's count
     plan = {k: allocate(t, k, bands.get(k, (0, 0))[0] + bands.get(k - 1, (0, 0))[0], bands.get(k, (0, 0))[1]) if k in bands else None for b in bands for k in (b, b + 1)}
     entries = sum(n * sum(a.exact + a.deletion + (t.top(k) if a.deletion else 0) for k in (b, b + 1) if (a := plan[k])) for b, (n, _) in bands.items())
