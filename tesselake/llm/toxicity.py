@@ -73,7 +73,7 @@ class Network:
     shift: float = 0.0
     known: dict[str, int] = field(default_factory=dict)
     table: np.ndarray | None = None
-    most: int = 300_000
+    most: int = 150_000
 
     def __getstate__(self):
         return self.__dict__ | {"known": {}, "table": None}
@@ -85,6 +85,15 @@ class Network:
         x = np.add.reduceat(self.p["emb"][feats], starts, axis=0) / np.sqrt(count)[:, None]
         return (x @ self.p["win"] + self.p["bin"]).astype(np.float32)
 
+    def table_of(self, feats: np.ndarray, starts: np.ndarray, step: int = 20_000) -> np.ndarray:
+        """Gate inputs of a whole vocabulary, a part at a time, below a row of zeros for no word."""
+        n = len(starts) - 1
+        table = np.zeros((n + 1, 6 * HIDDEN), np.float32)
+        for i in range(0, n, step):
+            j = min(i + step, n)
+            table[i + 1 : j + 1] = self.inputs(feats[starts[i] : starts[j]], np.repeat(np.arange(j - i), np.diff(starts[i : j + 1])), j - i)
+        return table
+
     def ids(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Rows of the table of gate inputs; words met before are remembered, row 0 stands for no word."""
         new = {w for t in texts for w in t} - self.known.keys()
@@ -238,8 +247,13 @@ def train(samples: list[tuple[str, int]], steps: int = 500, batch: int = 256, ra
     rng = np.random.default_rng(seed)
     texts, labels = [words_of(t) for t, _ in samples], np.array([y for _, y in samples])
     vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
-    feats, owner = features(list(vocabulary))
-    starts = np.append(np.searchsorted(owner, np.arange(len(vocabulary))), len(owner))
+    known, parts, counts = list(vocabulary), [], []
+    for i in range(0, len(known), 20_000):
+        own, owner = features(known[i : i + 20_000])
+        parts.append(own.astype(np.uint16))
+        counts.append(np.bincount(owner, minlength=len(known[i : i + 20_000])))
+    feats = np.concatenate(parts) if parts else np.zeros(0, np.uint16)
+    starts = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, int)
     ids = [np.array([vocabulary[w] for w in t], np.int32) for t in texts]
     windows, of = cut(ids)
     # document frequencies of the features give the first component of the embedding its start
@@ -260,13 +274,13 @@ def train(samples: list[tuple[str, int]], steps: int = 500, batch: int = 256, ra
     fit = rng.random(len(samples)) >= 0.2 if len(samples) >= 100 else np.ones(len(samples), bool)
     usable = np.flatnonzero(fit[of])
     clean = usable[labels[of[usable]] == 0]
-    word_odds = np.concatenate([[0], np.add.reduceat(odds[feats], starts[:-1]) / np.sqrt(np.diff(starts))])
+    word_odds = np.concatenate([[0], np.add.reduceat(odds[feats].astype(np.float32), starts[:-1]) / np.sqrt(np.diff(starts))])
     rating = word_odds[windows].max(1)
     toxic, hard = np.zeros(0, int), clean
     for step in range(steps):
         if step % 50 == 0:
             if step >= 100:
-                table = np.concatenate([np.zeros((1, 6 * HIDDEN), np.float32), net.inputs(feats, owner, len(vocabulary))])
+                table = net.table_of(feats, starts)
                 look = usable if step % 200 == 0 else np.concatenate([usable[labels[of[usable]] == 1], rng.choice(clean, min(len(clean), 20_000), False)])
                 rating[look] = net.logits(table, windows[look])
             own = usable[labels[of[usable]] == 1]
