@@ -87,17 +87,22 @@ def quantized(x: Column, bits: int = 16) -> Column:
     return (x.cast("double") * (2 ** (bits - 1) - 1)).cast("int")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once: inside a lambda an outer expression would be worked out per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def mean_std(signal: Column) -> tuple[Column, Column]:
     """Mean and sample standard deviation of an array."""
     n = F.size(signal).cast("double")
     mean = F.try_divide(F.aggregate(signal, F.lit(0.0), lambda a, x: a + x.cast("double")), n)
-    square = F.aggregate(signal, F.lit(0.0), lambda a, x: a + (x.cast("double") - mean) * (x.cast("double") - mean))
+    square = let(mean, lambda m: F.aggregate(signal, F.lit(0.0), lambda a, x: a + (x.cast("double") - m) * (x.cast("double") - m)))
     return mean, F.sqrt(F.try_divide(square, n - 1))
 
 
 def z_normal(signal: Column) -> Column:
     mean, std = mean_std(signal)
-    return F.transform(signal, lambda x: F.try_divide(x.cast("double") - mean, std))
+    return let(F.struct(mean.alias("mean"), std.alias("std")), lambda m: F.transform(signal, lambda x: F.try_divide(x.cast("double") - m["mean"], m["std"])))
 
 
 def differences(a: Column, b: Column) -> Column:
