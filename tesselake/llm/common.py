@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,7 +32,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    MADE.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+#: Tables that ``written`` has made and ``dropped`` has not removed, in the order of their making.
+MADE: list[str] = []
+
+
+def dropped(spark: SparkSession, *tables: DataFrame | str | None) -> None:
+    """Remove written tables that nothing reads any more, and let Spark clear the shuffle files of finished steps."""
+    for t in tables:
+        path = t if isinstance(t, str) else getattr(t, "_written", None)
+        if path:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            if path in MADE:
+                MADE.remove(path)
+    gc.collect()
+    spark._jvm.System.gc()  # shuffle files go when the driver's references to them do
+
+
+def drop_earlier(docs: DataFrame) -> None:
+    """Remove the tables that earlier steps of a chain have left, but for those that ``docs`` is read from."""
+    read = docs.inputFiles() if MADE else []
+    dropped(docs.sparkSession, *[p for p in MADE if not any(p.rpartition("/")[2] in f for f in read)])
 
 
 def partitions(df: DataFrame, floor: int = 1) -> int:

@@ -19,7 +19,7 @@ def folder(spark, tmp_path_factory):
         texts[i] = " ".join(w)
     shared = " ".join(word() for _ in range(40))
     rows = [(i, t, "en", "src", len(t), 1) for i, t in enumerate(texts)]
-    extra = [texts[1], texts[1] + " plus", texts[3] + " " + shared, texts[5] + " " + shared, texts[7] + " password=hunter2hunter2 end", None, ""]
+    extra = [texts[1], texts[1] + " plus", texts[3] + " " + shared, texts[5] + " " + shared, " ".join(word() for _ in range(50)) + " password=hunter2hunter2 end", None, ""]
     rows += [(1000 + i, t, "en", "src", len(t or ""), 2) for i, t in enumerate(extra)] + [(None, texts[2] + " ka ko mi", "en", "src", 17, 3)]
     root = tmp_path_factory.mktemp("sf")
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, sha int").write.parquet(f"{root}/documents.parquet")
