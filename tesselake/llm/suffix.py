@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix64, partitions, small_batches, written
+from .common import dropped, mix64, partitions, small_batches, written
 
 U = np.uint64
 BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * U(0xD1B54A32D192ED03))
@@ -194,7 +194,10 @@ def raw_texts(batch: pa.RecordBatch, name: str = "t") -> list[bytes]:
 
 
 def candidate_hashes(texts: DataFrame, width: int, k: int, buckets: int) -> DataFrame:
-    """Step 2, dealing: distinct window hashes of each distinct text of a task, packed by bucket."""
+    """Step 2, dealing: distinct window hashes of each distinct text of a task, packed by bucket.
+
+    A hash that texts of one batch share is known to repeat: a bucket gets two entries of it from a batch at most, the
+    others go, dealt by batch, to buckets below 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -212,11 +215,19 @@ def candidate_hashes(texts: DataFrame, width: int, k: int, buckets: int) -> Data
             if not keys:
                 continue
             h, who = np.concatenate(hashes), np.repeat(np.arange(len(keys)), counts)
+            order = np.argsort(h, kind="stable")
+            h, who = h[order], who[order]
+            keys_, rows = np.array(keys, np.int64), []
+            first = run_starts(h)
+            sure = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h)))) > 1
+            if sure.any():
+                # two texts of this batch share it: two entries tell the bucket so, the others need not go there
+                rows.append((-1 - keys[0] % buckets, packed6(h[sure]), None, keys_[who[sure]].tobytes()))
+                h, who = h[~sure], who[~sure]
             bucket = bucket_of(h, buckets)
             order = np.argsort(bucket, kind="stable")
             h, who = h[order], who[order]
             at = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            keys_, rows = np.array(keys, np.int64), []
             for i in range(buckets):
                 if at[i] < at[i + 1]:
                     used, local = np.unique(who[at[i] : at[i + 1]], return_inverse=True)
@@ -233,16 +244,17 @@ def repeated_hashes(dealt: DataFrame, blocks: int) -> DataFrame:
         h, key = [], []
         for r in table.to_pylist():
             own = unpacked6(r["h"])
-            local = np.frombuffer(r["local"], np.uint16 if len(r["local"]) == 2 * len(own) else np.uint32)
             h.append(own)
-            key.append(np.frombuffer(r["keys"], np.int64)[local])
+            keys = np.frombuffer(r["keys"], np.int64)
+            key.append(keys if r["local"] is None else keys[np.frombuffer(r["local"], np.uint16 if len(r["local"]) == 2 * len(own) else np.uint32)])
         h, key = np.concatenate(h), np.concatenate(key)
-        order = np.argsort(h, kind="stable")
-        h, key = h[order], key[order]
-        first = run_starts(h)
-        low, high = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
-        keep = np.repeat(low < high, np.diff(np.append(first, len(h))))
-        h, key = h[keep], key[keep]
+        if table.column("bucket")[0].as_py() >= 0:
+            order = np.argsort(h, kind="stable")
+            h, key = h[order], key[order]
+            first = run_starts(h)
+            low, high = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
+            keep = np.repeat(low < high, np.diff(np.append(first, len(h))))
+            h, key = h[keep], key[keep]
         block = key % blocks
         order = np.argsort(block, kind="stable")
         at = np.searchsorted(block[order], np.arange(blocks + 1))
@@ -267,7 +279,8 @@ def repeated_hashes(dealt: DataFrame, blocks: int) -> DataFrame:
 def stretches(suspects: DataFrame, width: int, k: int, deal: int, buckets: int) -> DataFrame:
     """Step 3: stretches of neighbouring candidate windows with one smallest ``deal``-gram hash, packed by bucket.
 
-    A stretch is written once per row, with a list of where it occurs."""
+    A stretch is written once per row, with a list of where it occurs.  Of the documents of a batch that share one only the
+    smallest is in question: the others' spans are settled and go, dealt by batch, to buckets below 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 2 << 20):
@@ -285,18 +298,27 @@ def stretches(suspects: DataFrame, width: int, k: int, deal: int, buckets: int)
                 for s, e, g in zip(cut[keep].tolist(), ends[keep].tolist(), bucket_of(m[cut[keep]], buckets).tolist()):
                     known, places = found.setdefault(g, ({}, []))
                     places.append((known.setdefault((raw[s : e + width - 1], e - s), len(known)), d, s))
-            rows = []
+            rows, sure = [], []
+            ids, uids = np.array(docs, np.int64), np.array(uids, np.int64)
             for g, (known, places) in found.items():
                 c, d, s = np.array(places, np.int64).T
+                lengths, least = np.array([len(x) for x, _ in known], np.uint32), np.full(len(known), np.iinfo(np.int64).max)
+                np.minimum.at(least, c, ids[d])
+                goes = ids[d] > least[c]  # an earlier document of this batch has the whole stretch
+                sure.append((uids[d[goes]], s[goes], s[goes] + lengths[c[goes]]))
+                c, d, s = c[~goes], d[~goes], s[~goes]
                 used, local = np.unique(d, return_inverse=True)
-                rows.append((g, b"".join(x for x, _ in known), np.array([len(x) for x, _ in known], np.uint32).tobytes(), np.array([w for _, w in known], np.uint32).tobytes(), c.astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes(), s.astype(np.uint32).tobytes(), *(np.array([x[i] for i in used], np.int64).tobytes() for x in (docs, uids))))
+                rows.append((g, b"".join(x for x, _ in known), lengths.tobytes(), np.array([w for _, w in known], np.uint32).tobytes(), c.astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes(), s.astype(np.uint32).tobytes(), ids[used].tobytes(), uids[used].tobytes()))
+            if sure and sum(len(x[0]) for x in sure):
+                u, start, end = map(np.concatenate, zip(*sure))
+                rows.append((-1 - int(u[0]) % buckets, None, end.astype(np.uint32).tobytes(), None, None, None, start.astype(np.uint32).tobytes(), None, u.tobytes()))
             columns = list(zip(*rows)) if rows else [()] * 9
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.int32(), *[pa.binary()] * 8))], names=["bucket", "text", "lengths", "starts", "context", "local", "place", "docs", "uids"])
 
     return suspects.mapInArrow(run, "bucket int, text binary, lengths binary, starts binary, context binary, local binary, place binary, docs binary, uids binary")
 
 
-def judged(dealt: DataFrame, width: int, blocks: int, most: int = 3_000_000) -> DataFrame:
+def judged(dealt: DataFrame, width: int, blocks: int, most: int = 1_000_000) -> DataFrame:
     """Step 4: (uid, cuts), the spans that go from each suspect."""
 
     def spans(contexts: list[tuple[bytes, int]], context: np.ndarray, doc: np.ndarray, uid: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -320,6 +342,9 @@ def judged(dealt: DataFrame, width: int, blocks: int, most: int = 3_000_000) ->
         return uid[occurrence], place[occurrence] + a[run], place[occurrence] + b[run]
 
     def judge(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:
+            rows = table.to_pylist()
+            return shaped(*(np.concatenate([np.frombuffer(r[n], kind) for r in rows]).astype(np.int64) for n, kind in (("uids", np.int64), ("place", np.uint32), ("lengths", np.uint32))))
         contexts: dict[tuple[bytes, int], int] = {}
         context, doc, uid, place = [], [], [], []
         for r in table.to_pylist():
@@ -350,7 +375,9 @@ def judged(dealt: DataFrame, width: int, blocks: int, most: int = 3_000_000) ->
                     number[own] = np.arange(len(own))
                     here = part[context] == p
                     out.append(spans([known[i] for i in own], number[context[here]], doc[here], uid[here], place[here]))
-        d, a, b = (np.concatenate(x) for x in zip(*out))
+        return shaped(*(np.concatenate(x) for x in zip(*out)))
+
+    def shaped(d: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
         block = np.mod(d, blocks)
         order = np.lexsort((a, d, block))
         d, a, b, block = d[order], a[order], b[order], block[order]
@@ -394,9 +421,11 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     buckets = int(min(1 << 15, max(partitions(docs), total // bucket_bytes)))
     texts = rows.where("id is not null")
     hashes = written(repeated_hashes(candidate_hashes(texts, width, k, buckets), buckets), "hashes")
+    dropped(docs.sparkSession)
     wanted = hashes.join(reps.select("key", F.col("first").alias("id"), "sha"), "key").select("id", "h", "sha")
     # a repeated doc_id may stand for several texts: the text's digest tells them apart
     suspects = written(texts.join(wanted.hint("shuffle_hash"), "id").where(F.sha2("t", 256) == F.col("sha")).dropDuplicates(["id", "sha"]).select("id", "t", "h", "sha", F.monotonically_increasing_id().alias("uid")), "suspects")
+    dropped(docs.sparkSession, hashes)
     cuts = judged(stretches(suspects.select("id", "uid", "t", "h"), width, k, DEAL, buckets), width, buckets)
     cut = suspects.select("id", "uid", "t", "sha").join(cuts, "uid")
     whole = F.coalesce((F.col("first") < F.col("id")) & (F.col("n_bytes") >= width), F.lit(False))
