@@ -1,17 +1,18 @@
-"""Encoding and decoding over a SentencePiece vocabulary by streaming Viterbi.
+"""Encoding and decoding over a SentencePiece vocabulary, with the ids that the model file defines.
 
-The vocabulary of the model file is read as a unigram lattice: a piece costs the logarithm of its rank (so frequent
-pieces are cheap and few pieces beat many), a character that no piece holds costs a fixed amount for each of its bytes, and
-the cheapest segmentation wins; of equal ones that with the longer piece at the first place, from the end, where they differ.
+A BPE model's scores are ranks of merges: starting from single characters, of all adjacent pairs whose text is a piece
+the one of the best score is merged, the leftmost of equal ones, until none is left.  A unigram model's scores are log
+probabilities: the segmentation of the largest sum wins (of equal ones that with the longer piece at the first place,
+from the end, where they differ), found by streaming Viterbi.  A character that no piece holds is spelled in bytes.
 The blank is written as the mark U+2581, one of which stands before the text; a mark in the text itself is spelled
-in bytes, so decoding gives back every text exactly.
+in bytes, so decoding gives back every text exactly (sentencepiece itself takes such a mark for a blank).
 
-The encoder is streaming: a position's best path depends on the costs of the last ``reach`` positions alone (the
-longest piece), and as soon as the paths of all of them run through one boundary, the ids before it are committed and
-forgotten.  Two kinds of places are such boundaries whatever the text: before a mark that follows another character (no
+Two kinds of places are boundaries of pieces whatever the text: before a mark that follows another character (no
 piece has a mark behind one), and around characters without piece.  Texts are cut there first; the stretches between are
-short and repeat, so a batch's distinct stretches are segmented together, position by position, in numpy, and remembered.
-Long stretches go through the streaming form one by one.
+short and repeat, so a batch's distinct stretches are encoded together in numpy, and remembered.  Long ones are encoded
+one by one: merges by a heap, the lattice by its streaming form.  There a position's best path depends on the costs of
+the last ``reach`` positions alone (the longest piece), and as soon as the paths of all of them run through one
+boundary, the ids before it are committed and forgotten.
 
 Null texts count as empty: no ids, and the empty text back.  Each row stands for itself, whatever its doc_id; an
 empty table gives no rows.
@@ -19,6 +20,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -36,6 +38,7 @@ U = np.uint64
 STEP = U(0x9E3779B97F4A7C15)
 SCALE = 1 << 16
 FAR = np.int64(1) << 50
+NONE = np.int32(np.iinfo(np.int32).max)
 
 
 class Pieces:
@@ -43,8 +46,19 @@ class Pieces:
 
     def __init__(self, path: str):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         m = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(path, "rb") as f:
+            proto = sentencepiece_model_pb2.ModelProto.FromString(f.read())
+        kinds, norm = type(proto.trainer_spec), proto.normalizer_spec
+        if proto.trainer_spec.model_type not in (kinds.BPE, kinds.UNIGRAM):
+            raise ValueError("neither a BPE nor a unigram model")
+        if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not (norm.add_dummy_prefix and norm.escape_whitespaces) or proto.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("the model changes texts before it encodes them")
+        if any(p.type in (p.USER_DEFINED, p.UNUSED) for p in proto.pieces):
+            raise ValueError("pieces that the user defined or that are unused")
+        self.bpe = proto.trainer_spec.model_type == kinds.BPE
         self.bytes_, self.ids, self.text = {}, {}, []
         for i in range(m.get_piece_size()):
             p = m.id_to_piece(i)
@@ -58,10 +72,17 @@ class Pieces:
                 self.text.append(p.replace(MARK, " ").encode())
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a mark behind other characters")
+        if len(self.bytes_) < 256 or {c for p in self.ids for c in p} - self.ids.keys() or "\n" in self.ids:
+            raise ValueError("a byte or a character of a piece has no piece, or a line end has one")
+        self.score = {p: m.get_score(i) for p, i in self.ids.items()}
         self.reach = max(map(len, self.ids))
-        first = min(self.ids.values())
-        self.cost = {p: int(SCALE * np.log(i - first + 2)) for p, i in self.ids.items()}
-        self.byte_cost = int(SCALE * np.log(2 * len(self.text)))
+        if self.bpe:  # no probabilities: the lattice, which the ids don't come from, takes the logarithm of the rank
+            first = min(self.ids.values())
+            self.cost = {p: int(SCALE * np.log(i - first + 2)) for p, i in self.ids.items()}
+            self.byte_cost = int(SCALE * np.log(2 * len(self.text)))
+        else:
+            self.cost = {p: round(-SCALE * x) for p, x in self.score.items()}
+            self.byte_cost = max(self.cost.values()) + 10 * SCALE
         hashes = np.array([self.hash_of(p) for p in self.ids], np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
@@ -80,6 +101,10 @@ class Pieces:
     def spelled(self, c: str) -> list[int]:
         return [self.bytes_[b] for b in c.encode("utf-8", "surrogatepass")]
 
+    def spelling_cost(self, ids: tuple[int, ...]) -> int:
+        """sentencepiece has one cost for each unknown character of a unigram model."""
+        return len(ids) * self.byte_cost if self.bpe else self.byte_cost
+
     def stream(self, characters: Iterable[str]) -> Iterator[int]:
         """Ids of a stream of characters (marks for blanks), committed as soon as all surviving paths agree."""
         window: list[str] = []  # the characters since the last commit
@@ -94,7 +119,7 @@ class Pieces:
                     best = found if best is None or found[0] < best[0] else best
             if c not in self.cost:
                 ids = tuple(self.spelled(c))
-                found = cost[j - 1] + len(ids) * self.byte_cost, 1, ids
+                found = cost[j - 1] + self.spelling_cost(ids), 1, ids
                 best = found if best is None or found[0] < best[0] else best
             cost.append(int(FAR) if best is None else best[0])
             back.append((1, ()) if best is None else best[1:])
@@ -156,13 +181,95 @@ class Pieces:
         return np.split(number[ends], np.cumsum(ends.sum(1))[:-1])
 
 
+class Merges:
+    """The merges of a BPE model: pairs of pieces whose joint text is a piece, and its place by score."""
+
+    def __init__(self, p: Pieces):
+        self.spelled = p.spelled
+        order = {x: i for i, x in enumerate(sorted(set(p.score.values()), reverse=True))}
+        pairs = sorted((p.ids[w[:i]] << 32 | p.ids[w[i:]], order[p.score[w]], n) for w, n in p.ids.items() for i in range(1, len(w)) if w[:i] in p.ids and w[i:] in p.ids)
+        keys, ranks, into = zip(*pairs, ((1 << 62), NONE, 0))
+        self.pair = {k: (r, n) for k, r, n in pairs}
+        self.keys, self.ranks, self.into = np.array(keys, np.int64), np.array(ranks, np.int32), np.array(into, np.int32)
+        single = sorted((ord(w), n) for w, n in p.ids.items() if len(w) == 1)
+        self.single = {chr(c): n for c, n in single}
+        self.codes, self.code_ids = np.array([c for c, _ in single], np.uint32), np.array([n for _, n in single], np.int32)
+
+    def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By pair of ids the place of its merge (NONE if there is none) and the id that it makes."""
+        key = a.astype(np.int64) << 32 | b
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.ranks[at], NONE), self.into[at]
+
+    def together(self, stretches: list[str]) -> list[np.ndarray]:
+        """Ids of stretches of one length whose characters all have pieces: one merge of each stretch at a time."""
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32).reshape(len(stretches), -1)
+        sym = self.code_ids[np.searchsorted(self.codes, codes)]
+        rank, into = self.look(sym[:, :-1], sym[:, 1:])
+        out: list[np.ndarray] = [None] * len(stretches)
+        rows = np.arange(len(stretches))
+        while len(rows):
+            n, width = sym.shape
+            if width == 1:
+                done, place = np.ones(n, bool), np.zeros(n, np.int64)
+            else:
+                place = rank.argmin(1)  # the leftmost of equal ones
+                done = rank[np.arange(n), place] == NONE
+            if done.any():
+                for i, ids in zip(rows[done].tolist(), sym[done]):
+                    out[i] = ids
+                sym, rank, into, rows, place = sym[~done], rank[~done], into[~done], rows[~done], place[~done]
+                if not len(rows):
+                    break
+            n = len(rows)
+            every = np.arange(n)
+            new = into[every, place]
+            sym[every, place] = new
+            rest = np.ones((n, width), bool)
+            rest[every, place + 1] = False
+            sym = sym[rest].reshape(n, width - 1)
+            rest = np.ones((n, width - 1), bool)
+            rest[every, place] = False
+            rank, into = rank[rest].reshape(n, width - 2), into[rest].reshape(n, width - 2)
+            r = np.flatnonzero(place > 0)
+            at = place[r] - 1
+            rank[r, at], into[r, at] = self.look(sym[r, at], new[r])
+            r = np.flatnonzero(place < width - 2)
+            at = place[r]
+            rank[r, at], into[r, at] = self.look(new[r], sym[r, at + 1])
+        return out
+
+    def alone(self, stretch: str) -> list[int]:
+        """Ids of one stretch of any length; a character without piece neither merges nor is merged over."""
+        sym = [self.single.get(c, -1) for c in stretch]
+        after, before = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
+        heap: list[tuple[int, int, int, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if i >= 0 and j < len(sym) and sym[i] >= 0 and sym[j] >= 0 and (found := self.pair.get(sym[i] << 32 | sym[j])):
+                heapq.heappush(heap, (found[0], i, j, sym[i], sym[j], found[1]))
+
+        for i in range(len(sym) - 1):
+            offer(i, i + 1)
+        while heap:
+            _, i, j, a, b, new = heapq.heappop(heap)
+            if sym[i] != a or sym[j] != b or after[i] != j:
+                continue
+            sym[i], sym[j], after[i] = new, -2, after[j]
+            if after[i] < len(sym):
+                before[after[i]] = i
+            offer(before[i], i)
+            offer(i, after[i])
+        return [n for c, x in zip(stretch, sym) if x != -2 for n in ([x] if x >= 0 else self.spelled(c))]
+
+
 @lru_cache
 def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
 class Codec:
-    """Batches of texts to ids and back; stretches met before are remembered."""
+    """Batches of texts to ids and back, by the lattice; stretches met before are remembered."""
 
     LONG = 40
 
@@ -181,11 +288,17 @@ class Codec:
             elif len(s) <= self.LONG and not self.odd.search(s.replace(MARK, " ")):
                 by_length.setdefault(len(s), []).append(s)
             else:
-                self.known[s] = np.array(list(self.pieces.stream(s)), np.uint16).tobytes()
+                self.known[s] = np.array(list(self.alone(s)), np.uint16).tobytes()
         for group in by_length.values():
             for i in range(0, len(group), 20_000):
                 own = group[i : i + 20_000]
-                self.known.update((s, x.astype(np.uint16).tobytes()) for s, x in zip(own, self.pieces.together(own)))
+                self.known.update((s, x.astype(np.uint16).tobytes()) for s, x in zip(own, self.together(own)))
+
+    def together(self, stretches: list[str]) -> list[np.ndarray]:
+        return self.pieces.together(stretches)
+
+    def alone(self, stretch: str) -> Iterable[int]:
+        return self.pieces.stream(stretch)
 
     def split(self, text: str) -> list[str]:
         """The text's stretches, marks for its blanks.  A mark of its own is given as a NUL-marked stretch."""
@@ -242,9 +355,18 @@ class Codec:
         return raw[1:].decode("utf-8", "surrogatepass") if len(ids) else ""
 
 
+class MergeCodec(Codec):
+    """The same, by the merges of a BPE model."""
+
+    def __init__(self, path: str, most: int = 1_000_000):
+        super().__init__(path, most)
+        merges = Merges(self.pieces)
+        self.together, self.alone = merges.together, merges.alone
+
+
 @lru_cache
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return MergeCodec(path) if pieces(path).bpe else Codec(path)
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", ids: bool = True, block_bytes: int = 4 << 20) -> DataFrame:

@@ -69,3 +69,44 @@ def test_query(spark):
     assert back == {(i, t or "") for i, t, _ in rows}
     assert pieces.encoded(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
     assert np.array_equal(pieces.codec(PATH).encode([])[0], np.zeros(0))
+
+
+WORDS = ["running", "Transformational", "zzzz", "AKIA12ff", "été", "straße", "日本", "😀", "\n", "\t", " ", "  ", "     ", "x" * 50, "0123456789", "deadbeef" * 8, "don't", "é", "ij" * 30]
+
+
+def plain_texts():
+    rng = np.random.default_rng(3)
+    made = ["".join(" " * int(rng.integers(3)) + w for w in rng.choice(WORDS, rng.integers(1, 30))) for _ in range(200)]
+    return [t for t in ODD if MARK not in t] + made
+
+
+def test_ids_of_a_bpe_model_are_those_of_sentencepiece():
+    import sentencepiece
+
+    texts = plain_texts()
+    want = sentencepiece.SentencePieceProcessor(model_file=PATH).encode(texts)
+    c = pieces.codec(PATH)
+    for _ in range(2):  # the second time from memory
+        flat, at = c.encode(texts)
+        assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == want
+    assert [c.decode(flat[i:j]) for i, j in zip(at[:-1], at[1:])] == texts
+
+
+def test_long_stretches_merge_as_short_ones_do():
+    c = pieces.MergeCodec(PATH)
+    for s in [MARK + "internationalization", MARK * 17, MARK + "aaaaaaaaaaaab", "0123"]:
+        assert c.together([s])[0].tolist() == list(c.alone(s))
+
+
+def test_ids_of_a_unigram_model_are_those_of_sentencepiece(tmp_path):
+    import sentencepiece
+
+    rng = np.random.default_rng(4)
+    stems = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 6))) for _ in range(80)]
+    lines = [" ".join("".join(rng.choice(stems, rng.integers(1, 4))) for _ in range(12)) for _ in range(400)]
+    sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(lines), model_prefix=str(tmp_path / "u"), model_type="unigram", vocab_size=500, byte_fallback=True, normalization_rule_name="identity", remove_extra_whitespaces=False, minloglevel=2)
+    path = str(tmp_path / "u.model")
+    texts = [*lines, "", " ", "ab  cd", "aéb", "日a 本", "zz abc\nx", "abcdefgh" * 20]
+    want = sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
+    flat, at = pieces.codec(path).encode(texts)
+    assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == want
