@@ -72,7 +72,7 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .pieces import encoded
 
-    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ids=False)
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,13 @@ def test_ids_of_a_unigram_model_are_those_of_sentencepiece(tmp_path):
     want = sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
     flat, at = pieces.codec(path).encode(texts)
     assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == want
+
+
+def test_registered_query_gives_ids_that_decode_to_the_texts(spark, tmp_path):
+    from tesselake.llm.queries import op10_sentence_pieces
+
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = op10_sentence_pieces(spark, str(tmp_path))
+    assert {(r.doc_id, r.text) for r in pieces.decoded(out, PATH).collect()} == {(i, t or "") for i, t in rows}
+    assert all(len(r.ids) == r.n_ids for r in out.collect())
