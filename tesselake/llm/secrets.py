@@ -53,9 +53,18 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", "[0-9a-f]+", 0, 32),
 )
+# A PEM key: up to the END line of the same label, if no other BEGIN comes first; else what follows of headers and base64
+# lines (20 characters or more; the last one may be shorter, if it is padded or ends its line).
+BREAK = r"""(?:[\s>"']|\\[nrt])+"""
+PEM = (
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----"
+    r"(?:[^-]*(?:-(?!----BEGIN |----END \1PRIVATE KEY-----)[^-]*)*-----END \1PRIVATE KEY-----"
+    rf"|(?:{BREAK}(?:Proc-Type|DEK-Info): ?[A-Za-z0-9,-]+)*(?:{BREAK}[A-Za-z0-9+/]{{20,}}={{0,2}})*"
+    rf"""(?:{BREAK}(?:[A-Za-z0-9+/]+={{1,2}}|[A-Za-z0-9+/]+(?=\r?\n|\\[nr]|["']|\s*\Z)))?)"""
+)
 # Further public formats.
 EXTRA = (
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", PEM),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),

@@ -55,3 +55,36 @@ def test_redaction_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a secret=12345678 b"), (2, None), (3, "plain")], "doc_id long, text string")
     assert [r.text for r in secrets.redacted(df).orderBy("doc_id").collect()] == ["a [ASSIGN] b", None, "plain"]
     assert secrets.digest(df.where(F.lit(False))).count() == 0
+
+
+LINES = ["MIIEpAIBAAKCAQEA" + "aB3+/xYz" * 6, "q7" * 32, "Zm9vYmFyCg=="]
+
+
+def pem(label, end="\n", head=(), lines=LINES, tail=True):
+    return end.join([f"-----BEGIN {label}PRIVATE KEY-----", *head, *lines, *[f"-----END {label}PRIVATE KEY-----"] * tail])
+
+
+def test_a_whole_private_key_is_blanked(spark):
+    head = ("Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF00FF", "")
+    whole = [pem(label, end, h) for label in ("", "RSA ", "ENCRYPTED ") for end in ("\n", "\r\n", "\\n", " ") for h in ((), head)]
+    cut = [pem(label, end, h, tail=False) for label in ("", "EC ") for end in ("\n", "\r\n", "\\n", "\n> ") for h in ((), head)]
+    cut += [pem("", lines=LINES[:1], tail=False), pem("", lines=[*LINES[:1], "q7Zk9"], tail=False)]
+    texts = [f"before {k}\nafter it -- all" for k in whole + cut] + ["a " + pem("RSA ") + "\nb\n" + pem("") + "\nc", "one " + pem("EC ", lines=LINES[:1], tail=False) + "\n" + pem("") + " two"]
+    want = ["before [PRIVATE_KEY]\nafter it -- all"] * len(whole + cut) + ["a [PRIVATE_KEY]\nb\n[PRIVATE_KEY]\nc", "one [PRIVATE_KEY]\n[PRIVATE_KEY] two"]
+    out = secrets.redacted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.text for r in out] == want
+
+
+def test_a_lone_begin_line_takes_no_prose():
+    text = "The line -----BEGIN RSA PRIVATE KEY----- starts a key.\n-----BEGIN PRIVATE KEY-----\nNo key is here -- or there."
+    assert secrets.redact(text, secrets.scan([text])[0]) == "The line [PRIVATE_KEY] starts a key.\n[PRIVATE_KEY]\nNo key is here -- or there."
+    assert secrets.trigram_query(secrets.PEM) is not None
+
+
+def test_private_key_scan_is_linear():
+    import time
+
+    start = time.process_time()
+    for part in ("-", "\n", "A", "\\n", "-----BEGIN PRIVATE KEY-----\n", "-----END RSA PRIVATE KEY-----"):
+        secrets.scan(["-----BEGIN PRIVATE KEY-----" + part * (200_000 // len(part))])
+    assert time.process_time() - start < 10
