@@ -4,20 +4,28 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: With this setting Spark removes a query's exchanges as soon as the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (where that is unset, as in
-    local tests) a folder made here and stored under that setting of the session."""
+    """The folder that driver and executors share: spark.checkpoint.dir.  Where that is unset, a session with a local
+    master gets a folder made here, stored under that setting; any other raises, as executors would not see it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = Path(tempfile.mkdtemp(prefix="tesselake-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -27,38 +35,89 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def short_lived_exchanges(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within leave no shuffle files behind (a setting of the session: another thread's query may lose
+    its exchanges, too, at its end, and writes them again if it is run again)."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+class Held:
+    """The written tables of this process, each with a weak reference to the file index that every plan over it holds.
+
+    A table goes when its maker drops it, or when no plan reads it any more: ``sweep`` removes those whose file index
+    the JVM has collected.  So a result that someone still holds keeps its tables, in whichever thread it was made."""
+
+    def __init__(self) -> None:
+        self.lock, self.refs = threading.Lock(), {}
+
+    def add(self, path: str, table: DataFrame) -> None:
+        jvm = table.sparkSession._jvm
+        index = table._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
+        with self.lock:
+            self.refs[path] = jvm.java.lang.ref.WeakReference(index)
+
+    def remove(self, spark: SparkSession, path: str) -> None:
+        with self.lock:
+            self.refs.pop(path, None)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def sweep(self, spark: SparkSession) -> None:
+        gc.collect()  # Python's handles on JVM objects
+        spark._jvm.System.gc()
+        with self.lock:
+            gone = [path for path, ref in self.refs.items() if ref.get() is None]
+        for path in gone:
+            self.remove(spark, path)
+
+
+HELD = Held()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of ``df``: write it as Parquet in the shared folder and read that."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    MADE.append(path)
+    with short_lived_exchanges(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
+    HELD.add(path, out)
     return out
 
 
-#: Tables that ``written`` has made and ``dropped`` has not removed, in the order of their making.
-MADE: list[str] = []
+def bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """Like ``written``, dealt by the column ``by``: joins on it don't shuffle the table again.
+
+    Spark keeps buckets for catalogue tables only; the entry goes again once the table's plan is made."""
+    spark = df.sparkSession
+    path, entry = new_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+    with short_lived_exchanges(spark):
+        df.repartition(buckets, by).write.bucketBy(buckets, by).option("compression", "zstd").option("path", path).saveAsTable(entry)
+    out = spark.table(entry)
+    out = out.select("*")  # analysed: holds the files, not the entry
+    out._written = path
+    HELD.add(path, out)
+    spark.sql(f"DROP TABLE {entry}")
+    return out
 
 
-def dropped(spark: SparkSession, *tables: DataFrame | str | None) -> None:
-    """Remove written tables that nothing reads any more, and let Spark clear the shuffle files of finished steps."""
+def dropped(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Remove written tables of an operator's own that nothing reads any more."""
     for t in tables:
-        path = t if isinstance(t, str) else getattr(t, "_written", None)
-        if path:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-            if path in MADE:
-                MADE.remove(path)
-    gc.collect()
-    spark._jvm.System.gc()  # shuffle files go when the driver's references to them do
-
-
-def drop_earlier(docs: DataFrame) -> None:
-    """Remove the tables that earlier steps of a chain have left, but for those that ``docs`` is read from."""
-    read = docs.inputFiles() if MADE else []
-    dropped(docs.sparkSession, *[p for p in MADE if not any(p.rpartition("/")[2] in f for f in read)])
+        if path := getattr(t, "_written", None):
+            HELD.remove(spark, path)
+
+
+def sweep(df: DataFrame) -> None:
+    """Remove the written tables that no plan reads any more, as those of consumed results."""
+    HELD.sweep(df.sparkSession)
 
 
 def partitions(df: DataFrame, floor: int = 1) -> int:

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import MADE, dropped, mix64, partitions, small_batches, written
+from .common import dropped, mix64, partitions, small_batches, sweep, written
 from .components import components
 
 U = np.uint64
@@ -428,6 +428,7 @@ def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int =
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, few: int = 16, per_bucket: int = 1_500_000) -> DataFrame:
     """Per row: id, n (size of its set), component (smallest id that links reach)."""
+    sweep(docs)
     nodes = written(keyed(docs, id_col, text, t, width), "nodes")
     known = nodes.where("id is not null and n > 0")
     reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("band").alias("band"), F.first("steps").alias("steps")), "reps")
@@ -437,8 +438,6 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Thres
     entries = sum(n * sum(a.exact + a.deletion + (t.top(k) if a.deletion else 0) for k in (b, b + 1) if (a := plan[k])) for b, (n, _) in bands.items())
     buckets = min(1 << 15, max(partitions(docs), entries // per_bucket))
     found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, width, buckets, few), t, few), "candidates")
-    before = [p for p in MADE if p != found._written]
-    dropped(docs.sparkSession)
     pairs = written(found.where("b is not null").select("a", "b").distinct(), "pairs")
     groups = found.where("b is null").select("g", "band", "members")
     large = not groups.isEmpty()
@@ -450,8 +449,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Thres
     links = links.unionByName(family_links(family, sets, t)) if large else links
     a, b = reps.select(F.col("key").alias("a"), F.col("id").alias("ia")), reps.select(F.col("key").alias("b"), F.col("id").alias("ib"))
     labels = components(links.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")))
-    # the labels are written: of the tables since then only they are read any more
-    dropped(docs.sparkSession, *[p for p in MADE if p not in before and p != labels._written])
+    dropped(docs.sparkSession, found, pairs, sets, family)  # the labels are written
     label = reps.join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     out = nodes.join(label, "key", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"))
     return out.withColumnRenamed("id", id_col)

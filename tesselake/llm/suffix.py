@@ -3,12 +3,15 @@
 A byte goes if a string of ``width`` bytes that covers it also starts in a document with a smaller doc_id; strings
 are judged on the input.  The steps:
 
-1. Documents equal to one with a smaller id go wholly (if they are long enough) and take no further part.
+1. The texts are dealt once, by a number of their row, to a bucketed table; all later joins bring their (small)
+   side to it, so texts aren't shuffled again.  Equal texts are one string of the sort, with the smallest of their ids:
+   from the other ids' rows all bytes go (if there are enough), by the same rule, as all their windows stand beside it.
 2. Candidates.  The smallest of the 26-gram hashes in a 50-byte window depends on the window alone, so equal windows
    have equal smallest hashes.  These (about one in 13 bytes) are dealt to buckets in packed form; a window whose
    hash occurs in one text only can't repeat and is left out.  This loses nothing and leaves a small part of the input.
 3. Dealing.  The windows left are dealt to buckets by their smallest 12-gram hash, again a function of the window
-   alone, as stretches of text that hold neighbouring windows of one hash.
+   alone, as stretches of text that hold neighbouring windows of one hash.  A stretch that documents of one batch share
+   is written once: it takes part in the sort for the smallest of them, and goes from the others.
 4. Difference-cover sort within each bucket: the suffixes at places 1 and 2 modulo 3 are sorted by triples of bytes
    and named; names of three names each are sorted and named in turn until they span the width (9, 27, 81 bytes:
    the recursion ends where prefixes are long enough); the places 0 modulo 3 are sorted by their first byte and the rank
@@ -16,6 +19,9 @@ are judged on the input.  The steps:
    over ``width`` bytes: a run of equal prefixes is a repeated string, which goes from all but its smallest document.
 5. The spans to remove are gathered by blocks of documents and cut out of the texts of the documents concerned.
 
+Buckets are as many as keep one to about ``bucket_bytes`` of text, at any size of the input; one with more than ``most``
+bytes of stretches is sorted in parts (by the hash that deals them), one at a time.
+
 Null texts count as empty.  Rows with one doc_id don't remove each other's strings.  Rows without doc_id keep all
 bytes and take none from others.  An empty table gives no rows.
 """
@@ -26,11 +32,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from .common import dropped, mix64, partitions, small_batches, written
+from .common import bucketed, dropped, mix64, partitions, small_batches, sweep, written
 
 U = np.uint64
 BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * U(0xD1B54A32D192ED03))
@@ -166,11 +172,6 @@ def repeated(contexts: list[bytes], starts: list[int], width: int) -> tuple[np.n
     return owner, offset, out
 
 
-def text_key(raw: bytes) -> int:
-    """The first 60 bits of the text's SHA-256."""
-    return int(hashlib.sha256(raw).hexdigest()[:15], 16)
-
-
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix64(h) >> U(32)) * U(buckets)) >> U(32)
 
@@ -194,24 +195,18 @@ def raw_texts(batch: pa.RecordBatch, name: str = "t") -> list[bytes]:
 
 
 def candidate_hashes(texts: DataFrame, width: int, k: int, buckets: int) -> DataFrame:
-    """Step 2, dealing: distinct window hashes of each distinct text of a task, packed by bucket.
+    """Step 2, dealing: distinct window hashes of each text (row, t), packed by bucket.
 
     A hash that texts of one batch share is known to repeat: a bucket gets two entries of it from a batch at most, the
     others go, dealt by batch, to buckets below 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
         for b in small_batches(batches, 4 << 20):
-            keys, hashes, counts = [], [], []
+            keys, hashes, counts = b.column("row").to_pylist(), [], []
             for raw in raw_texts(b):
-                if len(raw) < width or (key := text_key(raw)) in met:
-                    continue
-                met.add(key)
                 v = window_keys(np.frombuffer(raw, np.uint8), width, k)
-                v = np.unique(v[run_starts(v)])
-                keys.append(key)
-                hashes.append(v)
-                counts.append(len(v))
+                hashes.append(np.unique(v[run_starts(v)]))
+                counts.append(len(hashes[-1]))
             if not keys:
                 continue
             h, who = np.concatenate(hashes), np.repeat(np.arange(len(keys)), counts)
@@ -234,7 +229,7 @@ def candidate_hashes(texts: DataFrame, width: int, k: int, buckets: int) -> Data
                     rows.append((i, packed6(h[at[i] : at[i + 1]]), local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(), keys_[used].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))], names=["bucket", "h", "local", "keys"])
 
-    return texts.select("t").mapInArrow(run, "bucket int, h binary, local binary, keys binary")
+    return texts.select("row", "t").mapInArrow(run, "bucket int, h binary, local binary, keys binary")
 
 
 def repeated_hashes(dealt: DataFrame, blocks: int) -> DataFrame:
@@ -271,9 +266,9 @@ def repeated_hashes(dealt: DataFrame, blocks: int) -> DataFrame:
         key, h = key[order], h[order]
         first = run_starts(key)
         ends = np.append(first, len(key))
-        return pa.table({"key": pa.array(key[first]), "h": pa.array([packed6(np.unique(h[ends[i] : ends[i + 1]])) for i in range(len(first))], pa.binary())})
+        return pa.table({"row": pa.array(key[first]), "h": pa.array([packed6(np.unique(h[ends[i] : ends[i + 1]])) for i in range(len(first))], pa.binary())})
 
-    return found.groupBy("block").applyInArrow(by_key, "key long, h binary")
+    return found.groupBy("block").applyInArrow(by_key, "row long, h binary")
 
 
 def stretches(suspects: DataFrame, width: int, k: int, deal: int, buckets: int) -> DataFrame:
@@ -285,7 +280,7 @@ def stretches(suspects: DataFrame, width: int, k: int, deal: int, buckets: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 2 << 20):
             found: dict[int, tuple[dict[tuple[bytes, int], int], list[tuple[int, int, int]]]] = {}
-            docs, uids = b.column("id").to_pylist(), b.column("uid").to_pylist()
+            docs, uids = b.column("id").to_pylist(), b.column("row").to_pylist()
             for d, (raw, wanted) in enumerate(zip(raw_texts(b), b.column("h").to_pylist())):
                 a = np.frombuffer(raw, np.uint8)
                 v = window_keys(a, width, k)
@@ -319,7 +314,7 @@ def stretches(suspects: DataFrame, width: int, k: int, deal: int, buckets: int)
 
 
 def judged(dealt: DataFrame, width: int, blocks: int, most: int = 1_000_000) -> DataFrame:
-    """Step 4: (uid, cuts), the spans that go from each suspect."""
+    """Step 4: (row, cuts), the spans that go from each suspect."""
 
     def spans(contexts: list[tuple[bytes, int]], context: np.ndarray, doc: np.ndarray, uid: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts = np.array([w for _, w in contexts])
@@ -402,34 +397,35 @@ def judged(dealt: DataFrame, width: int, blocks: int, most: int = 1_000_000) ->
             at = np.flatnonzero(new)
             ids.append(int(d[i]))
             cuts.append(np.stack([a[i:j][at], np.append(reach[at[1:] - 1], reach[-1])], 1).ravel().tolist())
-        return pa.table({"uid": pa.array(ids, pa.int64()), "cuts": pa.array(cuts, pa.list_(pa.int64()))})
+        return pa.table({"row": pa.array(ids, pa.int64()), "cuts": pa.array(cuts, pa.list_(pa.int64()))})
 
-    return found.groupBy("block").applyInArrow(gather, "uid long, cuts array<bigint>")
+    return found.groupBy("block").applyInArrow(gather, "row long, cuts array<bigint>")
 
 
 DEAL = 12
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 50, k: int = 26, bucket_bytes: int = 6 << 20) -> tuple[DataFrame, DataFrame]:
-    """(facts, cut): per row id, n_bytes, sha, whole (it goes wholly); and of the documents concerned id, t and cuts."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.encode(F.coalesce(text, F.lit("")), "utf-8").alias("t"))
-    facts = rows.select("id", F.octet_length("t").cast("long").alias("n_bytes"), F.sha2("t", 256).alias("sha"))
-    facts = written(facts, "facts")
-    reps = facts.where("id is not null").groupBy("sha").agg(F.min("id").alias("first"), F.first("n_bytes").alias("n"))
-    reps = written(reps.withColumn("key", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")), "reps")
-    total = facts.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    buckets = int(min(1 << 15, max(partitions(docs), total // bucket_bytes)))
-    texts = rows.where("id is not null")
+def removals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, width: int = 50, k: int = 26, bucket_bytes: int = 16 << 20, most: int = 1_000_000) -> DataFrame:
+    """Per row id, t (bytes), the columns ``keep`` as c0, c1, ..., whole (it goes wholly) and cuts (the spans that go, null for none)."""
+    sweep(docs)
+    t = F.encode(F.coalesce(text, F.lit("")), "utf-8")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), t.alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep or [])])
+    n = partitions(docs)
+    rows = bucketed(rows.withColumn("sha", F.unhex(F.sha2("t", 256))).withColumn("n", F.octet_length("t").cast("long")), "texts", "row", n)
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = int(max(n, total // bucket_bytes))
+    facts = rows.where(F.col("id").isNotNull() & (F.col("n") >= width)).select("row", "id", "sha")
+    # the first row of each text; row numbers only break ties between repeated rows
+    reps = facts.groupBy("sha").agg(F.min(F.struct("id", "row")).alias("first")).select("sha", F.col("first.id").alias("least"), F.col("first.row").alias("rep"))
+    facts = written(facts.join(reps, "sha").select("row", "rep", (F.col("id") > F.col("least")).alias("whole")), "facts")
+    texts = rows.join(facts.where("row = rep").select("row").hint("shuffle_hash"), "row", "left_semi")
     hashes = written(repeated_hashes(candidate_hashes(texts, width, k, buckets), buckets), "hashes")
-    dropped(docs.sparkSession)
-    wanted = hashes.join(reps.select("key", F.col("first").alias("id"), "sha"), "key").select("id", "h", "sha")
-    # a repeated doc_id may stand for several texts: the text's digest tells them apart
-    suspects = written(texts.join(wanted.hint("shuffle_hash"), "id").where(F.sha2("t", 256) == F.col("sha")).dropDuplicates(["id", "sha"]).select("id", "t", "h", "sha", F.monotonically_increasing_id().alias("uid")), "suspects")
+    suspects = rows.select("row", "id", "t").join(hashes.hint("shuffle_hash"), "row")
+    cuts = written(judged(stretches(suspects, width, k, DEAL, buckets), width, buckets, most), "cuts")
     dropped(docs.sparkSession, hashes)
-    cuts = judged(stretches(suspects.select("id", "uid", "t", "h"), width, k, DEAL, buckets), width, buckets)
-    cut = suspects.select("id", "uid", "t", "sha").join(cuts, "uid")
-    whole = F.coalesce((F.col("first") < F.col("id")) & (F.col("n_bytes") >= width), F.lit(False))
-    return facts.join(reps.select("sha", "first"), "sha", "left").select("id", "n_bytes", "sha", whole.alias("whole")), cut
+    none = F.lit(None).cast("array<bigint>")
+    verdicts = facts.where("whole").select("row", "whole", none.alias("cuts")).unionByName(facts.where("not whole").join(cuts.withColumnRenamed("row", "rep"), "rep").select("row", "whole", "cuts"))
+    return rows.join(verdicts.hint("shuffle_hash"), "row", "left").withColumn("whole", F.coalesce("whole", F.lit(False))).drop("row")
 
 
 def cut_out(raw: bytes, cuts: list[int]) -> bytes:
@@ -440,36 +436,41 @@ def cut_out(raw: bytes, cuts: list[int]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """Per row id, n_bytes, n_removed, n_spans, kept_sha256, and ``kept`` (bytes) where some but not all bytes go."""
-    facts, cut = removals(docs, **options)
+def shortened(found: DataFrame, as_text: bool = False) -> DataFrame:
+    """Removals with t as what is left of it (as text: without the rests of characters that a cut went through),
+    n_removed and n_spans."""
+    columns = [f for f in found.schema if f.name not in ("t", "whole", "cuts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
-            cuts = b.column("cuts").to_pylist()
-            kept = [cut_out(t, c) for t, c in zip(raw_texts(b), cuts)]
-            removed = pa.array([sum(c[1::2]) - sum(c[::2]) for c in cuts], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("sha"), removed, pa.array([len(c) // 2 for c in cuts], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array(kept, pa.binary())], names=["id", "sha", "removed", "spans", "kept_sha", "kept"])
+            texts, cuts = raw_texts(b), b.column("cuts").to_pylist()
+            cuts = [[0, len(t)] if whole else c or [] for t, whole, c in zip(texts, b.column("whole").to_pylist(), cuts)]
+            kept = [cut_out(t, c) for t, c in zip(texts, cuts)]
+            kept = pa.array([t.decode("utf-8", "ignore") for t in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            removed, spans = ([sum(c[1::2]) - sum(c[::2]) for c in cuts], [len(c) // 2 for c in cuts])
+            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in columns], kept, pa.array(removed, pa.int64()), pa.array(spans, pa.int64())], names=[*[f.name for f in columns], "t", "n_removed", "n_spans"])
 
-    changed = cut.mapInArrow(run, "id long, sha string, removed long, spans long, kept_sha string, kept binary")
-    out = facts.join(changed, ["id", "sha"], "left")
-    some = F.coalesce("removed", F.lit(0))
-    return out.select(
-        "id", "n_bytes",
-        F.when(F.col("whole"), F.col("n_bytes")).otherwise(some).alias("n_removed"),
-        F.when(F.col("whole"), F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("whole"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
-        "sha", "kept",
-    )
+    kind = StructType(list(columns)).add("t", "string" if as_text else "binary").add("n_removed", "long").add("n_spans", "long")
+    return found.mapInArrow(run, kind)
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """Per row id, n_bytes, n_removed, n_spans, kept_sha256, and ``kept`` (bytes), what is left of the text."""
+    out = shortened(removals(docs, **options))
+    return out.select("id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.sha2("t", 256).alias("kept_sha256"), F.col("t").alias("kept"))
 
 
-def decoded(kept):
-    """Bytes as text, without the rests of characters that a cut went through.
+def without_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents, with their columns, without the repeated strings in ``text``; those of which nothing is left go.
 
-    A lead byte must be followed by its continuation bytes; all else of them goes."""
+    Of a character that a cut went through the rest goes, too.  Texts that lose nothing stay as they are, null ones null."""
+    others = [c for c in docs.columns if c != text]
+    null = free_name(docs)
+    out = shortened(removals(docs.withColumn(null, F.col(text).isNull()), text=text, keep=[*others, null], **options), as_text=True)
+    out = out.where("n_removed = 0 or t <> ''").withColumn("t", F.when(~F.col(f"c{len(others)}"), F.col("t")))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], F.col("t").alias(text)).select(*docs.columns)
 
-    @F.pandas_udf("string")
-    def decode(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda x: None if x is None else x.decode("utf-8", "ignore"))
 
-    return decode(kept)
+def free_name(docs: DataFrame) -> str:
+    """A column name that docs doesn't have."""
+    return "_" * (1 + max((len(c) for c in docs.columns), default=0))
