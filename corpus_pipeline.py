@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tesselake.llm import jaccard, packing, secrets, suffix, toxicity
-from tesselake.llm.common import drop_earlier, written
+from tesselake.llm.common import written
 
 
 def like(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -35,7 +35,6 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Near copies are documents with 5-word shingle sets of a Jaccard similarity of at least 0.8.  Documents without a
     word, or without doc_id, are in no group and stay."""
-    drop_earlier(docs)
     groups = jaccard.linked(docs, t=jaccard.Threshold(80, 100), width=5)
     kept = groups.where("doc_id is not null and n > 0 and doc_id = component").select("doc_id").distinct()
     loose = groups.where("doc_id is not null and n = 0").select("doc_id").distinct()
@@ -48,23 +47,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings of 50 bytes that start in an earlier document too.
 
     What is left of a character that was cut through goes with it; documents of which nothing is left go."""
-    drop_earlier(docs)
-    found = suffix.deduplicated(docs)
-    changed = found.where("n_removed > 0 and id is not null").select(F.col("id").alias("doc_id"), F.col("sha").alias("__sha"), F.when(F.col("n_removed") == F.col("n_bytes"), F.lit("")).otherwise(suffix.decoded(F.col("kept"))).alias("__left")).dropDuplicates(["doc_id", "__sha"])
-    keyed = docs.withColumn("__sha", F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256))
-    joined = keyed.join(changed, ["doc_id", "__sha"], "left").where("__left is null or __left <> ''")
-    return like(joined.withColumn("text", F.coalesce("__left", "text")), docs)
+    return like(suffix.without_repeats(docs), docs)
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with each secret replaced by the name of its kind; no document goes."""
-    drop_earlier(docs)
     return like(secrets.redacted(docs), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' tokens, packed into sequences of at most 4096."""
-    drop_earlier(docs)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
