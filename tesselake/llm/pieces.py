@@ -1,18 +1,24 @@
-"""Encoding and decoding over a SentencePiece vocabulary, with the ids that the model file defines.
+"""Encoding and decoding over a SentencePiece vocabulary by streaming Viterbi, with the ids that the model file defines.
+
+At each boundary between characters the decoder keeps one back-pointer, the last piece of the best path there, and a window
+of the last ``reach`` boundaries (the longest piece), as no later piece begins before it.  The back-pointers form a
+tree.  A boundary that leaves the window without a path through it is cut off, and so are those before it that no other
+path needs; as long as only one path leaves the tree's root, its first piece is committed and the root moves on.  So ids are
+committed as soon as all surviving paths run through one boundary, and only what lies behind it is kept.
+
+What makes a path the best depends on the model.  A unigram model's scores are log probabilities: the largest sum wins (of
+equal ones that with the longer piece, from the end).  A BPE model's scores are ranks of merges: starting from single
+characters, the adjacent pair whose text is the piece of best score is merged, the leftmost of equal ones, until none is
+left.  There a path is good if of each two neighbours the merges leave just these two pieces of their joint text.  (A
+merge across a border of pieces would happen in the pair alone as it does in the text; so the pieces of a text are
+those whose neighbours all agree, and so are those of each beginning of it that ends with a piece: one piece ends at each
+boundary.)  Which pairs agree is found by merging them, once per pair.
 
-A BPE model's scores are ranks of merges: starting from single characters, of all adjacent pairs whose text is a piece
-the one of the best score is merged, the leftmost of equal ones, until none is left.  A unigram model's scores are log
-probabilities: the segmentation of the largest sum wins (of equal ones that with the longer piece at the first place,
-from the end, where they differ), found by streaming Viterbi.  A character that no piece holds is spelled in bytes.
 The blank is written as the mark U+2581, one of which stands before the text; a mark in the text itself is spelled
-in bytes, so decoding gives back every text exactly (sentencepiece itself takes such a mark for a blank).
-
-Two kinds of places are boundaries of pieces whatever the text: before a mark that follows another character (no
-piece has a mark behind one), and around characters without piece.  Texts are cut there first; the stretches between are
-short and repeat, so a batch's distinct stretches are encoded together in numpy, and remembered.  Long ones are encoded
-one by one: merges by a heap, the lattice by its streaming form.  There a position's best path depends on the costs of
-the last ``reach`` positions alone (the longest piece), and as soon as the paths of all of them run through one
-boundary, the ids before it are committed and forgotten.
+in bytes, so decoding gives back every text exactly (sentencepiece itself takes such a mark for a blank).  Characters
+without piece are spelled in bytes, too.  Before a mark that follows another character (no piece has a mark behind one)
+and around such characters all paths meet whatever the text; texts are cut there, and the distinct stretches between go
+through the decoder together, one character of each at a time, whatever their lengths.  They are remembered.
 
 Null texts count as empty: no ids, and the empty text back.  Each row stands for itself, whatever its doc_id; an
 empty table gives no rows.
@@ -20,7 +26,6 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -38,6 +43,8 @@ U = np.uint64
 STEP = U(0x9E3779B97F4A7C15)
 SCALE = 1 << 16
 FAR = np.int64(1) << 50
+#: Hashes are looked up by the bits above these.
+SLOT = U(46)
 NONE = np.int32(np.iinfo(np.int32).max)
 
 
@@ -76,20 +83,20 @@ class Pieces:
             raise ValueError("a byte or a character of a piece has no piece, or a line end has one")
         self.score = {p: m.get_score(i) for p, i in self.ids.items()}
         self.reach = max(map(len, self.ids))
-        if self.bpe:  # no probabilities: the lattice, which the ids don't come from, takes the logarithm of the rank
-            first = min(self.ids.values())
-            self.cost = {p: int(SCALE * np.log(i - first + 2)) for p, i in self.ids.items()}
-            self.byte_cost = int(SCALE * np.log(2 * len(self.text)))
-        else:
-            self.cost = {p: round(-SCALE * x) for p, x in self.score.items()}
-            self.byte_cost = max(self.cost.values()) + 10 * SCALE
+        self.kind = np.uint16 if len(self.text) <= 1 << 16 else np.uint32
         hashes = np.array([self.hash_of(p) for p in self.ids], np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces have one hash")
         self.id_at = np.array(list(self.ids.values()), np.int32)[order]
-        self.cost_at = np.array([self.cost[p] for p in self.ids], np.int64)[order]
+        self.cost_at = np.array([round(-SCALE * self.score[p]) for p in self.ids], np.int64)[order]
+        self.power = np.array([pow(int(STEP), k, 1 << 64) for k in range(self.reach + 1)], np.uint64)
+        # where a hash's piece may stand: by its first bits, -1 for none, -2 for more than one
+        first, at, count = np.unique(self.hashes >> SLOT, return_index=True, return_counts=True)
+        self.slots = np.full(1 << (64 - int(SLOT)), -1, np.int32)
+        self.slots[first.astype(np.int64)] = np.where(count > 1, -2, at)
+        self.merges = Merges(self) if self.bpe else None
 
     @staticmethod
     def hash_of(p: str) -> np.uint64:
@@ -101,98 +108,143 @@ class Pieces:
     def spelled(self, c: str) -> list[int]:
         return [self.bytes_[b] for b in c.encode("utf-8", "surrogatepass")]
 
-    def spelling_cost(self, ids: tuple[int, ...]) -> int:
-        """sentencepiece has one cost for each unknown character of a unigram model."""
-        return len(ids) * self.byte_cost if self.bpe else self.byte_cost
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pieces by hash, and whether there is one."""
+        at = self.slots[(h >> SLOT).astype(np.int64)]
+        more = at == -2
+        if more.any():
+            at[more] = np.minimum(np.searchsorted(self.hashes, h[more]), len(self.hashes) - 1)
+        return at, (at >= 0) & (self.hashes[at] == h)
+
+    def together(self, stretches: list[str]) -> list[np.ndarray]:
+        """Ids of stretches whose characters all have pieces, decoded side by side."""
+        order = sorted(range(len(stretches)), key=lambda i: -len(stretches[i]))
+        length = np.array([len(stretches[i]) for i in order], np.int64)
+        flat = np.frombuffer("".join(stretches[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32)
+        start = np.cumsum(length) - length
+        streams, rows, tokens = Streams(self, len(order)), [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for j in range(int(length.max(initial=0))):
+            live = int(np.searchsorted(-length, -j))  # those longer than j
+            found = streams.step(flat[start[:live] + j])
+            ended = np.arange(int(np.searchsorted(-length, -(j + 1))), live)
+            for r, x in [*found, *streams.rest(ended)]:
+                rows.append(r)
+                tokens.append(x)
+        row, token = np.concatenate(rows), np.concatenate(tokens)
+        by = np.argsort(row, kind="stable")
+        parts = np.split(token[by], np.cumsum(np.bincount(row, minlength=len(order)))[:-1]) if len(order) else []
+        out: list[np.ndarray] = [None] * len(order)
+        for i, x in zip(order, parts):
+            out[i] = x
+        return out
 
     def stream(self, characters: Iterable[str]) -> Iterator[int]:
-        """Ids of a stream of characters (marks for blanks), committed as soon as all surviving paths agree."""
-        window: list[str] = []  # the characters since the last commit
-        cost, back = [0], [(0, ())]  # by position since then: cost, length of the last piece, its ids
+        """Ids of a stream of characters with pieces (marks for blanks), each given as soon as it is committed."""
+        streams = Streams(self, 1)
         for c in characters:
-            window.append(c)
-            j, best = len(window), None
-            for n in range(min(self.reach, j), 0, -1):
-                piece = "".join(window[j - n : j])
-                if piece in self.cost and cost[j - n] < FAR:
-                    found = cost[j - n] + self.cost[piece], n, (self.ids[piece],)
-                    best = found if best is None or found[0] < best[0] else best
-            if c not in self.cost:
-                ids = tuple(self.spelled(c))
-                found = cost[j - 1] + self.spelling_cost(ids), 1, ids
-                best = found if best is None or found[0] < best[0] else best
-            cost.append(int(FAR) if best is None else best[0])
-            back.append((1, ()) if best is None else best[1:])
-            if j % self.reach == 0:
-                common = self.agreed(cost, back)
-                if common:
-                    yield from self.walk(back, common)
-                    window, base = window[common:], cost[common]
-                    cost, back = [x - base if x < FAR else x for x in cost[common:]], back[common:]
-        yield from self.walk(back, len(window))
-
-    def agreed(self, cost: list[int], back: list) -> int:
-        """The last boundary that the paths of all positions that can still be built upon share."""
-        alive = [j for j in range(max(0, len(cost) - self.reach), len(cost)) if cost[j] < FAR]
-        paths = None
-        for j in alive:
-            own = {j}
-            while j:
-                j -= back[j][0]
-                own.add(j)
-            paths = own if paths is None else paths & own
-        return max(paths) if paths else 0
-
-    @staticmethod
-    def walk(back: list, j: int) -> list[int]:
-        out: list[tuple[int, ...]] = []
-        while j:
-            out.append(back[j][1])
-            j -= back[j][0]
-        return [i for ids in reversed(out) for i in ids]
+            for _, x in streams.step(np.array([ord(c)])):
+                yield from x.tolist()
+        for _, x in streams.rest(np.arange(1)):
+            yield from x.tolist()
+
+
+class Streams:
+    """The windows and back-pointer trees of many stretches, each as far as the others, in rings.
+
+    A ring holds what lies behind the root (the last committed boundary) and the window; it is doubled where paths
+    have not met for so long."""
+
+    def __init__(self, p: Pieces, n: int):
+        self.p, self.j, self.size, self.root = p, 0, 1 << (2 * p.reach).bit_length(), np.zeros(n, np.int64)
+        # by boundary: hash of what lies before, cost, the last piece and where it begins, pieces that go on from here
+        # (how many, and the sum of their ends)
+        self.prefix, self.cost, self.token, self.back, self.kids, self.heirs = (np.zeros((n, self.size), kind) for kind in (np.uint64, np.int64, np.int32, np.int64, np.int32, np.int64))
+
+    def grow(self) -> None:
+        places = np.arange(max(0, self.j - self.size + 1), self.j + 1)
+        for name in ("prefix", "cost", "token", "back", "kids", "heirs"):
+            old = getattr(self, name)
+            new = np.zeros((len(old), 2 * self.size), old.dtype)
+            new[:, places % (2 * self.size)] = old[:, places % self.size]
+            setattr(self, name, new)
+        self.size *= 2
+
+    def step(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The next character of the first stretches; (rows, ids) that are now committed, in order."""
+        n, reach = len(codes), self.p.reach
+        if self.j + 2 - self.root[:n].min() >= self.size:
+            self.grow()
+        j, ring = self.j + 1, self.size - 1
+        self.j, now = j, j & ring
+        most = min(reach, j)
+        self.prefix[:n, now] = self.prefix[:n, (j - 1) & ring] * STEP + codes.astype(np.uint64) + U(1)
+        before = (j - np.arange(most, 0, -1)) & ring  # longest pieces first
+        at, hit = self.p.find(self.prefix[:n, now, None] - self.prefix[:n][:, before] * self.p.power[most:0:-1])
+        which, token = self.by_pairs(at, hit, before, j) if self.p.bpe else self.by_cost(at, hit, before, now)
+        parent, rows = j - most + which, np.arange(n)
+        self.token[:n, now], self.back[:n, now], self.kids[:n, now], self.heirs[:n, now] = token, parent, 0, 0
+        self.kids[rows, parent & ring] += 1
+        self.heirs[rows, parent & ring] += j
+        return self.committed(rows, j - reach) if j >= reach else []
+
+    def by_cost(self, at: np.ndarray, hit: np.ndarray, before: np.ndarray, now: int) -> tuple[np.ndarray, np.ndarray]:
+        n = len(at)
+        cost = np.where(hit, self.cost[:n][:, before] + self.p.cost_at[at], FAR)
+        which = cost.argmin(1)  # of equal ones the longest
+        self.cost[:n, now] = cost[np.arange(n), which]
+        return which, self.p.id_at[at[np.arange(n), which]]
+
+    def by_pairs(self, at: np.ndarray, hit: np.ndarray, before: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+        row, col = np.nonzero(hit)
+        token = self.p.id_at[at[row, col]]
+        last = np.where(j - len(before) + col > 0, self.token[row, before[col]], -1)
+        good = self.p.merges.agree(last, token)
+        row, col, token = row[good], col[good], token[good]
+        if len(row) != len(at) or (row != np.arange(len(at))).any():
+            raise RuntimeError("not one piece ends at a boundary")
+        return col, token
+
+    def committed(self, rows: np.ndarray, left: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The boundary ``left`` leaves the window: cut off what no path needs, commit what all share."""
+        ring, out = self.size - 1, []
+        r = rows[(self.kids[rows, left & ring] == 0) & (self.root[rows] < left)]
+        x = np.full(len(r), left)
+        while len(r):
+            parent = self.back[r, x & ring]
+            self.kids[r, parent & ring] -= 1
+            self.heirs[r, parent & ring] -= x
+            more = (self.kids[r, parent & ring] == 0) & (parent > self.root[r])
+            r, x = r[more], parent[more]
+        r = rows[self.root[rows] <= left]
+        while len(r := r[self.kids[r, self.root[r] & ring] == 1]):
+            heir = self.heirs[r, self.root[r] & ring]
+            out.append((r, self.token[r, heir & ring]))
+            self.root[r] = heir
+            r = r[heir <= left]
+        return out
 
-    def together(self, stretches: list[str]) -> list[np.ndarray]:
-        """Ids of stretches of one length whose characters all have pieces (or that are one character)."""
-        n, m = len(stretches), len(stretches[0])
-        codes = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, m).astype(np.uint64) + U(1)
-        prefix = np.zeros((n, m + 1), np.uint64)
-        for j in range(m):
-            prefix[:, j + 1] = prefix[:, j] * STEP + codes[:, j]
-        cost = np.full((n, m + 1), FAR)
-        cost[:, 0] = 0
-        length, number = np.zeros((n, m + 1), np.int8), np.zeros((n, m + 1), np.int32)
-        power = [U(1)]
-        for _ in range(min(self.reach, m)):
-            power.append(U(int(power[-1]) * int(STEP) % (1 << 64)))
-        for j in range(1, m + 1):
-            for k in range(min(self.reach, j), 0, -1):
-                h = prefix[:, j] - prefix[:, j - k] * power[k]
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                new = np.where(self.hashes[at] == h, cost[:, j - k] + self.cost_at[at], FAR)
-                better = new < cost[:, j]
-                cost[better, j], length[better, j], number[better, j] = new[better], k, self.id_at[at[better]]
-        ends = np.zeros((n, m + 1), bool)
-        at = np.full(n, m)
-        rows = np.arange(n)
-        while (at > 0).any():
-            live = at > 0
-            ends[rows[live], at[live]] = True
-            at[live] -= length[rows[live], at[live]]
-        return np.split(number[ends], np.cumsum(ends.sum(1))[:-1])
+    def rest(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(rows, ids) of stretches that end here, from the root on."""
+        out, ring, x = [], self.size - 1, np.full(len(rows), self.j)
+        while len(rows := rows[more := x > self.root[rows]]):
+            x = x[more]
+            out.append((rows, self.token[rows, x & ring]))
+            x = self.back[rows, x & ring]
+        return out[::-1]
 
 
 class Merges:
     """The merges of a BPE model: pairs of pieces whose joint text is a piece, and its place by score."""
 
-    def __init__(self, p: Pieces):
-        self.spelled = p.spelled
+    def __init__(self, p: Pieces, most: int = 4_000_000):
+        self.text_of, self.most = {i: w for w, i in p.ids.items()}, most
+        self.none = np.array([np.iinfo(np.int64).max])
+        self.pairs, self.agreed = self.none, np.zeros(1, bool)  # pairs met so far, sorted
         order = {x: i for i, x in enumerate(sorted(set(p.score.values()), reverse=True))}
         pairs = sorted((p.ids[w[:i]] << 32 | p.ids[w[i:]], order[p.score[w]], n) for w, n in p.ids.items() for i in range(1, len(w)) if w[:i] in p.ids and w[i:] in p.ids)
         keys, ranks, into = zip(*pairs, ((1 << 62), NONE, 0))
-        self.pair = {k: (r, n) for k, r, n in pairs}
         self.keys, self.ranks, self.into = np.array(keys, np.int64), np.array(ranks, np.int32), np.array(into, np.int32)
         single = sorted((ord(w), n) for w, n in p.ids.items() if len(w) == 1)
-        self.single = {chr(c): n for c, n in single}
         self.codes, self.code_ids = np.array([c for c, _ in single], np.uint32), np.array([n for _, n in single], np.int32)
 
     def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,28 +291,31 @@ class Merges:
             rank[r, at], into[r, at] = self.look(new[r], sym[r, at + 1])
         return out
 
-    def alone(self, stretch: str) -> list[int]:
-        """Ids of one stretch of any length; a character without piece neither merges nor is merged over."""
-        sym = [self.single.get(c, -1) for c in stretch]
-        after, before = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
-        heap: list[tuple[int, int, int, int, int, int]] = []
-
-        def offer(i: int, j: int) -> None:
-            if i >= 0 and j < len(sym) and sym[i] >= 0 and sym[j] >= 0 and (found := self.pair.get(sym[i] << 32 | sym[j])):
-                heapq.heappush(heap, (found[0], i, j, sym[i], sym[j], found[1]))
-
-        for i in range(len(sym) - 1):
-            offer(i, i + 1)
-        while heap:
-            _, i, j, a, b, new = heapq.heappop(heap)
-            if sym[i] != a or sym[j] != b or after[i] != j:
-                continue
-            sym[i], sym[j], after[i] = new, -2, after[j]
-            if after[i] < len(sym):
-                before[after[i]] = i
-            offer(before[i], i)
-            offer(i, after[i])
-        return [n for c, x in zip(stretch, sym) if x != -2 for n in ([x] if x >= 0 else self.spelled(c))]
+    def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the merges leave just the pieces a and b of their joint text; a of -1: whether they make b at all."""
+        key, where = np.unique((a.astype(np.int64) << 32) + b, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        new = key[self.pairs[at] != key]
+        if len(new):
+            if len(self.pairs) > self.most:
+                self.pairs, self.agreed = self.none, np.zeros(1, bool)
+            place = np.searchsorted(self.pairs, new)
+            self.pairs, self.agreed = np.insert(self.pairs, place, new), np.insert(self.agreed, place, self.merged(new >> 32, new & 0xFFFFFFFF))
+            if len(key) > len(new):
+                return self.agree(a, b)
+            at = np.searchsorted(self.pairs, key)
+        return self.agreed[at][where]
+
+    def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        texts = [self.text_of.get(x, "") + self.text_of[y] for x, y in zip(a.tolist(), b.tolist())]
+        by_length: dict[int, list[int]] = {}
+        for i, t in enumerate(texts):
+            by_length.setdefault(len(t), []).append(i)
+        out = np.zeros(len(texts), bool)
+        for own in by_length.values():
+            for i, ids in zip(own, self.together([texts[i] for i in own])):
+                out[i] = ids.tolist() == ([int(a[i]), int(b[i])] if a[i] >= 0 else [int(b[i])])
+        return out
 
 
 @lru_cache
@@ -269,36 +324,27 @@ def pieces(path: str) -> Pieces:
 
 
 class Codec:
-    """Batches of texts to ids and back, by the lattice; stretches met before are remembered."""
-
-    LONG = 40
+    """Batches of texts to ids and back; stretches met before are remembered."""
 
     def __init__(self, path: str, most: int = 1_000_000):
         self.pieces, self.known, self.most = pieces(path), {"": b""}, most
+        self.kind = self.pieces.kind
         covered = "".join(re.escape(p) for p in self.pieces.ids if len(p) == 1 and p != MARK)
         #: A stretch: marks and the characters with pieces behind them; any other character alone.
         self.stretch = re.compile(f"{MARK}*[{covered}]+|{MARK}+|.", re.S)
         self.odd = re.compile(f"[^ {covered}]")
 
     def learn(self, stretches: set[str]) -> None:
-        by_length: dict[int, list[str]] = {}
-        for s in stretches:
-            if s == MARK + MARK:
-                by_length.setdefault(2, []).append(s)
-            elif len(s) <= self.LONG and not self.odd.search(s.replace(MARK, " ")):
-                by_length.setdefault(len(s), []).append(s)
-            else:
-                self.known[s] = np.array(list(self.alone(s)), np.uint16).tobytes()
-        for group in by_length.values():
-            for i in range(0, len(group), 20_000):
-                own = group[i : i + 20_000]
-                self.known.update((s, x.astype(np.uint16).tobytes()) for s, x in zip(own, self.together(own)))
-
-    def together(self, stretches: list[str]) -> list[np.ndarray]:
-        return self.pieces.together(stretches)
-
-    def alone(self, stretch: str) -> Iterable[int]:
-        return self.pieces.stream(stretch)
+        odd = {s for s in stretches if self.odd.search(s.replace(MARK, " "))}  # single characters
+        self.known.update((s, np.array(self.pieces.spelled(s), self.kind).tobytes()) for s in odd)
+        # those of about one length together; a part has a bounded number of characters, or one stretch
+        rest, i = sorted(stretches - odd, key=len), 0
+        while i < len(rest):
+            own = rest[i : i + 20_000]
+            while len(own) > 1 and sum(map(len, own)) > 1 << 20:
+                own = own[: len(own) // 2]
+            self.known.update((s, x.astype(self.kind).tobytes()) for s, x in zip(own, self.pieces.together(own)))
+            i += len(own)
 
     def split(self, text: str) -> list[str]:
         """The text's stretches, marks for its blanks.  A mark of its own is given as a NUL-marked stretch."""
@@ -328,18 +374,18 @@ class Codec:
         new = {s for s in distinct if s not in self.known}
         finer = {s: self.stretch.findall(s) for s in new if self.odd.search(s.replace(MARK, " "))}
         wanted = (new - finer.keys()) | {x for v in finer.values() for x in v} | {x for v in odd.values() for x in v}
-        own = np.array(self.pieces.spelled(MARK), np.uint16).tobytes()
-        nul = np.array(self.pieces.spelled("\0"), np.uint16).tobytes()
+        own = np.array(self.pieces.spelled(MARK), self.kind).tobytes()
+        nul = np.array(self.pieces.spelled("\0"), self.kind).tobytes()
         self.learn({s for s in wanted if s not in self.known and s != "\0"})
         for s, v in finer.items():
             self.known[s] = b"".join(self.known[x] for x in v)
         found = list(map(self.known.__getitem__, distinct))
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        size = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.kind).itemsize
         start = np.cumsum(size) - size
         which = coded.indices.to_numpy(zero_copy_only=False)
         count = size[which]
         ends = np.concatenate([[0], np.cumsum(count)])
-        flat = np.frombuffer(b"".join(found), np.uint16)[np.repeat(start[which] - ends[:-1], count) + np.arange(ends[-1])]
+        flat = np.frombuffer(b"".join(found), self.kind)[np.repeat(start[which] - ends[:-1], count) + np.arange(ends[-1])]
         bounds = ends[np.asarray(split.offsets)]
         if not odd:
             return flat, bounds
@@ -347,7 +393,7 @@ class Codec:
         for i, v in odd.items():
             raw = texts[i]
             marks = iter([c for c in raw if c in (MARK, "\0")])  # which of the two a NUL in the list stands for
-            parts[i] = np.frombuffer(b"".join(self.known[x] if x != "\0" else own if next(marks) == MARK else nul for x in v), np.uint16)
+            parts[i] = np.frombuffer(b"".join(self.known[x] if x != "\0" else own if next(marks) == MARK else nul for x in v), self.kind)
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
     def decode(self, ids: np.ndarray) -> str:
@@ -355,18 +401,9 @@ class Codec:
         return raw[1:].decode("utf-8", "surrogatepass") if len(ids) else ""
 
 
-class MergeCodec(Codec):
-    """The same, by the merges of a BPE model."""
-
-    def __init__(self, path: str, most: int = 1_000_000):
-        super().__init__(path, most)
-        merges = Merges(self.pieces)
-        self.together, self.alone = merges.together, merges.alone
-
-
 @lru_cache
 def codec(path: str) -> Codec:
-    return MergeCodec(path) if pieces(path).bpe else Codec(path)
+    return Codec(path)
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", ids: bool = True, block_bytes: int = 4 << 20) -> DataFrame:
