@@ -49,3 +49,43 @@ def test_tree_of_rounds(spark, per_task):
     assert out.groupby("sequence_id").length.sum().max() <= 4096
     best = len(packing.best_fit(sorted(sizes.tolist(), reverse=True), 4096))
     assert out.sequence_id.nunique() <= 1.02 * best + 1
+
+
+def test_many_rounds_and_equal_items(spark):
+    rng = np.random.default_rng(1)
+    sizes = [*rng.integers(1, 400, 600).tolist(), *[2500] * 900, *rng.integers(3000, 4000, 200).tolist()]
+    items = spark.createDataFrame([(7 if n == 2500 else i, 0, 0, int(n), 5) for i, n in enumerate(sizes)], packing.ITEM)
+    out = packing.pack(items, per_task=50, fan=3).toPandas()
+    assert sorted(out.length) == sorted(sizes)
+    for _, g in out.sort_values("offset").groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *g.length.cumsum()[:-1]] and g.length.sum() <= 4096
+    # no more than one sequence is half full, as all small bins have met
+    assert (out.groupby("sequence_id").length.sum() <= 2048).sum() <= 1
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_passing_on_useful_bins_loses_none(seed):
+    """Rounds over all bins, and over those that ``pack`` passes on, end with as many sequences."""
+    rng = np.random.default_rng(seed)
+    parts = [rng.integers(1, int(rng.choice([300, 3000, 4096])), int(rng.integers(1, 60))).tolist() for _ in range(27)]
+
+    def rounds(useful):
+        closed, tasks = 0, [sorted(p, reverse=True) for p in parts]
+        while True:
+            tasks = [[sum(t[i] for i in b) for b in packing.best_fit(t, 4096)] for t in tasks]
+            small = [f for t in tasks for f in t if f <= 2048]
+            if len(tasks) == 1 or not small:
+                return closed + sum(map(len, tasks))
+            on = [[f for k, f in enumerate(sorted(t)) if not useful or (sorted(t)[:k].count(f) < len(small) and f <= 4096 - min(small))] for t in tasks]
+            closed += sum(map(len, tasks)) - sum(map(len, on))
+            tasks = [sorted((f for t in on[i : i + 3] for f in t), reverse=True) for i in range(0, len(on), 3)]
+
+    assert rounds(True) == rounds(False)
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc, t = packing.Encoder(path), Tokenizer.from_file(path)
+    assert not enc.chunks and packing.Encoder(PATH).chunks
+    flat, at = enc.batch([x or "" for x in ODD])
+    assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == [t.encode(x or "", add_special_tokens=False).ids for x in ODD]
