@@ -417,6 +417,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep:
     facts = rows.where(F.col("id").isNotNull() & (F.col("n") >= width)).select("row", "id", "sha")
     # the first row of each text; row numbers only break ties between repeated rows
     reps = facts.groupBy("sha").agg(F.min(F.struct("id", "row")).alias("first")).select("sha", F.col("first.id").alias("least"), F.col("first.row").alias("rep"))
+    reps = written(reps, "reps")  # else its shuffle would be the join's, whose large keys Spark could then not split
     facts = written(facts.join(reps, "sha").select("row", "rep", (F.col("id") > F.col("least")).alias("whole")), "facts")
     texts = rows.join(facts.where("row = rep").select("row").hint("shuffle_hash"), "row", "left_semi")
     hashes = written(repeated_hashes(candidate_hashes(texts, width, k, buckets), buckets), "hashes")
