@@ -13,9 +13,11 @@ bands get spare ones, and as many as the sets that they really hold need for tha
 
 Signatures are dealt to buckets in packed form.  Sets that share one become candidate pairs, unless more than ``few``
 do.  Such a frequent signature is left out as long as the slack covers a set's frequent ones (a linked pair then still
-meets in another).  What remains are families of near copies, whose sets have more of them: sets that share frequent
-signatures are brought together in blocks of bounded size, every two blocks of a family meet once, and only links
-that join components of the two blocks leave the task.
+meets in another).  What remains are families of near copies, whose sets have more of them.  A family's sets are first
+held against a few pivots, those in most frequent signatures; whoever is linked to one is joined to it.  Outliers, the
+sets outside the family's largest component, choose pivots once more; only those then left over meet the family in
+blocks of bounded size, and only links that join components leave such a task.  So a family costs work in proportion to its
+size and to its outliers; where a family is no cluster at all (none of many sets linked to a pivot), blocks of it all meet.
 
 Candidate pairs are first held against small parity sketches, whose distance can't exceed the sets' symmetric
 difference; those left are verified on the whole sets.
@@ -366,32 +368,81 @@ def unpacked_members(groups: DataFrame) -> DataFrame:
 
 
 def families(groups: DataFrame, plan: dict[int, Allocation | None]) -> DataFrame:
-    """(key, family) of the sets that have more frequent signatures in a band than its slack covers."""
+    """(key, family, c) of the sets that have more frequent signatures in a band than its slack covers; c: how many."""
     members = written(unpacked_members(groups), "members")
     allowed = F.create_map(*[F.lit(x) for k, a in plan.items() if a for x in (k, a.frequent)])
     worth = F.create_map(*[F.lit(x) for k, a in plan.items() if a for x in (k, 2 if a.deletion else 1)])
-    many = members.groupBy("key", "band").agg(F.count("*").alias("c")).where(F.col("c") * worth[F.col("band")] > allowed[F.col("band")]).select("key", "band")
+    many = written(members.groupBy("key", "band").agg(F.count("*").alias("c")).where(F.col("c") * worth[F.col("band")] > allowed[F.col("band")]), "many")
     held = written(members.join(many, ["key", "band"]).select("g", "key"), "members")
-    # each set is linked to the least head of its groups, and that head to the heads of the set's other groups
-    heads = held.join(held.groupBy("g").agg(F.min("key").alias("head")), "g").select("key", "head").distinct()
+    dropped(groups.sparkSession, members)
+    # each set is linked to the least head of its groups, and that head to the heads of the set's other groups; heads
+    # are a table of their own, so that a large group is a large key of one side of a join, which Spark can split
+    first = written(held.groupBy("g").agg(F.min("key").alias("head")), "heads")
+    heads = written(held.join(first, "g").select("key", "head").distinct(), "heads")
     least = heads.groupBy("key").agg(F.min("head").alias("least"))
     links = least.select(F.col("key").alias("a"), F.col("least").alias("b"))
     links = links.unionByName(heads.join(least, "key").select(F.col("least").alias("a"), F.col("head").alias("b")).distinct())
     # a set that is the head of its own groups alone has no link yet
-    return components(links, alone=True).select(F.col("id").alias("key"), F.col("component").alias("family"))
-
-
-def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int = 1024, elements: int = 400_000) -> DataFrame:
-    """Links (a, b) of keys within families (key, family, n), enough of them to join what is linked.
-
-    A block holds about ``block`` sets with ``elements`` elements together at most."""
-    sizes = family.groupBy("family").agg(F.greatest(F.count("*") / block, F.sum("n") / elements).alias("size"))
-    placed = family.join(sizes, "family").withColumn("blocks", F.ceil("size").cast("int"))
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("family", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    found = components(links, alone=True).select(F.col("id").alias("key"), F.col("component").alias("family"))
+    return found.join(many.groupBy("key").agg(F.sum("c").alias("c")), "key")
+
+
+def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int = 1024, elements: int = 400_000, pivots: int = 8, rounds: int = 2) -> DataFrame:
+    """Links (a, b) of keys within families (key, family, c, n), enough of them to join what is linked.
+
+    A block holds about ``block`` sets with ``elements`` elements together at most.  A family of one block has no need of
+    pivots: its sets meet in one task."""
+    sizes = family.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / elements)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    sets = family.join(sizes, "family").join(sets.select("key", "s"), "key").select("family", "key", "c", "n", "s", "blocks", own.alias("own"))
+    sets = written(sets, "family-sets")
+    wide, found = sets.where("blocks > 1"), None
+    rest = sets.where("blocks = 1").select("key", F.col("key").alias("label"), F.lit(True).alias("out"))
+    if not wide.isEmpty():
+        labels = None
+        for _ in range(rounds):
+            links = written(pivot_links(wide, labels, t, pivots), "pivots")
+            found = links if found is None else found.unionByName(links)
+            labels = wide.select("family", "key").join(components(found).withColumnRenamed("id", "key"), "key", "left").select("family", "key", F.coalesce("component", "key").alias("label"))
+            main = labels.groupBy("family", "label").agg(F.count("*").alias("size")).groupBy("family").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
+            labels = written(labels.join(main, "family").select("key", "label", (F.col("label") != F.col("main")).alias("out")), "labels")
+            if labels.where("out").isEmpty():
+                break
+        rest = rest.unionByName(labels)
+    within = outlier_links(sets.join(rest, "key"), t, block, elements)
+    return within if found is None else within.unionByName(found)
+
+
+def pivot_links(sets: DataFrame, labels: DataFrame | None, t: Threshold, pivots: int) -> DataFrame:
+    """Links of a family's sets with its pivots: of each of some parts (by hash) of the family, or of its outliers, the
+    set in most frequent signatures."""
+    part = F.pmod(F.xxhash64("key", F.lit(0 if labels is None else 1)), F.lit(pivots))
+    from_ = sets if labels is None else sets.join(labels.where("out"), "key", "left_semi")
+    chosen = from_.groupBy("family", part.alias("part")).agg(F.max_by("key", F.struct("c", "key")).alias("key"))
+    # a family's few pivots go to each of its blocks, as one row
+    few = sets.join(chosen.select("key"), "key", "left_semi").groupBy("family").agg(F.collect_list(F.struct("key", "s")).alias("pivots"), F.first("blocks").alias("blocks"))
+    few = few.select("family", "pivots", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"))
+
+    def near(p: Column) -> Column:
+        both = F.size(F.array_intersect(p["s"], F.col("s")))
+        return t.den * both >= t.num * (F.size(p["s"]) + F.col("n") - both)
+
+    met = sets.join(few, ["family", "own"]).select("key", F.transform(F.filter("pivots", near), lambda p: p["key"]).alias("b"))
+    return met.select(F.col("key").alias("a"), F.explode("b").alias("b")).where("a <> b")
+
+
+def outlier_links(sets: DataFrame, t: Threshold, block: int, elements: int) -> DataFrame:
+    """Links between outliers and sets of other labels (family, key, n, s, blocks, own, label, out): each block of a
+    family's outliers meets each block of the family."""
+    few = sets.where("out").groupBy("family").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / elements)).cast("int").alias("parts"))
+    sets = sets.join(few, "family")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i")
+    right = sets.select("family", every, F.col("own").alias("j"), "key", "label", "s", "out", F.lit(False).alias("left"))
+    part = F.pmod(F.xxhash64("key", F.lit(2)), F.col("parts")).cast("int").alias("i")
+    left = sets.where("out").select("family", part, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "key", "label", "s", "out", F.lit(True).alias("left"))
 
     def run(table: pa.Table) -> pa.Table:
-        key, own = table.column("key").to_numpy(), table.column("own").to_numpy()
+        key, old, left = table.column("key").to_numpy(), table.column("label").to_numpy(), table.column("left").to_numpy(zero_copy_only=False)
         s = table.column("s").combine_chunks()
         size = np.diff(s.offsets.to_numpy()).astype(np.int64)
         token, number = np.unique(s.flatten().to_numpy(), return_inverse=True)
@@ -407,12 +458,12 @@ def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int =
             span = slice(ends[i], ends[min(i + 256, len(key))])
             part[row[span] - i, number[span]] = 1
             bits[i : i + 256] = np.packbits(part, axis=1, bitorder="little").view(np.uint64)
-        label, found = np.arange(len(key)), []
-        cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        for x in range(len(key) - 1):
-            with_ = np.arange(x + 1, len(key))
-            fine = (label[with_] != label[x]) & (t.den * np.minimum(size[with_], size[x]) >= t.num * np.maximum(size[with_], size[x]))
-            with_ = with_[fine & (own[with_] != own[x]) if cross else fine]
+        label, found = np.unique(old, return_inverse=True)[1], []
+        right, out = np.flatnonzero(~left), table.column("out").to_numpy(zero_copy_only=False)
+        out = out[right]
+        for x in np.flatnonzero(left):
+            # two outliers meet twice, once from either side: the one of smaller key does the work
+            with_ = right[(~out | (key[right] > key[x])) & (label[right] != label[x]) & (t.den * np.minimum(size[right], size[x]) >= t.num * np.maximum(size[right], size[x]))]
             if not len(with_):
                 continue
             both = np.bitwise_count(bits[with_] & bits[x]).sum(1, dtype=np.int64)
@@ -423,7 +474,7 @@ def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int =
         a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": a, "b": b})
 
-    return placed.join(sets.select("key", "s"), "key").groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
+    return right.unionByName(left).groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, few: int = 16, per_bucket: int = 1_500_000) -> DataFrame:
@@ -436,7 +487,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Thres
     # a set that is the smaller of a pair in the band above leaves out its empty segments, too: the larger one's count
     plan = {k: allocate(t, k, bands.get(k, (0, 0))[0] + bands.get(k - 1, (0, 0))[0], bands.get(k, (0, 0))[1]) if k in bands else None for b in bands for k in (b, b + 1)}
     entries = sum(n * sum(a.exact + a.deletion + (t.top(k) if a.deletion else 0) for k in (b, b + 1) if (a := plan[k])) for b, (n, _) in bands.items())
-    buckets = min(1 << 15, max(partitions(docs), entries // per_bucket))
+    buckets = int(max(partitions(docs), entries // per_bucket))
     found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, width, buckets, few), t, few), "candidates")
     pairs = written(found.where("b is not null").select("a", "b").distinct(), "pairs")
     groups = found.where("b is null").select("g", "band", "members")

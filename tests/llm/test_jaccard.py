@@ -73,6 +73,54 @@ def test_large_groups_are_settled(spark):
     assert out == brute(rows)
 
 
+def set_rows(rng, kind, n):
+    """Sets of numbers: copies of one base, a chain in which only neighbours are linked, a star around one set, or strangers."""
+    base = rng.choice(10**9, 200, False)
+    if kind == "chain":
+        long = rng.choice(10**9, 200 + 10 * n, False)
+        return [long[10 * i : 10 * i + 200] for i in range(n)]
+    if kind == "strangers":
+        return [np.concatenate([base[:100], rng.choice(10**9, 100, False)]) for _ in range(n)]
+    apart = {"copies": 5, "star": 15}[kind]
+    return [base, *(np.concatenate([rng.permutation(base)[apart:], rng.choice(10**9, apart, False)]) for _ in range(n - 1))]
+
+
+@pytest.mark.parametrize("kind", ["copies", "all"])
+def test_families_over_several_blocks(spark, kind):
+    rng, t = np.random.default_rng(3), jaccard.Threshold()
+    made = [x for k in (["copies", "chain", "star", "strangers"] if kind == "all" else [kind]) for x in set_rows(rng, k, 90)]
+    made = [np.unique(x).astype(np.int64) for x in made]
+    keys = [int(k) for k in rng.permutation(10_000)[: len(made)]]
+    sets = spark.createDataFrame([(k, x.tolist()) for k, x in zip(keys, made)], "key long, s array<long>")
+    family = spark.createDataFrame([(k, 1, int(rng.integers(5)), len(x)) for k, x in zip(keys, made)], "key long, family long, c long, n long")
+    label = {k: k for k in keys}
+    for i, a in enumerate(made):
+        for j in range(i):
+            both = len(np.intersect1d(a, made[j]))
+            if 100 * both >= 85 * (len(a) + len(made[j]) - both):
+                x, y = label[keys[i]], label[keys[j]]
+                label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
+    for block in (1000, 30):
+        links = [tuple(r) for r in jaccard.family_links(family, sets, t, block=block).collect()]
+        by = dict(zip(keys, made))
+        for a, b in links:
+            both = len(np.intersect1d(by[a], by[b]))
+            assert 100 * both >= 85 * (len(by[a]) + len(by[b]) - both)
+        out = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert {k: out.get(k, k) for k in keys} == label
+        if kind == "copies":  # rows in proportion to the family, whatever the number of blocks
+            assert len(links) <= 9 * len(made)
+
+
+def test_long_texts_and_hot_ids(spark):
+    rng = random.Random(11)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(30_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:29_000])), (3, " ".join(long[:20_000])), (4, "x" * 500_000), (5, "x" * 500_000)]
+    rows += [(9, f"text {i % 40} of the one id that many rows have") for i in range(300)]
+    out = {(r.doc_id, r.n, r.component) for r in jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(i, c) for i, _, c in out} == {(1, 1), (2, 1), (3, 3), (4, 4), (5, 4), (9, 9)}
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "a b c d")], "doc_id long, text string")
     assert sorted([(r.doc_id or 0, r.n, r.component) for r in jaccard.linked(df).collect()]) == [(0, 1, None), (1, 1, 1), (1, 1, 1), (2, 1, 1)]
