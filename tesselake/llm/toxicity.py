@@ -7,7 +7,7 @@ window, attention weighs their states, a linear layer gives the window's logit.
 its windows; its score is that logit's calibrated sigmoid.
 
 Training sees a bounded sample of the labelled documents (``per_label`` of each label, those with the smallest hash
-of doc_id) and labels of whole documents only: all windows of a clean document are clean, of a toxic document
+of doc_id; one text of each id, and none of more than ``longest`` characters) and labels of whole documents only: all windows of a clean document are clean, of a toxic document
 the window that is rated highest stands for it.  Labels, lang, source and doc_id are never inputs.
 
 Null texts count as empty; a text without a word has score 0.  Repeated rows are scored one by one; of several
@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import mix64, small_batches, texts_of
 
@@ -331,13 +331,13 @@ def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_label: int = 1200) -> Network | None:
+def learn(docs: DataFrame, labels: DataFrame, per_label: int = 1200, longest: int = 1 << 17) -> Network | None:
     """A network from a bounded sample of the labelled documents that aren't held out."""
     known = labels.select("doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    first = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_label).drop("r")
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").limit(4 * per_label).collect()
-    rows = sorted((r.doc_id, r.text, r.y) for r in rows)
+    # an ordered limit of each label: no task passes on more than per_label rows
+    ids = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for y in (0, 1)]
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.char_length("text") <= longest)).join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
+    rows = sorted((r.doc_id, r.text, r.y) for r in texts.groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect())
     return train([(t, y) for _, t, y in rows]) if {y for *_, y in rows} == {0, 1} else None
 
 
