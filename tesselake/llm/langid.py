@@ -7,10 +7,12 @@ on which one-versus-rest kernel ridge regression is solved in closed form.  As t
 presence vector, landmarks and weights fold into one matrix of cells by languages: a batch is scored by one
 product of its presence matrix with it.  A text's score is the mean of its segments' scores by length.
 
-The model is fitted on a bounded sample: ``per_lang`` documents of each language (those with the smallest hash
-of doc_id) and at most ``segments`` segments of them.  Each whole text is scored.  Null texts and texts
-without a letter are ``und`` with score 0; so is everything where there is nothing to learn from.  Repeated rows
-are scored one by one; a row without doc_id isn't held out and isn't learned from.
+The model is fitted on a bounded sample: of about ``per_lang`` documents of each language (those whose hash of doc_id is
+below the share that this is of the language) ``per_doc`` segments each at most, and of these ``most`` in all, as many of
+each language, at least one.  Segments are cut where the texts are; only those drawn reach the driver.  Each whole text is
+scored.  Null texts and texts without a letter are ``und`` with score 0; so is everything where there is nothing to learn
+from.  Repeated rows are scored one by one (and learned from once); a row without doc_id isn't held out and isn't learned
+from.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import small_batches, texts_of
+from .common import small_batches, sweep, texts_of, written
 
 CELLS, ORDERS, SEGMENT = 1 << 13, (1, 2, 3), 2048
 #: Multipliers of the code points of an n-gram, by order.
@@ -33,6 +35,8 @@ SEEDS = {n: np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35][:n], np.uint32) + np.u
 class Model:
     langs: list[str]
     weights: np.ndarray  # cells x languages
+    land: np.ndarray | None = None  # presence of the landmarks
+    theta: np.ndarray | None = None  # weights of the features, of which ``weights`` is folded
 
     def scores(self, presence: np.ndarray) -> np.ndarray:
         return presence @ self.weights / np.sqrt(np.maximum(presence.sum(1, keepdims=True), 1))
@@ -64,12 +68,12 @@ def presence(pieces: list[str]) -> np.ndarray:
     return out.reshape(len(pieces), CELLS)
 
 
-def fit(samples: list[tuple[str, str]], landmarks: int = 192, ridge: float = 1e-3, most: int = 4000, seed: int = 7) -> Model:
+def fit(samples: list[tuple[str, str]], landmarks: int = 192, ridge: float = 1e-3, seed: int = 7) -> Model:
     """Kernel ridge regression on (text, language) pairs."""
     langs = sorted({lang for _, lang in samples})
     rng = np.random.default_rng(seed)
     pieces = [(p.lower(), langs.index(lang)) for text, lang in samples for p in segments(text)]
-    pieces = [pieces[i] for i in rng.permutation(len(pieces))[:most]]
+    pieces = [pieces[i] for i in rng.permutation(len(pieces))]
     if not pieces:
         return Model([], np.zeros((CELLS, 0), np.float32))
     x = np.concatenate([presence([p for p, _ in pieces[i : i + 256]]).astype(np.uint8) for i in range(0, len(pieces), 256)])
@@ -87,7 +91,7 @@ def fit(samples: list[tuple[str, str]], landmarks: int = 192, ridge: float = 1e-
     target = np.where(y[:, None] == np.arange(len(langs)), 1.0, -1.0)
     a = feats.T @ (feats * weight[:, None]) + ridge * np.eye(feats.shape[1])
     theta = np.linalg.solve(a, feats.T @ (target * weight[:, None]))
-    return Model(langs, (fold @ theta).astype(np.float32))
+    return Model(langs, (fold @ theta).astype(np.float32), x[marks], theta)
 
 
 def predict(texts: list[str], model: Model, rows: int = 256) -> list[tuple[str, float]]:
@@ -116,18 +120,34 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
-def train(docs: DataFrame, per_lang: int = 400) -> Model:
+def train(docs: DataFrame, per_lang: int = 400, per_doc: int = 8, most: int = 4000) -> Model:
     """A model from a bounded sample of the documents that aren't held out."""
-    known = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang).select("doc_id").limit(per_lang * 1000)
-    rows = known.select("doc_id", "text", "lang").join(F.broadcast(ids.distinct()), "doc_id", "left_semi").limit(per_lang * 1000)
-    return fit([(r.text, r.lang) for r in sorted(rows.collect(), key=lambda r: (r.doc_id, r.text))])
+    known = docs.select("doc_id", "text", "lang").where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
+    counts = written(known.groupBy("lang").agg(F.count("*").alias("c")), "langs")
+    langs = counts.count()
+    share = F.when(F.col("c") > per_lang, F.lit(float(per_lang)) / F.col("c")).otherwise(2.0)
+    drawn = known.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < share * (1 << 40))
+    one = drawn.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, 4 << 20):
+            rows = []
+            for lang, doc, text in zip(*(b.column(c).to_pylist() for c in ("lang", "doc_id", "text"))):
+                own = segments(text)
+                rows += [(lang, doc, own[i]) for i in sorted({len(own) * k // per_doc for k in range(per_doc)} if own else ())]
+            yield pa.RecordBatch.from_pylist([dict(zip(("lang", "doc_id", "piece"), r)) for r in rows], pa.schema([("lang", pa.string()), ("doc_id", pa.int64()), ("piece", pa.string())]))
+
+    pieces = one.select("lang", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "lang string, doc_id long, piece string")
+    # of a language there are about per_lang * per_doc at most
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("piece", "doc_id"), "doc_id", "piece")
+    rows = pieces.withColumn("r", F.row_number().over(first)).where(F.col("r") <= max(1, most // max(1, langs))).collect()
+    return fit([(r.piece, r.lang) for r in sorted(rows, key=lambda r: (r.lang, r.r))])
 
 
-def classify(docs: DataFrame, per_lang: int = 400, block_bytes: int = 4 << 20) -> DataFrame:
+def classify(docs: DataFrame, per_lang: int = 400, per_doc: int = 8, most: int = 4000, block_bytes: int = 4 << 20) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score."""
-    model = train(docs, per_lang)
+    sweep(docs)
+    model = train(docs, per_lang, per_doc, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, block_bytes):

@@ -34,11 +34,34 @@ def test_nothing_to_learn_from(spark):
 def test_folded_weights_equal_kernel_form():
     rng = random.Random(2)
     samples = [(text(lang, rng), lang) for lang in ("xx", "yy") for _ in range(20)]
-    m = langid.fit(samples, landmarks=10)
+    ridge = 1e-3
+    m = langid.fit(samples, landmarks=10, ridge=ridge)
     x = langid.presence([t.lower() for t, _ in samples])
+    cells = lambda a: [set(np.flatnonzero(r).tolist()) for r in a]
+    kernel = lambda a, b: np.array([[len(p & q) / np.sqrt(len(p) * len(q)) for q in b] for p in a])
+    points, land = cells(x), cells(m.land)
+    assert len(land) == 10
+    values, vectors = np.linalg.eigh(kernel(land, land))
+    feats = kernel(points, land) @ (vectors / np.sqrt(values))
+    assert np.allclose(m.scores(x), feats @ m.theta, atol=1e-4)
+    # the ridge regression's normal equations hold, one language against the rest
+    y = np.array([m.langs.index(lang) for _, lang in samples])
+    target, weight = np.where(y[:, None] == np.arange(2), 1.0, -1.0), 1 / 20
+    assert np.allclose(weight * feats.T @ (feats @ m.theta - target) + ridge * m.theta, 0, atol=1e-4)
     assert (np.array(m.langs)[m.scores(x).argmax(1)] == [lang for _, lang in samples]).all()
 
 
+def test_a_rare_language_and_hot_rows_are_learned_from(spark):
+    rng = random.Random(3)
+    rows = [(i, text("xx", rng, 3000), "xx") for i in range(120)] + [(5000 + i, text("yy", rng, 12), "yy") for i in range(6)]
+    rows += [(1, "der eine Text", "xx")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = langid.train(df, per_lang=50, per_doc=2, most=20)
+    assert m.langs == ["xx", "yy"]
+    found = langid.predict([text("xx", rng), text("yy", rng)], m)
+    assert [x for x, _ in found] == ["xx", "yy"]
+
+
 def test_presence_counts_no_gram_across_pieces():
     one, two = langid.presence(["ab", "cd"])
     assert np.array_equal(one, langid.presence(["ab"])[0]) and np.array_equal(two, langid.presence(["cd"])[0])
