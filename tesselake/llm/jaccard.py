@@ -187,14 +187,18 @@ def marked(h: np.ndarray, band: int) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, id_col: str, text: str, t: Threshold, width: int) -> DataFrame:
-    """(id, n, key, band, steps) of each row; steps as ``enough`` has them."""
+    """(id, h, n, key, band, steps) of each row; h: a hash of the text, steps as ``enough`` has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
             sets = [shingle_set(x, width) for x in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([t.band(len(s)) for s in sets], pa.int32()), pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32())], names=["id", "n", "key", "band", "steps"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([t.band(len(s)) for s in sets], pa.int32()), pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32())], names=["id", "h", "n", "key", "band", "steps"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, key long, band int, steps int")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text).alias("h"), F.col(text).alias("t")).mapInArrow(run, "id long, h long, n long, key long, band int, steps int")
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int, few: int) -> DataFrame:
@@ -477,8 +481,34 @@ def outlier_links(sets: DataFrame, t: Threshold, block: int, elements: int) -> D
     return right.unionByName(left).groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, few: int = 16, per_bucket: int = 1_500_000) -> DataFrame:
-    """Per row: id, n (size of its set), component (smallest id that links reach)."""
+def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, **options) -> DataFrame:
+    """Per row: id, n (size of its set), component (smallest id that links reach; the texts of one id are one document)."""
+    nodes, reps, links = links_of(docs, id_col, text, t, width, **options)
+    a, b = reps.select(F.col("key").alias("a"), F.col("id").alias("ia")), reps.select(F.col("key").alias("b"), F.col("id").alias("ib"))
+    labels = components(links.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")))
+    label = reps.join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
+    out = nodes.join(label, "key", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"))
+    return out.withColumnRenamed("id", id_col)
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, **options) -> DataFrame:
+    """The documents, with their columns, but of those that links join only one: the first by id, then by a hash of the text
+    (of repeated rows one).  Two texts of one id are two documents.  Rows without id, and texts without words, stay."""
+    nodes, reps, links = links_of(docs, id_col, text, t, width, **options)
+    labels = components(links).withColumnRenamed("id", "key")
+    known = nodes.where(F.col("id").isNotNull()).groupBy("id", "h").agg(F.first("key").alias("key"), F.first("n").alias("n"), F.count("*").alias("c"))
+    known = written(known.join(labels, "key", "left").select("id", "h", "n", "c", F.coalesce("component", "key").alias("group")), "known")
+    first = known.where("n > 0").groupBy("group").agg(F.min(F.struct("id", "h", "c")).alias("first")).select("first.*")
+    stay = written(first.unionByName(known.where("n = 0").select("id", "h", F.lit(1).cast("long").alias("c"))), "stay")
+    mark, place = "_" * (1 + max(map(len, docs.columns))), [F.col(id_col).cast("long").alias("id"), text_hash(text).alias("h")]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *place).join(stay.withColumnRenamed("c", mark), ["id", "h"])
+    once, again = rows.where(F.col(mark) == 1), rows.where(F.col(mark) > 1).dropDuplicates(["id", "h"])
+    return once.unionByName(again).select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def links_of(docs: DataFrame, id_col: str, text: str, t: Threshold, width: int, few: int = 16, per_bucket: int = 1_500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, reps, links): the rows with their keys, an id for each key, and links between keys, enough to join all that
+    are linked."""
     sweep(docs)
     nodes = written(keyed(docs, id_col, text, t, width), "nodes")
     known = nodes.where("id is not null and n > 0")
@@ -497,10 +527,6 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Thres
     wanted = (wanted.unionByName(family.select("key")) if large else wanted).distinct().join(reps.select("key", "id"), "key")
     sets = written(sets_of(docs, wanted, id_col, text, width), "sets")
     links = verified(pairs, sets, t)
-    links = links.unionByName(family_links(family, sets, t)) if large else links
-    a, b = reps.select(F.col("key").alias("a"), F.col("id").alias("ia")), reps.select(F.col("key").alias("b"), F.col("id").alias("ib"))
-    labels = components(links.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")))
-    dropped(docs.sparkSession, found, pairs, sets, family)  # the labels are written
-    label = reps.join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
-    out = nodes.join(label, "key", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"))
-    return out.withColumnRenamed("id", id_col)
+    links = written(links.unionByName(family_links(family, sets, t)) if large else links, "joins")
+    dropped(docs.sparkSession, found, pairs, sets, family)
+    return nodes, reps, links

@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline as cp
+from tesselake.llm import jaccard, suffix
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,32 @@ def test_stages_and_run(spark, folder):
     assert [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "repeated_passages", "secrets", "packing"]
 
 
+def test_different_texts_of_one_id_stay(spark):
+    long = [" ".join(f"{w}{i}" for i in range(60)) for w in "abc"]
+    rows = [(1, long[0], "x"), (1, long[1], "y"), (1, long[1], "z"), (2, long[0] + " more", "x"), (3, long[2], "x"), (4, "", "x"), (4, None, "y"), (4, "  ", "x"), (None, long[0], "x"), (None, long[0], "x")]
+    out = cp.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string, h string"), "")
+    found = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == ["doc_id", "text", "h"]
+    assert found == sorted([(1, long[0]), (1, long[1]), (3, long[2]), (4, ""), (4, None), (4, "  "), (None, long[0]), (None, long[0])], key=str)
+
+
+def test_a_held_result_outlives_later_runs(spark, folder):
+    import threading
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    held = jaccard.linked(docs)
+    first = sorted(map(str, held.collect()))
+    cp.run(spark, folder).count()
+    assert sorted(map(str, held.collect())) == first
+    found = {}
+    threads = [threading.Thread(target=lambda f=f: found.update({f.__name__: f(docs).count()})) for f in (jaccard.linked, suffix.deduplicated)]
+    for x in threads:
+        x.start()
+    for x in threads:
+        x.join()
+    assert found == {"linked": docs.count(), "deduplicated": docs.count()}
+
+
 def test_empty(spark, folder):
     none = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for _, stage in cp.STAGES:
