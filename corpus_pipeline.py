@@ -1,7 +1,6 @@
 """The corpus pipeline: five stages over ``documents``, each with the columns of its input but for the last.
 
-Every stage is written as Parquet and read again before the next; run() does that in the shared folder.  As the
-stage before is then done, each stage first removes the tables that earlier ones have left there.  A stage
+Every stage is written as Parquet and read again before the next; run() does that in the shared folder.  A stage
 judges what its predecessor kept: toxic documents go, of each group of near copies one document stays (the one with
 the smallest doc_id), byte strings that repeat an earlier document are cut out, secrets are blanked, and what is
 left is packed into sequences.
@@ -9,7 +8,6 @@ left is packed into sequences.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tesselake.llm import jaccard, packing, secrets, suffix, toxicity
@@ -34,13 +32,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the first by doc_id (repeated rows: one of them).
 
     Near copies are documents with 5-word shingle sets of a Jaccard similarity of at least 0.8.  Documents without a
-    word, or without doc_id, are in no group and stay."""
-    groups = jaccard.linked(docs, t=jaccard.Threshold(80, 100), width=5)
-    kept = groups.where("doc_id is not null and n > 0 and doc_id = component").select("doc_id").distinct()
-    loose = groups.where("doc_id is not null and n = 0").select("doc_id").distinct()
-    one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rest = docs.where("doc_id is null").unionByName(docs.join(loose, "doc_id", "left_semi"))
-    return one.select(*docs.columns).unionByName(rest.select(*docs.columns))
+    word, or without doc_id, are in no group and stay; different texts of one doc_id are documents of their own."""
+    return jaccard.one_of_each_group(docs, t=jaccard.Threshold(80, 100), width=5)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +50,8 @@ def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' tokens, packed into sequences of at most 4096."""
+    import public_tokenizers
+
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
