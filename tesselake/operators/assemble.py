@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 def vocal_filter(files: DataFrame, features: DataFrame, key: str, keep: Column, only_if_vocals: bool = True) -> DataFrame:
     """Files whose sidecar fulfils ``keep``; files without sidecar go.  All files if the gate is off."""
-    return files.join(features.where(keep).select(key).distinct(), key, "left_semi") if only_if_vocals else files
+    return files.join(features.where(keep).select(key), key, "left_semi") if only_if_vocals else files
 
 
 def first_by_stem(files: DataFrame, flags: DataFrame, stem: str, flag: str, order: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import envelope, frame_starts
 
@@ -17,11 +17,24 @@ def make_frames(rows: DataFrame, key: str, signal: str, window: int, hop: int) -
 def overlap_add(frames: DataFrame, key: str, window: int, hop: int, length: str | None = None) -> DataFrame:
     """The weighted sums of frames by place: key, at, value.  A single frame is returned as it is.
 
-    Samples are summed in a shuffle by (key, at), with partial sums in each task."""
-    extra = [length] if length else []
-    long = frames.select(key, "index", "total", *extra, F.size("frame").alias("size"), F.posexplode("frame").alias("pos", "x"))
-    weight = F.when(F.col("total") > 1, envelope(F.col("pos"), F.col("index"), F.col("total"), F.col("size"), window - hop)).otherwise(1.0)
-    long = long.withColumn("at", F.col("index") * hop + F.col("pos"))
-    if length:
-        long = long.where((F.col("total") == 1) | (F.col("at") < F.col(length)))
-    return long.groupBy(key, "at").agg(F.sum(F.col("x").cast("double") * weight).alias("value"))
+    ``frames`` holds all frames of a key, as ``make_frames`` gives them.  They are gathered per key, whole; each place looks
+    up the few frames that cover it, so single samples aren't shuffled."""
+    extra = [F.first(length).alias("__length")] if length else []
+    whole = frames.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("index", "frame"))).alias("f"), F.max("total").alias("total"), *extra)
+    whole = whole.withColumn("sizes", F.transform("f", lambda x: F.size(x["frame"])))
+    stop = F.array_max(F.transform("f", lambda x: x["index"] * hop + F.size(x["frame"])))
+    stop = F.when(F.col("total") == 1, stop).otherwise(F.least(stop, F.col("__length"))) if length else stop
+
+    def value(at: Column) -> Column:
+        first = F.greatest(F.lit(0), F.ceil((at - window + 1) / F.lit(hop)).cast("int"))
+        last = F.least(F.col("total") - 1, F.floor(at / F.lit(hop)).cast("int"))
+
+        def part(sum_: Column, i: Column) -> Column:
+            pos, size = at - i * hop, F.get("sizes", i)
+            weight = F.when(F.col("total") > 1, envelope(pos, i, F.col("total"), size, window - hop)).otherwise(1.0)
+            return sum_ + F.when((pos >= 0) & (pos < size), F.get(F.get("f", i)["frame"], pos).cast("double") * weight).otherwise(0.0)
+
+        return F.aggregate(F.sequence(first, F.greatest(first, last)), F.lit(0.0), part)
+
+    places = F.filter(F.sequence(F.lit(0), stop), lambda at: at < stop)
+    return whole.select(key, F.posexplode(F.transform(places, value)).alias("at", "value"))

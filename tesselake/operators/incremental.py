@@ -25,4 +25,4 @@ def skip_completed(files: DataFrame, targets: DataFrame, old_suffix: str, new_su
     missing = F.col("made").isNull()
     stale = F.col("made") < F.col("changed")
     open_ = wanted.join(made, "target", "left").where(missing | stale if check_timestamp else missing)
-    return files.join(open_.select("path").distinct(), "path", "left_semi")
+    return files.join(open_.select("path"), "path", "left_semi")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .signal import windowed
+from .signal import rows_of, windowed
 
 Model = Callable[[np.ndarray, int], np.ndarray | None]
 
@@ -63,20 +63,19 @@ def infer(audio: DataFrame, factory: Callable[[], Model], contract: Contract) ->
         model = factory()
         schema = pa.schema([("path", pa.string()), ("status", pa.string()), ("error", pa.string()), ("shape", pa.list_(pa.int32())), ("data", pa.list_(pa.float32()))])
         for b in batches:
-            for r in b.to_pylist():
-                row = {"path": r["path"], "status": "ok", "error": None}
+            for path, x, rate in rows_of(b, "path", "samples", "sr"):
+                error, y = None, None
                 try:
-                    x = np.array(r["samples"], np.float32)
-                    if contract.rate and r["sr"] != contract.rate:
-                        raise ValueError(f"rate {r['sr']}, not {contract.rate}")
+                    if contract.rate and rate != contract.rate:
+                        raise ValueError(f"rate {rate}, not {contract.rate}")
                     if contract.channels and len(x) != contract.channels:
                         raise ValueError(f"{len(x)} channels, not {contract.channels}")
-                    y = model(x.mean(0, keepdims=True) if contract.mono else x, r["sr"])
+                    y = model(x.mean(0, keepdims=True) if contract.mono else x, rate)
                     if y is None or np.isnan(y).any():
                         continue
-                    row |= {"shape": list(y.shape), "data": y.ravel()}
-                except Exception as error:
-                    row |= {"status": "failed", "error": str(error)}
-                yield pa.RecordBatch.from_pylist([row], schema)
+                except Exception as found:
+                    error = str(found)
+                shape, data = (None, None) if error else (list(y.shape), np.asarray(y, np.float32).ravel())
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array(["failed" if error else "ok"]), pa.array([error], pa.string()), pa.array([shape], schema.field("shape").type), pa.array([data], schema.field("data").type)], schema=schema)
 
     return audio.where("status = 'ok'").select("path", "sr", "samples").mapInArrow(run, "path string, status string, error string, shape array<int>, data array<float>")

@@ -25,15 +25,19 @@ def ranges(rows: DataFrame, by: str, parts: int) -> DataFrame:
     cuts = sorted({values[len(values) * i // parts] for i in range(1, parts)}) if values else []
     if not cuts:
         return rows.withColumn("__b", F.lit(0))
-    at = F.aggregate(F.array(*map(F.lit, cuts)), F.lit(0), lambda n, c: n + F.when(F.col(by) >= c, 1).otherwise(0))
+    # the number of cuts that aren't above the value, by halving
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+    known = F.array(*map(F.lit, cuts))
+    at = F.aggregate(steps, F.lit(0), lambda n, s: F.when(F.get(known, n + s - 1) <= F.col(by), n + s).otherwise(n))
     return rows.withColumn("__b", F.coalesce(at, F.lit(0)))
 
 
 def sharded(rows: DataFrame, by: str, per_shard: int, limit: int | None = None, first: int = 0) -> DataFrame:
     """Rows with ``shard``: each shard has per_shard rows in the order of ``by``, but for the last."""
-    if limit is not None:
-        rows, per_shard = rows.orderBy(by).limit(limit), min(per_shard, limit)
-    return enumerated(rows, by).withColumn("shard", F.floor(F.col("idx") / per_shard) + first)
+    out = enumerated(rows, by)
+    if limit is not None:  # by number: an ordered limit would bring all kept rows to one task
+        out, per_shard = out.where(F.col("idx") < limit), min(per_shard, limit)
+    return out.withColumn("shard", F.floor(F.col("idx") / per_shard) + first)
 
 
 def chunked(rows: DataFrame, per_shard: int, per_chunk: int = 1000) -> DataFrame:

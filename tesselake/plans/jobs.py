@@ -17,17 +17,19 @@ from ..operators.incremental import skip_completed
 from ..sources import files, sinks
 
 
-def open_files(spark: SparkSession, glob: str, todo: DataFrame | None = None) -> DataFrame:
-    """Files with contents; with ``todo`` only those listed there, dealt out anew."""
-    found = listing.list_files(spark, glob, content=True)
-    found = found if todo is None else found.join(todo.select("path"), "path", "left_semi")
-    return listing.rebalance(found, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def open_files(spark: SparkSession, glob: str, todo: DataFrame | None = None, first: int | None = None) -> DataFrame:
+    """Files with contents (or their first bytes); with ``todo`` only those listed there.
+
+    Paths are dealt out anew, and each file is opened in the task that has its path: contents are never shuffled, and of
+    files that aren't asked for nothing is read."""
+    found = listing.list_files(spark, glob) if todo is None else todo
+    return files.contents(listing.rebalance(found.select("path"), int(spark.conf.get("spark.sql.shuffle.partitions"))), first)
 
 
 def pending(spark: SparkSession, glob: str, suffix: str, new_suffixes: list[str], overwrite: bool = False, **options) -> DataFrame:
     """The files of a glob that miss a target beside them (or under target_dir)."""
     root = options.get("target_dir") or paths.literal_root(glob)
-    targets = listing.list_files(spark, root.rstrip("/") + "/**")
+    targets = listing.list_files(spark, root.rstrip("/") + "/**")  # metadata alone
     return skip_completed(listing.list_files(spark, glob), targets, suffix, new_suffixes, overwrite=overwrite, **options)
 
 
@@ -40,20 +42,37 @@ def example(spark: SparkSession, source_audio_path: str, source_audio_suffix: st
 
 def dataset_stats(spark: SparkSession, source_audio_path: str, match_suffix: str = ".wav") -> dict[str, DataFrame]:
     """Count, duration, channel kinds and sample rates, from headers alone."""
-    head = files.audio_headers(open_files(spark, f"{source_audio_path.rstrip('/')}/**{match_suffix}")).where("status = 'ok'")
+    head = files.audio_headers(open_files(spark, f"{source_audio_path.rstrip('/')}/**{match_suffix}", first=files.HEAD)).where("status = 'ok'")
     head = head.withColumn("duration", F.col("n_samples") / F.col("sr"))
     return {"totals": stats.totals(head), "channels": stats.counts(head, stats.channel_kind(F.col("n_channels")), "kind"), "rates": head.select("sr").distinct()}
 
 
 def feature_stats(features: DataFrame, labels: list[str], threshold: float = 0.8, music_label: int = 0, music_threshold: float = 0.5) -> dict[str, DataFrame]:
     """Music and genre counts of (path, shape, data) features."""
-    rows = features.where("status = 'ok'").withColumn("rows", F.expr("transform(sequence(0, shape[0] - 1), i -> slice(data, i * shape[1] + 1, shape[1]))"))
+    rows = features.where("status = 'ok'").withColumn("rows", F.expr("transform(filter(sequence(0, shape[0]), i -> i < shape[0]), i -> slice(data, i * shape[1] + 1, shape[1]))"))
     best = F.transform("rows", lambda r: F.array_max(r))
     mean = F.transform("rows", lambda r: arrays.mean_std(r)[0].cast("float"))
     genres = rows.select(F.explode(arrays.above(best, threshold)).alias("i")).select(F.element_at(F.array(*map(F.lit, labels)), F.col("i") + 1).alias("genre"))
     return {"music": stats.counts(rows, arrays.is_music(mean, music_label, music_threshold), "is_music"), "genres": stats.counts(genres, "genre", "genre")}
 
 
+def music_stats(spark: SparkSession, root: str, labels: list[str], music_suffix: str = ".music.npy", vocal_suffix: str = ".vocal.npy", genre_suffix: str = ".genre.npy", p_threshold: float = 0.9, n_threshold: float = 0.1, genre_threshold: float = 0.8, music_label: int = 0, music_threshold: float = 0.5) -> dict[str, DataFrame]:
+    """Of the tracks with a music feature below root: how many are music and, of these, how many have vocals, and the genres of
+    the music tracks.  Features are .npy files (classes x frames); a track without a vocal or genre feature counts for none."""
+
+    def rows_of(suffix: str) -> DataFrame:
+        found = files.load_features(open_files(spark, f"{root.rstrip('/')}/**{suffix}")).where("status = 'ok'")
+        rows = F.expr("transform(filter(sequence(0, shape[0]), i -> i < shape[0]), i -> slice(data, i * shape[1] + 1, shape[1]))")
+        return found.select(paths.remove_suffix(F.col("path"), suffix).alias("track"), rows.alias("rows"))
+
+    music = rows_of(music_suffix).select("track", arrays.is_music(F.transform("rows", lambda r: arrays.mean_std(r)[0].cast("float")), music_label, music_threshold).alias("is_music"))
+    vocal = rows_of(vocal_suffix).where(F.size("rows") > 1).select("track", arrays.majority_vote(F.element_at("rows", 2), p_threshold, n_threshold).alias("is_vocal"))
+    kept = music.where("is_music").join(vocal, "track", "left").select("track", F.coalesce("is_vocal", F.lit(False)).alias("is_vocal"))
+    best = F.transform("rows", lambda r: F.array_max(r))
+    genre = rows_of(genre_suffix).join(music.where("is_music"), "track", "left_semi").select(F.explode(arrays.above(best, genre_threshold)).alias("i")).select(F.element_at(F.array(*map(F.lit, labels)), F.col("i") + 1).alias("genre"))
+    return {"music": stats.counts(music, "is_music", "is_music"), "vocal": stats.counts(kept, "is_vocal", "is_vocal"), "genres": stats.counts(genre, "genre", "genre")}
+
+
 def run_model(spark: SparkSession, glob: str, audio_suffix: str, contract: infer.Contract, factory: Callable, overwrite: bool = False, max_duration: float | None = None, channels_first: bool = True) -> DataFrame:
     """List, skip completed, decode, crop, resample to the contract's rate, infer, write .npy beside each source."""
     suffix = contract.suffix
@@ -77,29 +96,33 @@ def run_model(spark: SparkSession, glob: str, audio_suffix: str, contract: infer
 
 
 def separate(spark: SparkSession, glob: str, audio_suffix: str, factory: Callable, stems: tuple[str, ...] = ("vocals", "instrumental"), only_if_vocals: bool = False, vocals: DataFrame | None = None, p_threshold: float = 0.9, n_threshold: float = 0.1, max_duration: float = 360, overwrite: bool = False) -> DataFrame:
-    """Source separation: optional vocal gate (stem, probs), crop, 44.1 kHz, z-normal input, one file per stem."""
+    """Source separation: optional vocal gate (stem, probs), crop, 44.1 kHz, z-normal input, one file per stem.
+
+    A file is decoded and separated once, the model made once per task; all its stems come from that."""
     todo = pending(spark, glob, audio_suffix, [f".{s}{audio_suffix}" for s in stems], overwrite)
     if only_if_vocals:
         todo = assemble.vocal_filter(todo.withColumn("stem", paths.file_stem(F.col("path"))), vocals, "stem", arrays.majority_vote(F.col("probs"), p_threshold, n_threshold))
-    audio = files.decode_audio(open_files(spark, glob, todo))
-    parts = None
-    for i, stem in enumerate(stems):
+    def make():
+        model = factory()
 
-        def one(_, x, sr, i=i):
+        def split(_, x, sr):
             if x.shape[0] != 2:
                 return None
             x = signal.resample(x[:, : int(max_duration * sr)], sr, 44100)
             mono = x.mean(0)
             mean, std = mono.mean(), mono.std(ddof=1) or 1.0
-            return (factory()((x - mean) / std)[i] * std + mean).astype(np.float32), 44100
+            found = model((x - mean) / std)
+            return {stem: ((found[i] * std + mean).astype(np.float32), 44100) for i, stem in enumerate(stems)}
 
-        out = signal.map_audio(audio, one).withColumn("out_path", paths.output_path(F.col("path"), audio_suffix, f".{stem}{audio_suffix}"))
-        parts = out if parts is None else parts.unionByName(out)
-    return sinks.write_files(sinks.encode_audio(parts, audio_suffix))
+        return split
 
+    parts = signal.spread_audio(files.decode_audio(open_files(spark, glob, todo)), make)
+    name = F.concat(paths.remove_suffix(F.col("path"), audio_suffix), F.lit("."), "kind", F.lit(audio_suffix))
+    return sinks.write_files(sinks.encode_audio(parts.withColumn("out_path", name), audio_suffix))
 
-def transcode(spark: SparkSession, src_dir: str, audio_suffix: str, target_audio_suffix: str, target_sample_rate: int = 48000, crop_duration: float | None = None) -> DataFrame:
-    """Convert files; with crop_duration a piece of that length from a place drawn by the path, shorter files go."""
+
+def transcode(spark: SparkSession, src_dir: str, audio_suffix: str, target_audio_suffix: str, target_sample_rate: int = 48000, crop_duration: float | None = None, overwrite: bool = False) -> DataFrame:
+    """Convert the files that have no target yet; with crop_duration a piece of that length from a place drawn by the path, shorter files go."""
 
     def change(path, x, sr):
         x = signal.resample(x, sr, target_sample_rate)
@@ -113,7 +136,8 @@ def transcode(spark: SparkSession, src_dir: str, audio_suffix: str, target_audio
             x = x[:, start : start + n]
         return x, target_sample_rate
 
-    audio = signal.map_audio(files.decode_audio(open_files(spark, f"{src_dir.rstrip('/')}/**{audio_suffix}")), change)
+    glob = f"{src_dir.rstrip('/')}/**{audio_suffix}"
+    audio = signal.map_audio(files.decode_audio(open_files(spark, glob, pending(spark, glob, audio_suffix, [target_audio_suffix], overwrite))), change)
     return sinks.write_files(sinks.encode_audio(audio.withColumn("out_path", paths.output_path(F.col("path"), audio_suffix, target_audio_suffix)), target_audio_suffix))
 
 
@@ -165,15 +189,15 @@ def classify(spark: SparkSession, src_dir: str, audio_suffix: str, heads: dict[s
         from ..sources.codecs import write_npy
 
         for b in batches:
-            for r in b.to_pylist():
+            for path, signal_ in signal.rows_of(b, "path", "samples"):
                 made = []
                 try:
-                    x = embed(np.array(r["samples"], np.float32).mean(0), rate)
+                    x = embed(signal_.mean(0), rate)
                     for f in wanted:
                         made.append((f, write_npy(np.asarray(heads[f](x), np.float32))))
                 except Exception:
                     pass
-                yield pa.RecordBatch.from_arrays([pa.array([r["path"]] * len(made), pa.string()), pa.array([f for f, _ in made], pa.string()), pa.array([c for _, c in made], pa.binary())], names=["path", "feature", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(made), pa.string()), pa.array([f for f, _ in made], pa.string()), pa.array([c for _, c in made], pa.binary())], names=["path", "feature", "content"])
 
     found = audio.where("status = 'ok'").select("path", "samples").mapInArrow(run, "path string, feature string, content binary")
     return sinks.write_files(found.select(F.concat(paths.remove_suffix(F.col("path"), audio_suffix), F.lit("."), "feature", F.lit(".npy")).alias("out_path"), "content"))
@@ -194,13 +218,13 @@ def transcribe(spark: SparkSession, match_pattern: str, audio_suffix: str, facto
 
         model = factory()
         for b in batches:
-            for r in b.to_pylist():
+            for path, x, sr in signal.rows_of(b, "path", "samples", "sr"):
                 try:
-                    segments = model(np.array(r["samples"], np.float32), r["sr"])
+                    segments = model(x, sr)
                 except Exception:
                     continue
                 if segments:
-                    yield pa.RecordBatch.from_arrays([pa.array([r["path"]]), pa.array([json.dumps({"lyrics": segments}).encode()], pa.binary())], names=["path", "content"])
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([json.dumps({"lyrics": segments}).encode()], pa.binary())], names=["path", "content"])
 
     found = files.decode_audio(open_files(spark, match_pattern, todo)).where("status = 'ok'").select("path", "sr", "samples").mapInArrow(run, "path string, content binary")
     return sinks.write_files(found.select(paths.output_path(F.col("path"), audio_suffix, suffix).alias("out_path"), "content"))

@@ -55,8 +55,10 @@ def write_wav(audio: np.ndarray, rate: int, bits: int = 16) -> bytes:
     return b"RIFF" + struct.pack("<I", len(body)) + body
 
 
-def wav_chunks(raw: bytes) -> tuple[tuple[int, int, int, int], memoryview, int]:
-    """(format, channels, rate, bits), the data chunk and its declared size."""
+def wav_chunks(raw: bytes, length: int | None = None) -> tuple[tuple[int, int, int, int], memoryview, int]:
+    """(format, channels, rate, bits), the data chunk and its declared size.
+
+    With ``length``, the file's size, raw may be its beginning only."""
     if len(raw) < 12 or raw[:4] != b"RIFF" or raw[8:12] != b"WAVE":
         raise ValueError("not a WAV file")
     at, form, data = 12, None, None
@@ -69,10 +71,11 @@ def wav_chunks(raw: bytes) -> tuple[tuple[int, int, int, int], memoryview, int]:
             form = kind, channels, rate, bits
         elif name == b"data":
             data = memoryview(raw)[at + 8 : at + 8 + size]
+            there = len(data) if length is None else length - at - 8
         at += 8 + size + size % 2
     if form is None or data is None:
         raise ValueError("WAV file without format or data")
-    if len(data) < size:
+    if there < size:
         raise ValueError("truncated WAV file")
     return form, data, size
 
@@ -96,9 +99,9 @@ def read_wav(raw: bytes) -> tuple[np.ndarray, int]:
     return x.reshape(-1, channels).T, rate
 
 
-def read_wav_header(raw: bytes) -> tuple[int, int, int]:
-    """(channels, samples, rate) without decoding."""
-    (_, channels, rate, bits), _, size = wav_chunks(raw)
+def read_wav_header(raw: bytes, length: int | None = None) -> tuple[int, int, int]:
+    """(channels, samples, rate) without decoding; with ``length``, the file's size, of its beginning."""
+    (_, channels, rate, bits), _, size = wav_chunks(raw, length)
     return channels, size // (channels * bits // 8), rate
 
 
@@ -121,6 +124,30 @@ def read_npz(raw: bytes) -> dict[str, np.ndarray]:
         return {k: found[k] for k in found.files}
 
 
+def by_program(extension: str, program: str = "ffmpeg") -> bool:
+    """Register a codec that pipes bytes through an installed program; false (and nothing registered) where it is absent."""
+    import shutil
+    import subprocess
+
+    if shutil.which(program) is None:
+        return False
+
+    def piped(data: bytes, *arguments: str) -> bytes:
+        done = subprocess.run([program, "-v", "error", "-i", "pipe:0", *arguments, "pipe:1"], input=data, capture_output=True)
+        if done.returncode:
+            raise ValueError(done.stderr.decode(errors="replace").strip() or f"{program} failed")
+        return done.stdout
+
+    def decode(raw: bytes) -> tuple[np.ndarray, int]:
+        # an intermediate container that states its size only at the end can't be piped as WAV: take raw samples
+        head = piped(raw, "-f", "au", "-c:a", "pcm_f32be")
+        start, _, _, rate, channels = struct.unpack(">5I", head[4:24])
+        return np.frombuffer(head[start:], ">f4").astype(np.float32).reshape(-1, channels).T, rate
+
+    register(extension, decode, lambda x, rate: piped(write_wav(x, rate, 32), "-f", extension))
+    return True
+
+
 def convert(audio: np.ndarray, rate: int, target_rate: int, channels: int) -> np.ndarray:
     """Mono or stereo audio with other channels and another rate; the input stays as it is."""
     from ..operators.signal import resample

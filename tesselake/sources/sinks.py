@@ -6,10 +6,9 @@ import json
 import uuid
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 
 def filesystem(uri: str):
@@ -76,48 +75,57 @@ def encode_audio(audio: DataFrame, suffix: str, out_path: str = "out_path") -> D
         raise ValueError(f"no encoder for {suffix}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..operators.signal import rows_of
+
         for b in batches:
-            for r in b.to_pylist():
-                data = encoders[kind](np.array(r["samples"], np.float32), r["sr"])
-                yield pa.RecordBatch.from_arrays([pa.array([r[out_path]]), pa.array([data], pa.binary())], names=["out_path", "content"])
+            for path, x, rate in rows_of(b, out_path, "samples", "sr"):
+                data = encoders[kind](x, rate)
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([data], pa.binary())], names=["out_path", "content"])
 
     return audio.where("status = 'ok'").select(out_path, "sr", "samples").mapInArrow(run, "out_path string, content binary")
 
 
-class ShardedWriter(DataSourceWriter):
-    """Each task writes shards of bounded size; the commit writes one index of all shards."""
+class ShardedWriter(DataSourceArrowWriter):
+    """Each task writes shards of bounded size, Arrow streams with the rows' own types (arrays keep theirs), compressed; the
+    commit writes one index of the columns and of all shards with their rows, bytes and hashes."""
 
-    def __init__(self, options: dict[str, str]):
-        self.root, self.most = options["path"], int(options.get("maxbytes", 1 << 28))
+    def __init__(self, options: dict[str, str], schema):
+        self.root, self.most, self.schema = options["path"], int(options.get("maxbytes", 1 << 28)), schema.json()
 
-    def write(self, iterator) -> WriterCommitMessage:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         import hashlib
 
-        import zstandard
-
-        shards, lines, size, task = [], [], 0, uuid.uuid4().hex
+        shards, held, size, task = [], [], 0, uuid.uuid4().hex
 
         def close() -> None:
-            nonlocal lines, size
-            if lines:
-                data = zstandard.ZstdCompressor().compress(raw := "".join(lines).encode())
-                put(f"{self.root}/{task}/shard.{len(shards):05d}.jsonl.zst", data)
-                shards.append({"name": f"{task}/shard.{len(shards):05d}.jsonl.zst", "rows": len(lines), "bytes": len(raw), "sha256": hashlib.sha256(data).hexdigest()})
-                lines, size = [], 0
-
-        for row in iterator:
-            line = json.dumps(row.asDict(recursive=True), default=str) + "\n"
-            if size and size + len(line) > self.most:
-                close()
-            lines.append(line)
-            size += len(line)
+            nonlocal held, size
+            if held:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    for b in held:
+                        out.write_batch(b)
+                put(f"{self.root}/{(name := f'{task}/shard.{len(shards):05d}.arrows')}", data := sink.getvalue().to_pybytes())
+                shards.append({"name": name, "rows": sum(b.num_rows for b in held), "bytes": len(data), "raw_bytes": size, "sha256": hashlib.sha256(data).hexdigest()})
+                held, size = [], 0
+
+        for batch in iterator:
+            each = max(1, batch.nbytes // max(1, batch.num_rows))
+            at = 0
+            while at < batch.num_rows:  # as many rows as the shard has room for, at least one of a new shard
+                n = max((self.most - size) // each, 0 if held else 1)
+                if n:
+                    held.append(batch.slice(at, n))
+                    size += each * held[-1].num_rows
+                    at += n
+                if at < batch.num_rows:
+                    close()
         close()
         message = WriterCommitMessage()
         message.shards = shards
         return message
 
     def commit(self, messages) -> None:
-        put(f"{self.root}/index.json", json.dumps({"shards": [s for m in messages if m for s in m.shards]}).encode())
+        put(f"{self.root}/index.json", json.dumps({"schema": json.loads(self.schema), "shards": [s for m in messages if m for s in m.shards]}).encode())
 
     def abort(self, messages) -> None:
         system, path = filesystem(self.root)
@@ -133,8 +141,8 @@ class ShardedSource(DataSource):
     def name(cls) -> str:
         return "shards"
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return ShardedWriter(self.options)
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return ShardedWriter(self.options, schema)
 
 
 def write_shards(rows: DataFrame, root: str, max_bytes: int = 1 << 28) -> None:
@@ -142,22 +150,27 @@ def write_shards(rows: DataFrame, root: str, max_bytes: int = 1 << 28) -> None:
     rows.write.format("shards").mode("append").option("path", root).option("maxbytes", str(max_bytes)).save()
 
 
-def read_shards(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The rows that ``write_shards`` wrote: only shards that a commit has listed."""
+def read_shards(spark: SparkSession, root: str) -> DataFrame:
+    """The rows that ``write_shards`` wrote: only shards that a commit has listed, each checked against its hash."""
     from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+        import hashlib
 
         for b in batches:
-            for name in b.column("name").to_pylist():
+            for name, digest in zip(b.column("name").to_pylist(), b.column("sha256").to_pylist()):
                 system, path = filesystem(f"{root}/{name}")
                 with system.open_input_stream(path, compression=None) as f:
-                    raw = zstandard.ZstdDecompressor().decompressobj().decompress(f.read())
-                yield pa.RecordBatch.from_arrays([pa.array(raw.decode().splitlines(), pa.string())], names=["line"])
-
-    index = spark.read.text(f"{root}/index.json", wholetext=True).select(F.explode(F.from_json("value", "shards array<struct<name:string>>")["shards"]).alias("s"))
-    return index.select("s.name").mapInArrow(run, "line string").select(F.from_json("line", schema).alias("r")).select("r.*")
+                    raw = f.read()
+                if hashlib.sha256(raw).hexdigest() != digest:
+                    raise ValueError(f"{name} has changed")
+                yield from pa.ipc.open_stream(raw)
+
+    text = spark.read.text(f"{root}/index.json", wholetext=True)
+    schema = StructType.fromJson(json.loads(text.first().value)["schema"])
+    index = text.select(F.explode(F.from_json("value", "shards array<struct<name:string,sha256:string>>")["shards"]).alias("s"))
+    return index.select("s.*").mapInArrow(run, schema)
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:

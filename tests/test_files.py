@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tesselake.operators import infer, listing
+from tesselake.operators import infer, listing, signal
 from tesselake.plans import jobs
 from tesselake.sources import codecs, files, sinks
 from tesselake.streaming.incremental import process_new
@@ -79,7 +79,7 @@ def test_sinks(spark, tmp_path):
     assert (tmp_path / "copy/x/1.bin").read_bytes() == b"\1"
     data = spark.createDataFrame([(i, f"é{i}") for i in range(200)], "a int, b string")
     sinks.write_shards(data, f"{tmp_path}/mds", max_bytes=500)
-    back = sinks.read_shards(spark, f"{tmp_path}/mds", "a int, b string")
+    back = sinks.read_shards(spark, f"{tmp_path}/mds")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, data.collect()))
     assert len(json.loads((tmp_path / "mds/index.json").read_text())["shards"]) > 4
     sinks.write_json_lines(data, f"{tmp_path}/lines")
@@ -159,3 +159,120 @@ def test_stream(spark, tmp_path):
     (tmp_path / "in/7.txt").write_text("x")
     run()
     assert sorted(seen) == ["0.txt", "2.txt", "7.txt"]
+
+
+def exchanges(df):
+    """The columns of each shuffle of the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line], plan
+
+
+def test_only_pending_files_are_opened_and_contents_are_not_shuffled(spark, lake):
+    glob = f"{lake}/**/t*.wav"
+    (lake / "t1/t1.npy").write_bytes(b"made")
+    # a file that is done may not even be readable
+    (lake / "t1/t1.wav").unlink()
+    (lake / "t1/t1.wav").symlink_to(lake / "t1/t1.npy")
+    todo = jobs.pending(spark, glob, ".wav", [".npy"])
+    opened = jobs.open_files(spark, glob, todo)
+    assert sorted(r.path[-6:] for r in opened.select("path").collect()) == ["t0.wav", "t2.wav", "t3.wav"]
+    _, plan = exchanges(opened)
+    above = plan[: plan.index("MapInArrow")] if "MapInArrow" in plan else plan
+    assert "Exchange" not in above and "content" not in plan[plan.index("MapInArrow") :].partition("\n")[2]
+    gone = files.contents(spark.createDataFrame([(f"{lake}/none.npy",)], "path string"))
+    failed = files.load_features(gone).first()
+    assert failed.status == "failed" and failed.error.startswith("FileNotFoundError")
+
+
+def test_headers_of_beginnings(spark, lake):
+    head = jobs.open_files(spark, f"{lake}/**/t*.wav", first=64)
+    assert {len(r.content) for r in head.collect()} == {64}
+    found = files.audio_headers(head).collect()
+    assert {(r.status, r.n_samples, r.sr) for r in found} == {("ok", 4000, 8000)}
+    raw = (lake / "t0/t0.wav").read_bytes()
+    with pytest.raises(ValueError, match="truncated"):
+        codecs.read_wav_header(raw[:64], len(raw) - 1)
+
+
+def test_the_model_is_made_once_per_task(spark, lake):
+    made, run = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def factory():
+        made.add(1)
+
+        def model(x):
+            run.add(1)
+            return np.stack([x, x, x])
+
+        return model
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        out = jobs.separate(spark, f"{lake}/**/t*.wav", ".wav", factory, stems=("a", "b", "c")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(out) == 6 and (made.value, run.value) == (1, 2)  # two stereo files, three stems each
+
+
+def test_transcode_skips_what_is_done(spark, lake):
+    out = lambda **k: sorted(r.path[-6:] for r in jobs.transcode(spark, str(lake), ".wav", ".npy", 4000, **k).where("status = 'ok'").collect())
+    assert out() == ["t0.npy", "t1.npy", "t2.npy", "t3.npy"]
+    (lake / "t2/t2.npy").unlink()
+    assert out() == ["t2.npy"]
+    assert len(out(overwrite=True)) == 4
+
+
+def test_features_by_extension(spark, tmp_path):
+    made = {"a.npy": codecs.write_npy(np.arange(6.0).reshape(2, 3)), "b.npz": codecs.write_npz({"x": np.ones(4)}), "c.json": b'{"k": 1}', "d.json": b"{", "e.bin": b"?"}
+    for name, raw in made.items():
+        (tmp_path / name).write_bytes(raw)
+    rows = {r.path.rpartition("/")[2]: r for r in files.load_features(jobs.open_files(spark, f"{tmp_path}/*"), "x").collect()}
+    assert rows["a.npy"].shape == [2, 3] and rows["a.npy"].data == [0, 1, 2, 3, 4, 5] and rows["b.npz"].shape == [4]
+    assert rows["c.json"].json == '{"k": 1}' and {k for k, r in rows.items() if r.status == "failed"} == {"d.json", "e.bin"}
+
+
+def test_typed_shards(spark, tmp_path):
+    rows = spark.createDataFrame([(i, [[float(i)] * 3] * 2, bytes([i])) for i in range(50)], "k int, x array<array<float>>, raw binary").repartition(2)
+    sinks.write_shards(rows, f"{tmp_path}/s", max_bytes=400)
+    back = sinks.read_shards(spark, f"{tmp_path}/s")
+    assert back.schema == rows.schema and sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    index = json.loads((tmp_path / "s/index.json").read_text())
+    assert sum(x["rows"] for x in index["shards"]) == 50 and all(x["raw_bytes"] <= 400 for x in index["shards"])
+    one = tmp_path / "s" / index["shards"][0]["name"]
+    one.write_bytes(one.read_bytes()[:-1] + b"x")
+    with pytest.raises(Exception, match="has changed"):
+        sinks.read_shards(spark, f"{tmp_path}/s").count()
+
+
+def test_signals_cross_as_buffers():
+    made = [np.arange(6, dtype=np.float32).reshape(2, 3), None, np.zeros((1, 0), np.float32), np.ones((3, 2), np.float32)]
+    back = signal.signals(signal.as_column(made).slice(0))
+    assert [None if x is None else x.tolist() for x in back] == [None if x is None else x.tolist() for x in made]
+    assert np.array_equal(signal.signals(signal.as_column(made).slice(3))[0], made[3])
+
+
+def test_music_statistics(spark, tmp_path):
+    def put(name, rows):
+        (tmp_path / name).write_bytes(codecs.write_npy(np.array(rows, np.float32)))
+
+    put("a.music.npy", [[0.9, 0.8], [0.1, 0.2]])
+    put("b.music.npy", [[0.1, 0.2], [0.9, 0.8]])
+    put("c.music.npy", [[0.9, 0.9], [0.1, 0.1]])
+    put("a.vocal.npy", [[0.0, 0.0], [0.95, 0.0]])
+    put("a.genre.npy", [[0.9, 0.1], [0.2, 0.85], [0.1, 0.1]])
+    put("b.genre.npy", [[0.9, 0.1], [0.2, 0.85], [0.1, 0.1]])
+    (tmp_path / "e.genre.npy").write_bytes(codecs.write_npy(np.zeros((0, 5), np.float32)))
+    found = jobs.music_stats(spark, str(tmp_path), ["jazz", "rock", "folk"])
+    counts = {k: {tuple(r)[0]: r.n for r in v.collect()} for k, v in found.items()}
+    assert counts == {"music": {True: 2, False: 1}, "vocal": {True: 1, False: 1}, "genres": {"jazz": 1, "rock": 1}}
+    none = files.load_features(jobs.open_files(spark, f"{tmp_path}/e.genre.npy"))
+    assert jobs.feature_stats(none, ["jazz"])["genres"].count() == 0
+
+
+def test_codec_of_a_program():
+    assert codecs.by_program("mp3", "no-such-program") is False and "mp3" not in codecs.DECODERS
+    if not codecs.by_program("ogg"):
+        pytest.skip("ffmpeg isn't installed")
+    y, rate = codecs.DECODERS["ogg"](codecs.ENCODERS["ogg"](sine(rate=16000, seconds=1.0), 16000))
+    assert rate == 16000 and abs(y.shape[1] - 16000) < 2000
