@@ -67,8 +67,10 @@ def hashed_start(key: Column, signal: Column, length: int) -> Column:
     return F.when(F.size(signal) > length, F.pmod(F.xxhash64(key), F.size(signal) - length)).cast("int")
 
 
-def downmix(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda x, y: (x.cast("double") + y.cast("double")) / 2)
+def downmix(*channels: Column) -> Column:
+    """The mean of any number of channels."""
+    n = len(channels)
+    return F.transform(added(*(c.cast("array<double>") for c in channels)), lambda x: x / n)
 
 
 def added(*stems: Column) -> Column:
@@ -110,6 +112,25 @@ def differences(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double")))
 
 
+def difference_totals(a: Column, b: Column) -> Column:
+    """(largest, total, average) of the absolute differences; nulls for empty arrays."""
+    parts = lambda d: F.struct(F.array_max(d).alias("largest"), F.aggregate(d, F.lit(0.0), lambda t, x: t + x).alias("total"))
+    found = let(differences(a, b), parts)
+    average = F.try_divide(found["total"], F.size(a).cast("double"))
+    return F.struct(found["largest"].alias("largest"), F.when(F.size(a) > 0, found["total"]).alias("total"), average.alias("average"))
+
+
+def faded(signal: Column, overlap: int) -> Column:
+    """A signal with a ramp over ``overlap`` samples at either end; where the two meet, the one at the end holds."""
+    step = max(overlap - 1, 1)
+
+    def weight(i: Column) -> Column:
+        to_end = F.size(signal) - 1 - i
+        return F.when(to_end < overlap, to_end.cast("double") / step).when(i < overlap, i.cast("double") / step).otherwise(1.0)
+
+    return F.transform(signal, lambda x, i: x.cast("double") * weight(i))
+
+
 def fade_in(overlap: int) -> list[float]:
     return [i / (overlap - 1) if overlap > 1 else 0.0 for i in range(overlap)]
 

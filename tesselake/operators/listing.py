@@ -8,7 +8,8 @@ from ..functions.paths import glob_regex, literal_root, without_scheme
 
 
 def list_files(spark: SparkSession, glob: str, content: bool = False) -> DataFrame:
-    """Files whose full path matches the glob.  Listing starts at the glob's literal directory; no match is no row."""
+    """Files whose full path matches the glob.  Listing starts at the glob's literal directory; no match is no row.
+    Files without a byte aren't listed, so a target left empty counts as missing."""
     columns = ["length", "modificationTime"] + ["content"] * content
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal_root(glob))
     return match(files.select(without_scheme(F.col("path")).alias("path"), *columns), glob)

@@ -45,6 +45,14 @@ def stratified(rows: DataFrame, stratum: str, key: str, k: int, each: int, seed:
     return rows.join(F.broadcast(strata), stratum).withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).drop("r")
 
 
+def stratified_by_part(rows: DataFrame, label: str, strata: list[str], key: str, each: int, seed: int = 42) -> DataFrame:
+    """Up to ``each`` rows, by hash order, of each of a few strata: the rows whose label holds the stratum's name.  A row
+    may come under several, in the column ``genre``."""
+    found = F.filter(F.array(*map(F.lit, strata)), lambda g: F.contains(F.col(label), g))
+    w = Window.partitionBy("genre").orderBy(hash_order(F.col(key).cast("string"), seed=seed), key)
+    return rows.withColumn("genre", F.explode(found)).withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).drop("r")
+
+
 def sample(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows by hash order."""
     return rows.orderBy(hash_order(F.col(key).cast("string"), seed=seed), key).limit(n)

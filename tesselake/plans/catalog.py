@@ -144,13 +144,6 @@ def vocal_filter(spark, d):
     return assemble.vocal_filter(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id", F.col("quality") == 1).select("doc_id", "source")
 
 
-@query("cogroup_filter", "SELECT d.lang, d.doc_id FROM (SELECT lang, min(doc_id) AS doc_id FROM documents GROUP BY lang) d JOIN (SELECT lang, min(quality = 1) AS flag FROM documents JOIN labels USING (doc_id) GROUP BY lang) f USING (lang) WHERE flag")
-def cogroup_filter(spark, d):
-    docs = table(spark, d, "documents").select("lang", "doc_id")
-    flags = docs.join(table(spark, d, "labels"), "doc_id").select("lang", (F.col("quality") == 1).alias("flag"))
-    return assemble.first_by_stem(docs, flags, "lang", "flag", "doc_id")
-
-
 @query("assemble_features", "SELECT d.doc_id, d.n_chars AS size, coalesce(l.toxic, -1)::INTEGER AS toxic, coalesce(l.quality, -1)::INTEGER AS quality FROM documents d LEFT JOIN labels l USING (doc_id)")
 def assemble_features(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
@@ -174,17 +167,6 @@ def filter_length(spark, d):
     return assemble.long_enough(rows, "x", 1.05, 30).select("vec_id")
 
 
-@query("process_counters", "SELECT count(*) FILTER (WHERE event_type <> 'error') AS success, count(*) FILTER (WHERE event_type = 'error') AS error FROM events")
-def process_counters(spark, d):
-    good = F.col("event_type") != "error"
-    return table(spark, d, "events").agg(F.count_if(good).alias("success"), F.count_if(~good).alias("error"))
-
-
-@query("decode_status", "SELECT CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1")
-def decode_status(spark, d):
-    return stats.counts(table(spark, d, "events"), F.when(F.col("event_type") == "error", "failed").otherwise("ok"), "status")
-
-
 # --- statistics ----------------------------------------------------------------------------------------------------
 
 def decoded(spark, d):
@@ -318,9 +300,6 @@ voted("majority_vote", VOTE.format(x="embedding"), lambda: arrays.majority_vote(
 voted("is_vocal", VOTE.format(x="embedding[33:64]"), lambda: arrays.majority_vote(F.slice(E(), 33, 32), 0.1, 0.25), "is_vocal")
 voted("is_vocal_row0", VOTE.format(x="embedding[1:32]"), lambda: arrays.majority_vote(F.slice(E(), 1, 32), 0.1, 0.25), "is_vocal")
 voted("genre_argmax", "(list_position(embedding, list_max(embedding)) - 1)::INTEGER", lambda: arrays.first_largest(E()), "genre")
-voted("is_music", "list_position(embedding, list_max(embedding)) - 1 = label AND list_max(embedding) >= 0.2::FLOAT", lambda: (arrays.first_largest(E()) == F.col("label")) & (F.array_max(E()) >= F.lit(0.2).cast("float")), "is_music")
-voted("crop_gt", "CASE WHEN 64 / 16.0 > 2.5 THEN len(embedding[1:40]) ELSE 64 END::INTEGER", lambda: F.size(arrays.crop_longer(E(), F.lit(16), 2.5)), "n")
-voted("resample_len", "ceil(64::DOUBLE * 16000 / 44100)::BIGINT", lambda: arrays.resampled_length(F.size(E()), F.lit(44100), 16000), "n")
 
 
 @query("music_counts", "SELECT list_max(embedding) >= 0.3::FLOAT AS is_music, count(*) AS n FROM embeddings GROUP BY 1")
@@ -354,12 +333,10 @@ def R() -> Column:
 
 
 per_sample("downmix", HALVES.format("round((embedding[i + 1]::DOUBLE + embedding[i + 33]::DOUBLE) / 2, 6) + 0.0"), lambda: rounded(arrays.downmix(L(), R())))
-per_sample("to_mono", HALVES.format("round((embedding[i + 1]::DOUBLE + embedding[i + 33]::DOUBLE) / 2, 6) + 0.0"), lambda: rounded(arrays.downmix(L(), R())))
 per_sample("mux_stems", "list_transform(range(16), lambda i: round(embedding[i + 1]::DOUBLE + embedding[i + 17]::DOUBLE + embedding[i + 33]::DOUBLE, 6) + 0.0)", lambda: rounded(arrays.added(*[F.slice(E(), 1 + 16 * k, 16).cast("array<double>") for k in range(3)])))
 per_sample("interleave", "list_transform(range(64), lambda i: embedding[(i // 2) + 1 + 32 * (i % 2)])", lambda: arrays.interleaved(L(), R()))
 per_sample("pcm_quantize", "list_transform(embedding, lambda x: trunc(x::DOUBLE * 32767)::INTEGER)", lambda: F.transform(E(), lambda x: arrays.quantized(x, 16)))
 per_sample("array_diff", HALVES.format("round(abs(embedding[i + 1]::DOUBLE - embedding[i + 33]::DOUBLE), 6) + 0.0"), lambda: rounded(arrays.differences(L(), R())))
-per_sample("crop_or_skip", "embedding[(vec_id % 24)::INTEGER + 1:(vec_id % 24)::INTEGER + 40]", lambda: arrays.crop_at(E(), (F.col("vec_id") % 24).cast("int"), 40))
 per_sample("znorm", "list_transform(embedding, lambda x: round((x::DOUBLE - list_avg(list_transform(embedding, lambda y: y::DOUBLE))) / list_aggregate(list_transform(embedding, lambda y: y::DOUBLE), 'stddev_samp'), 5) + 0.0)", lambda: F.transform(arrays.z_normal(E()), lambda x: F.round(x, 5)))
 
 WINDOW, HOP = 20, 12
@@ -388,22 +365,11 @@ def overlap_add(spark, d):
     return framing.overlap_add(frames, "vec_id", WINDOW, HOP).select("vec_id", "at", F.round("value", 5).alias("value"))
 
 
-@query("fade_curves", "SELECT i::INTEGER AS pos, round(i / 7.0::DOUBLE, 6) AS fade_in, round((7 - i) / 7.0::DOUBLE, 6) AS fade_out FROM (SELECT unnest(range(8)) AS i)")
-def fade_curves(spark, d):
-    curve = arrays.fade_in(8)
-    return spark.createDataFrame([(i, round(x, 6), round(y, 6)) for i, (x, y) in enumerate(zip(curve, curve[::-1]))], "pos int, fade_in double, fade_out double")
-
-
 @query("secs_to_samples", "SELECT event_id, ceil(value * 30)::BIGINT AS n FROM events")
 def secs_to_samples(spark, d):
     return table(spark, d, "events").select("event_id", arrays.samples(F.col("value"), 30).alias("n"))
 
 
-@query("audio_stats", "SELECT vec_id, 32 / 16.0::DOUBLE AS duration, label % 3 = 2 AS is_stereo FROM embeddings")
-def audio_stats(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", (F.size(L()).cast("double") / 16).alias("duration"), (F.col("label") % 3 == 2).alias("is_stereo"))
-
-
 # --- lyrics, on conversations --------------------------------------------------------------------------------------
 
 @query("lyrics_words", "SELECT conv_id, turn, (unnest(range(len(w))))::INTEGER AS at, unnest(w) AS word FROM (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations WHERE role <> 'system')")

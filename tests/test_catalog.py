@@ -2,6 +2,7 @@
 
 import pytest
 
+from tesselake.plans import file_catalog  # noqa: F401, registers its queries
 from tesselake.plans.catalog import ORACLES, QUERIES
 
 from .oracle import connect, differences
