@@ -2,7 +2,7 @@
 
 Each rule's regular expression is turned into a Boolean query over lower-case byte trigrams (an OR of ANDs):
 every text that the rule can match contains all trigrams of one of the alternatives.  A partition is indexed
-in blocks; of a block's trigrams only those that occur in some rule's query get posting lists.  Postings are
+in blocks: one pass over a block's trigrams gives posting lists of those that occur in some rule's query.  Postings are
 intersected and united as the query says, and only the candidates are run through the regular expression.
 A rule without a mandatory trigram (a plain run of hex digits) scans every text.
 
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -160,19 +161,41 @@ def fast(rule: Rule) -> str:
     return rule.pattern
 
 
-def index(block: list[bytes], trigrams: list[bytes]) -> dict[bytes, set[int]]:
-    """Posting lists of a block of lower-case texts."""
-    return {t: {i for i, text in enumerate(block) if t in text} for t in trigrams}
-
-
-def candidates(q: Query, postings: dict[bytes, set[int]], n: int):
+@lru_cache
+def numbers(trigrams: tuple[bytes, ...]) -> np.ndarray:
+    """By trigram, read as a number, its place among the given ones from 1 on; 0 for any other."""
+    out = np.zeros(1 << 24, np.uint16)
+    out[[int.from_bytes(t, "big") for t in trigrams]] = np.arange(1, len(trigrams) + 1)
+    return out
+
+
+def index(block: list[bytes], trigrams: list[bytes], part: int = 1 << 20) -> dict[bytes, np.ndarray]:
+    """Posting lists of a block of lower-case texts: sorted numbers of the texts that hold a trigram."""
+    known, flat = numbers(tuple(trigrams)), np.frombuffer(b"\0\0".join(block) + b"\0\0", np.uint8)
+    starts = np.cumsum([0, *(len(x) + 2 for x in block)])[:-1]  # two NULs apart: no trigram of a query holds one
+    found = [np.zeros(0, np.int64)]
+    for i in range(0, len(flat) - 2, part):
+        a = flat[i : i + part + 2].astype(np.uint32)
+        which = known[a[:-2] << 16 | a[1:-1] << 8 | a[2:]]
+        at = np.flatnonzero(which)
+        found.append(np.unique(which[at].astype(np.int64) * len(block) + np.searchsorted(starts, at + i, "right") - 1))
+    pairs = np.unique(np.concatenate(found))
+    ends = np.searchsorted(pairs, np.arange(1, len(trigrams) + 2) * len(block))
+    return {t: pairs[ends[k] : ends[k + 1]] % max(1, len(block)) for k, t in enumerate(trigrams)}
+
+
+def candidates(q: Query, postings: dict[bytes, np.ndarray], n: int) -> list[int]:
     if q is None:
-        return range(n)
-    found: set[int] = set()
+        return list(range(n))
+    found = [np.zeros(0, np.int64)]
     for words in q:
-        first, *rest = sorted((postings[t] for t in words), key=len)
-        found |= first.intersection(*rest)
-    return sorted(found)
+        own, *rest = sorted((postings[t] for t in words), key=len)
+        for other in rest:
+            if not len(own):
+                break
+            own = own[np.isin(own, other, assume_unique=True)]
+        found.append(own)
+    return np.unique(np.concatenate(found)).tolist()
 
 
 def scan(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[int, int, str]]]:
