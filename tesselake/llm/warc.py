@@ -8,9 +8,12 @@ bundle, frame and offset within the decompressed frame; a reader fetches the foo
 Payloads of at least ``least`` bytes that occur more than once are stored once: the record with the smallest id is
 the response, the others are revisits that name it and carry digest and length of the full payload.
 
+A response holds an HTTP message with the payload; a record's WARC-Record-ID is made of its page id, its payload's digest
+and, where a page comes again with the same payload, a number.
+
 Bundles are written to the shared folder under deterministic names, through a temporary name that is renamed,
-so a task that runs again replaces its own bundle.  Null payloads count as empty.  Repeated ids keep a record
-each, and those with the smallest id of a payload are responses.  Records without id are written too, as
+so a task that runs again replaces its own bundles; a task begins a new one after ``bundle_bytes`` of records.  Null payloads
+count as empty.  Repeated ids keep a record each, and those with the smallest id of a payload are responses.  Records without id are written too, as
 responses.  An empty table gives no bundle and no rows.
 """
 
@@ -25,7 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import new_path, partitions, written
+from .common import new_path, partitions, sweep, written
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -51,29 +54,35 @@ def read_seek_table(file, size: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record_id(page_id: int | None, digest: str, again: int = 0) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest[:32]}{f':{again}' if again else ''}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, again: int = 0) -> bytes:
     """One WARC/1.1 record; a revisit has no block."""
     kind = "response" if refers_to is None else "revisit"
     clean = "".join(c for c in (url or "") if c >= " ")
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {clean}",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id, digest, again)}", f"WARC-Target-URI: {clean}",
         "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}",
     ]
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
-        payload = b""
-    return ("\r\n".join([*head, "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]) + "\r\n\r\n").encode("utf-8", "surrogatepass") + payload + b"\r\n\r\n"
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to, digest)}"]
+        block = b""
+    return ("\r\n".join([*head, "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]) + "\r\n\r\n").encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields and block of one record."""
+    """Header fields and payload of one record."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "surrogatepass").split("\r\n")[1:] if ": " in line)
-    return fields, rest[: int(fields["Content-Length"])]
+    return fields, rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
 
 
 def number(urn: str | None) -> int | None:
-    return int(urn[10:-1]) if urn and len(urn) > 11 else None
+    page = urn.strip("<>").split(":")[2] if urn else ""
+    return int(page) if page else None
 
 
 class Bundle:
@@ -121,8 +130,8 @@ def classified(pages: DataFrame, id_col: str = "page_id", payload: str = "html",
     return data.join(revisits, ["id", "digest"], "left")
 
 
-def write_bundles(data: DataFrame, folder: str, bundles: int, frame_bytes: int = 1 << 18) -> DataFrame:
-    """Write (id, url, payload, digest, first) as bundles; the index of all records."""
+def write_bundles(data: DataFrame, folder: str, bundles: int, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 28) -> DataFrame:
+    """Write (id, url, payload, digest, first) as bundles, by ``bundles`` tasks; the index of all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -130,23 +139,35 @@ def write_bundles(data: DataFrame, folder: str, bundles: int, frame_bytes: int =
         context = TaskContext.get()
         system, path = fs.FileSystem.from_uri(folder)
         system.create_dir(path, recursive=True)
-        name = f"bundle-{context.partitionId():06d}.warc.zst"
-        rows, out = [], None
+        kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+        out, count, before, again = None, 0, None, 0
+
+        def close() -> None:
+            bundle.close()
+            out.close()
+            system.move(part, f"{path}/{name}")
+
         for b in batches:
-            for r in b.to_pylist():
+            rows = []
+            for i, url, payload, digest, first in zip(*(b.column(c).to_pylist() for c in ("id", "url", "payload", "digest", "first"))):
                 if out is None:
+                    name = f"bundle-{context.partitionId():06d}-{count:04d}.warc.zst"
                     part = f"{path}/.{name}.{context.taskAttemptId()}"
-                    out = system.open_output_stream(part)
+                    out, size, count = system.open_output_stream(part, compression=None), 0, count + 1
                     bundle = Bundle(out, frame_bytes)
-                rows.append((r["id"], f"{folder}/{name}", *bundle.add(record(r["id"], r["url"], r["payload"].encode("utf-8", "surrogatepass"), r["digest"], r["first"]))))
+                before, again = (i, digest), again + 1 if before == (i, digest) else 0
+                raw = record(i, url, payload.encode("utf-8", "surrogatepass"), digest, first, again)
+                rows.append((i, f"{folder}/{name}", *bundle.add(raw)))
+                size += len(raw)
+                if size >= bundle_bytes:
+                    close()
+                    out = None
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)], names=["id", "bundle", "frame", "at", "length"])
         if out is not None:
-            bundle.close()
-            out.close()
-            system.move(part, f"{path}/{name}")
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["id", "bundle", "frame", "at", "length"])
+            close()
 
-    return data.repartition(bundles, "id", "digest").mapInArrow(run, INDEX)
+    # equal pages stand together, so that each can tell how many came before
+    return data.repartition(bundles, "id", "digest").sortWithinPartitions("id", "digest").mapInArrow(run, INDEX)
 
 
 def read_records(index: DataFrame) -> DataFrame:
@@ -184,6 +205,7 @@ def read_records(index: DataFrame) -> DataFrame:
 
 def archive(pages: DataFrame, folder: str | None = None, bundles: int | None = None, **columns) -> tuple[DataFrame, str]:
     """Write all pages; the written index and the folder of the bundles."""
+    sweep(pages)
     folder = folder or new_path(pages.sparkSession, "warc")
     index = write_bundles(classified(pages, **columns), folder, bundles or partitions(pages))
     return written(index, "warc-index"), folder

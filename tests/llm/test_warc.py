@@ -35,6 +35,24 @@ def test_payloads_come_back_by_random_access(spark):
     assert files and all(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(f.read_bytes()), read_across_frames=True).read().startswith(b"WARC/1.1\r\n") for f in files)
 
 
+def test_record_ids_are_unique_and_referred_to(spark):
+    index, folder = warc.archive(spark.createDataFrame(ROWS * 3, "page_id long, url string, html string"), bundles=2)
+    raw = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(f.read_bytes()), read_across_frames=True).read() for f in Path(urlparse(folder).path).glob("*.zst"))
+    fields = [dict(line.split(": ", 1) for line in part.split("\r\n")[1:] if ": " in line) for part in raw.decode().split("WARC/1.1\r\nWARC-Type")[1:]]
+    ids = [f["WARC-Record-ID"] for f in fields]
+    assert len(ids) == len(set(ids)) == index.count() == 3 * len(ROWS)
+    assert {f["WARC-Refers-To"] for f in fields if "WARC-Refers-To" in f} <= set(ids)
+
+
+def test_long_payloads_and_several_bundles_of_a_task(spark):
+    pages = [(i, "u", f"{i} " + "y" * (3_000_000 if i == 5 else 2000)) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    folder = warc.new_path(spark, "warc")
+    index = warc.written(warc.write_bundles(warc.classified(df), folder, 2, bundle_bytes=20_000), "index")
+    assert index.select("bundle").distinct().count() > 4
+    assert {r.id: bytes(r.payload) for r in warc.read_records(index).collect()} == {i: html.encode() for i, _, html in pages}
+
+
 def test_seek_table():
     out = io.BytesIO()
     bundle = warc.Bundle(out, 100)
