@@ -35,16 +35,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: How many threads are within ``short_lived_exchanges``, and the setting that the first of them found.
+INSIDE: dict[str, tuple[int, str | None]] = {}
+GUARD = threading.Lock()
+
+
 @contextmanager
 def short_lived_exchanges(spark: SparkSession) -> Iterator[None]:
     """Queries that run within leave no shuffle files behind (a setting of the session: another thread's query may lose
     its exchanges, too, at its end, and writes them again if it is run again)."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    who = spark._jsparkSession.sessionUUID()
+    with GUARD:
+        n, before = INSIDE.get(who, (0, None))
+        INSIDE[who] = n + 1, before if n else spark.conf.get(CLEANUP, None)
+        spark.conf.set(CLEANUP, "true")
     try:
         yield
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        with GUARD:
+            n, before = INSIDE.pop(who)
+            if n > 1:
+                INSIDE[who] = n - 1, before
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
 
 
 class Held:
