@@ -163,3 +163,5 @@ def convert(audio: np.ndarray, rate: int, target_rate: int, channels: int) -> np
 
 
 register("wav", read_wav, write_wav)
+for _kind in ("mp3", "ogg", "webm", "flac"):
+    by_program(_kind)
