@@ -11,7 +11,10 @@ def make_frames(rows: DataFrame, key: str, signal: str, window: int, hop: int) -
     """A row per frame: key, index, total, start, frame."""
     starts = frame_starts(F.size(signal), window, hop)
     rows = rows.select(key, F.col(signal).alias("signal"), starts.alias("starts"))
-    return rows.select(key, F.size("starts").alias("total"), "signal", F.posexplode("starts").alias("index", "start")).select(key, "index", "total", "start", F.slice("signal", F.col("start") + 1, F.when(F.size("signal") < window, F.size("signal")).otherwise(window)).alias("frame"))
+    return rows.select(key, F.size("starts").alias("total"), "signal", F.posexplode("starts").alias("index", "start")).select(
+        key, "index", "total", "start",
+        F.slice("signal", F.col("start") + 1, F.when(F.size("signal") < window, F.size("signal")).otherwise(window)).alias("frame"),
+    )
 
 
 def overlap_add(frames: DataFrame, key: str, window: int, hop: int, length: str | None = None) -> DataFrame:

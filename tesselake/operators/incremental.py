@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.paths import increment_index, move, remove_suffix
 
 
-def skip_completed(files: DataFrame, targets: DataFrame, old_suffix: str, new_suffixes: list[str] | str, source_dir: str | None = None, target_dir: str | None = None, check_timestamp: bool = False, overwrite: bool = False, shift: int = 0) -> DataFrame:
+def skip_completed(
+    files: DataFrame, targets: DataFrame, old_suffix: str, new_suffixes: list[str] | str, source_dir: str | None = None,
+    target_dir: str | None = None, check_timestamp: bool = False, overwrite: bool = False, shift: int = 0,
+) -> DataFrame:
     """The files of which some expected target is missing or, with check_timestamp, older than the file.
 
     Both sides are (path, modificationTime, ...).  One equi-join of all expected targets with the listing; the file's
@@ -20,7 +23,10 @@ def skip_completed(files: DataFrame, targets: DataFrame, old_suffix: str, new_su
     base = remove_suffix(F.col("path"), old_suffix)
     base = move(base, source_dir, target_dir) if source_dir is not None else base
     base = increment_index(base, shift) if shift else base
-    wanted = files.select("path", F.col("modificationTime").alias("changed"), F.explode(F.array(*[F.concat(base, F.lit(s)) for s in suffixes])).alias("target"))
+    wanted = files.select(
+        "path", F.col("modificationTime").alias("changed"),
+        F.explode(F.array(*[F.concat(base, F.lit(s)) for s in suffixes])).alias("target"),
+    )
     made = targets.groupBy(F.col("path").alias("target")).agg(F.min("modificationTime").alias("made"))
     missing = F.col("made").isNull()
     stale = F.col("made") < F.col("changed")

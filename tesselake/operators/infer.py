@@ -76,6 +76,14 @@ def infer(audio: DataFrame, factory: Callable[[], Model], contract: Contract) ->
                 except Exception as found:
                     error = str(found)
                 shape, data = (None, None) if error else (list(y.shape), np.asarray(y, np.float32).ravel())
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array(["failed" if error else "ok"]), pa.array([error], pa.string()), pa.array([shape], schema.field("shape").type), pa.array([data], schema.field("data").type)], schema=schema)
-
-    return audio.where("status = 'ok'").select("path", "sr", "samples").mapInArrow(run, "path string, status string, error string, shape array<int>, data array<float>")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([path]), pa.array(["failed" if error else "ok"]), pa.array([error], pa.string()),
+                        pa.array([shape], schema.field("shape").type), pa.array([data], schema.field("data").type),
+                    ],
+                    schema=schema,
+                )
+
+    return audio.where("status = 'ok'").select("path", "sr", "samples").mapInArrow(
+        run, "path string, status string, error string, shape array<int>, data array<float>",
+    )

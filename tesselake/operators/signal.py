@@ -83,7 +83,10 @@ def overlap_add(parts: list[np.ndarray], hop: int, total: int) -> np.ndarray:
     return out[..., :total]
 
 
-def windowed(model: Callable[[np.ndarray], np.ndarray], audio: np.ndarray, rate: int, window_s: float, hop_s: float, frame_rate: int) -> np.ndarray | None:
+def windowed(
+    model: Callable[[np.ndarray], np.ndarray], audio: np.ndarray, rate: int, window_s: float, hop_s: float,
+    frame_rate: int,
+) -> np.ndarray | None:
     """A model's features over windows, joined by overlap-add; None if any feature is not a number."""
     parts = [model(x) for x in frames(audio, ceil(window_s * rate), ceil(hop_s * rate))]
     out = overlap_add(parts, ceil(hop_s * frame_rate), int(audio.shape[-1] / rate * frame_rate)).astype(np.float32)
@@ -154,7 +157,10 @@ def map_audio(audio: DataFrame, change: Callable[[str, np.ndarray, int], tuple[n
     return audio.where(ok).select(*AUDIO_COLUMNS).mapInArrow(run, AUDIO)
 
 
-def spread_audio(audio: DataFrame, factory: Callable[[], Callable[[str, np.ndarray, int], dict[str, tuple[np.ndarray, int]] | None]], ok: str = "status = 'ok'") -> DataFrame:
+def spread_audio(
+    audio: DataFrame, factory: Callable[[], Callable[[str, np.ndarray, int], dict[str, tuple[np.ndarray, int]] | None]],
+    ok: str = "status = 'ok'",
+) -> DataFrame:
     """Several signals of each decoded file, by ``kind``, made together.  ``factory`` is called once per task; its function
     gives None to drop a file, an error marks it as failed (with no kind)."""
 

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def totals(rows: DataFrame, duration: str = "duration") -> DataFrame:
     """Count and total duration in seconds, minutes and hours; 0 for an empty table."""
     total = F.coalesce(F.sum(duration), F.lit(0.0))
-    return rows.agg(F.count("*").alias("total_count"), F.round(total, 6).alias("seconds"), F.round(total / 60, 6).alias("minutes"), F.round(total / 3600, 6).alias("hours"))
+    return rows.agg(
+        F.count("*").alias("total_count"), F.round(total, 6).alias("seconds"), F.round(total / 60, 6).alias("minutes"),
+        F.round(total / 3600, 6).alias("hours"),
+    )
 
 
 def counts(rows: DataFrame, key: Column | str, name: str) -> DataFrame:

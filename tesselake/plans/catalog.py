@@ -36,7 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def listed(spark: SparkSession, d: str) -> DataFrame:
     clean = F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), "/+$", "")
     root = F.regexp_replace(clean, "^https?://", "/lake/")
-    return table(spark, d, "pages").select("page_id", F.concat(root, F.lit("."), (F.col("page_id") % 10).cast("string"), F.lit(".source.wav")).alias("path"))
+    return table(spark, d, "pages").select(
+        "page_id",
+        F.concat(root, F.lit("."), (F.col("page_id") % 10).cast("string"), F.lit(".source.wav")).alias("path"),
+    )
 
 
 FILES = "(SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), '^https?://', '/lake/') || '.' || (page_id % 10)::VARCHAR || '.source.wav' AS path FROM pages) f"
@@ -98,7 +101,10 @@ def list_tracks(spark, d):
 @query("stem_paths", f"SELECT page_id, left(path, length(path) - 11) || '.' || s || '.wav' AS out_path FROM {FILES}, (VALUES ('vocals'), ('drums'), ('bass'), ('other')) v(s)")
 def stem_paths(spark, d):
     stems = F.array(*map(F.lit, ("vocals", "drums", "bass", "other")))
-    return listed(spark, d).withColumn("stem", F.explode(stems)).select("page_id", F.concat(paths.remove_suffix(P(), ".source.wav"), F.lit("."), "stem", F.lit(".wav")).alias("out_path"))
+    return listed(spark, d).withColumn("stem", F.explode(stems)).select(
+        "page_id",
+        F.concat(paths.remove_suffix(P(), ".source.wav"), F.lit("."), "stem", F.lit(".wav")).alias("out_path"),
+    )
 
 
 @query("feature_paths", f"SELECT page_id, left(path, length(path) - 4) || s AS out_path FROM {FILES}, (VALUES ('.tempo.npy'), ('.embedding-v1.npy'), ('.whisper.json')) v(s)")
@@ -127,15 +133,24 @@ def skip_completed(spark, d):
 
 @query("skip_completed_ts", "SELECT o_orderkey FROM orders o LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS made FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey WHERE made IS NULL OR made < o_orderdate")
 def skip_completed_ts(spark, d):
-    files = table(spark, d, "orders").select("o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit(".src")).alias("path"), F.col("o_orderdate").alias("modificationTime"))
-    made = table(spark, d, "lineitem").select(F.concat(F.col("l_orderkey").cast("string"), F.lit(".dst")).alias("path"), F.col("l_shipdate").alias("modificationTime"))
+    files = table(spark, d, "orders").select(
+        "o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit(".src")).alias("path"),
+        F.col("o_orderdate").alias("modificationTime"),
+    )
+    made = table(spark, d, "lineitem").select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit(".dst")).alias("path"),
+        F.col("l_shipdate").alias("modificationTime"),
+    )
     return incremental.skip_completed(files, made, ".src", ".dst", check_timestamp=True).select("o_orderkey")
 
 
 @query("skip_completed_shifted", f"SELECT page_id FROM {FILES} WHERE page_id % 10 NOT IN (4, 5, 6)")
 def skip_completed_shifted(spark, d):
     files = listed(spark, d).withColumn("modificationTime", F.expr(T0))
-    made = files.where((F.col("page_id") % 10).isin(4, 5, 6)).select(F.regexp_replace(paths.increment_index(P(), 4), r"\.source\.wav$", ".vocals.wav").alias("path"), "modificationTime")
+    made = files.where((F.col("page_id") % 10).isin(4, 5, 6)).select(
+        F.regexp_replace(paths.increment_index(P(), 4), r"\.source\.wav$", ".vocals.wav").alias("path"),
+        "modificationTime",
+    )
     return incremental.skip_completed(files, made, "source.wav", "vocals.wav", shift=4).select("page_id")
 
 
@@ -148,7 +163,10 @@ def vocal_filter(spark, d):
 def assemble_features(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     one = lambda name: (labels.select("doc_id", F.col(name).alias("value")), F.lit(-1))
-    return assemble.assemble(docs.select("doc_id"), "doc_id", {"size": docs.select("doc_id", F.col("n_chars").alias("value"))}, {"toxic": one("toxic"), "quality": one("quality")})
+    return assemble.assemble(
+        docs.select("doc_id"), "doc_id", {"size": docs.select("doc_id", F.col("n_chars").alias("value"))},
+        {"toxic": one("toxic"), "quality": one("quality")},
+    )
 
 
 @query("track_metadata", "SELECT d.doc_id, d.lang || '---' || d.source AS genre, d.lang AS super_genre, l.quality = 1 AS is_music, coalesce(e.value, -1.0) AS duration FROM documents d JOIN labels l USING (doc_id) LEFT JOIN events e ON e.event_id = d.doc_id AND e.event_type <> 'error'")
@@ -176,7 +194,9 @@ def decoded(spark, d):
 @query("dataset_stats", "SELECT event_type AS kind, count(*) AS n, round(sum(value), 4) AS seconds, round(sum(value) / 3600, 6) AS hours FROM events GROUP BY 1")
 def dataset_stats(spark, d):
     total = F.sum("duration")
-    return decoded(spark, d).groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n"), F.round(total, 4).alias("seconds"), F.round(total / 3600, 6).alias("hours"))
+    return decoded(spark, d).groupBy(F.col("event_type").alias("kind")).agg(
+        F.count("*").alias("n"), F.round(total, 4).alias("seconds"), F.round(total / 3600, 6).alias("hours"),
+    )
 
 
 @query("total_duration", "SELECT round(coalesce(sum(value), 0), 4) AS seconds, round(coalesce(sum(value), 0) / 3600, 6) AS hours FROM events WHERE event_type <> 'error'")
@@ -347,7 +367,10 @@ FRAMES = "(SELECT vec_id, i AS index, i * 12 AS start, embedding[i * 12 + 1:leas
 @query("make_frames", f"SELECT vec_id, index::INTEGER AS index, start::INTEGER AS start, len(frame)::INTEGER AS n, round(list_sum(list_transform(frame, lambda x: x::DOUBLE)), 6) + 0.0 AS total FROM {FRAMES}")
 def make_frames(spark, d):
     frames = framing.make_frames(table(spark, d, "embeddings"), "vec_id", "embedding", WINDOW, HOP)
-    return frames.select("vec_id", "index", "start", F.size("frame").alias("n"), F.round(F.aggregate("frame", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"))
+    return frames.select(
+        "vec_id", "index", "start", F.size("frame").alias("n"),
+        F.round(F.aggregate("frame", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"),
+    )
 
 
 WEIGHT = "CASE WHEN i < {t} - 1 AND p >= n - 8 THEN (7 - (p - (n - 8))) / 7.0::DOUBLE WHEN i > 0 AND p < 8 THEN p / 7.0::DOUBLE ELSE 1.0::DOUBLE END"
@@ -383,4 +406,8 @@ def lyrics_words(spark, d):
 @query("byte_tokens", "SELECT conv_id, turn, len(b)::INTEGER AS n, list_sum(b)::BIGINT AS total, b[1]::INTEGER AS first FROM (SELECT conv_id, turn, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: (('0x' || x)::INTEGER + 3)) AS b FROM conversations WHERE text <> '')")
 def byte_tokens(spark, d):
     rows = table(spark, d, "conversations").where("text <> ''").withColumn("b", lyrics.byte_tokens(F.col("text")))
-    return rows.select("conv_id", "turn", F.size("b").alias("n"), F.aggregate("b", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"), F.element_at("b", 1).alias("first"))
+    return rows.select(
+        "conv_id", "turn", F.size("b").alias("n"),
+        F.aggregate("b", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"),
+        F.element_at("b", 1).alias("first"),
+    )

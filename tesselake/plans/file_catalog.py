@@ -75,7 +75,9 @@ def wave_files(spark: SparkSession, d: str) -> str:
 @query("wav_round_trip", f"SELECT vec_id, (unnest(range({LENGTH})))::INTEGER AS pos, trunc(unnest(embedding[1:{LENGTH}])::DOUBLE * 32767)::INTEGER AS x FROM embeddings")
 def wav_round_trip(spark, d):
     found = files.decode_audio(jobs.open_files(spark, f"{wave_files(spark, d)}/*.wav")).where("status = 'ok'")
-    return found.select(vec_id(), F.posexplode(F.col("samples")[0]).alias("pos", "x")).select("vec_id", "pos", F.round(F.col("x").cast("double") * 32767).cast("int").alias("x"))
+    return found.select(vec_id(), F.posexplode(F.col("samples")[0]).alias("pos", "x")).select(
+        "vec_id", "pos", F.round(F.col("x").cast("double") * 32767).cast("int").alias("x"),
+    )
 
 
 @query("wav_headers", f"SELECT {RATE}::INTEGER AS sr, count(*) AS n, round(sum({LENGTH} / {RATE}::DOUBLE), 6) AS seconds FROM embeddings GROUP BY 1")
@@ -100,7 +102,9 @@ def decode_status(spark, d):
 @query("transcode_pending", f"SELECT vec_id, ceil({LENGTH}::DOUBLE * 16000 / {RATE})::BIGINT AS n FROM embeddings WHERE vec_id % 2 = 1")
 def transcode_pending(spark, d):
     root = wave_files(spark, d)
-    done = table(spark, d, "embeddings").where("vec_id % 2 = 0").select(F.format_string(root + "/v%d.npy", "vec_id").alias("out_path"), F.lit(b"x").alias("content"))
+    done = table(spark, d, "embeddings").where("vec_id % 2 = 0").select(
+        F.format_string(root + "/v%d.npy", "vec_id").alias("out_path"), F.lit(b"x").alias("content"),
+    )
     sinks.write_files(done).write.format("noop").mode("overwrite").save()
     jobs.transcode(spark, root, ".wav", ".npy", 16000).write.format("noop").mode("overwrite").save()
     made = files.load_arrays(jobs.open_files(spark, f"{root}/*.npy")).where("status = 'ok'")  # not the stand-ins
@@ -122,7 +126,9 @@ def npz_arrays(spark, d):
             made = [codecs.write_npz({"embeds": np.asarray(x, np.float32), "other": np.zeros(1)}) for x in b.column("embedding").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(made, pa.binary())], names=["path", "content"])
 
-    rows = table(spark, d, "embeddings").select(F.format_string("v%d.npz", "vec_id").alias("path"), "embedding").mapInArrow(run, "path string, content binary")
+    rows = table(spark, d, "embeddings").select(
+        F.format_string("v%d.npz", "vec_id").alias("path"), "embedding",
+    ).mapInArrow(run, "path string, content binary")
     total = F.aggregate("data", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return files.load_arrays(rows, "embeds").select(vec_id(), (F.round(total, 5) + 0.0).alias("total"))
 
@@ -130,7 +136,10 @@ def npz_arrays(spark, d):
 @query("json_files", "SELECT doc_id, quality::INTEGER AS quality, toxic::INTEGER AS toxic FROM labels")
 def json_files(spark, d):
     root = scratch(spark)
-    rows = table(spark, d, "labels").select(F.format_string(root + "/%d.meta.json", "doc_id").alias("out_path"), F.to_json(F.struct("doc_id", "quality", "toxic")).cast("binary").alias("content"))
+    rows = table(spark, d, "labels").select(
+        F.format_string(root + "/%d.meta.json", "doc_id").alias("out_path"),
+        F.to_json(F.struct("doc_id", "quality", "toxic")).cast("binary").alias("content"),
+    )
     sinks.write_files(rows).write.format("noop").mode("overwrite").save()
     return files.load_json(jobs.open_files(spark, f"{root}/*.json"), "doc_id bigint, quality int, toxic int").select("value.*")
 
@@ -149,10 +158,14 @@ def features_by_extension(spark, d):
 @query("manifest_files", "SELECT doc_id FROM labels WHERE doc_id % 4 = 0")
 def manifest_files(spark, d):
     root = scratch(spark)
-    rows = table(spark, d, "labels").where("doc_id % 2 = 0").select(F.format_string(root + "/files/%d.txt", "doc_id").alias("out_path"), F.lit(b"x").alias("content"))
+    rows = table(spark, d, "labels").where("doc_id % 2 = 0").select(
+        F.format_string(root + "/files/%d.txt", "doc_id").alias("out_path"), F.lit(b"x").alias("content"),
+    )
     sinks.write_files(rows).write.format("noop").mode("overwrite").save()
     # a manifest of groups, with names of files that aren't there; one file that is as large as its list
-    listed = table(spark, d, "labels").where("doc_id % 4 = 0 or doc_id % 2 = 1").select((F.col("doc_id") % 7).cast("string").alias("g"), F.format_string("%d.txt", "doc_id").alias("name"))
+    listed = table(spark, d, "labels").where("doc_id % 4 = 0 or doc_id % 2 = 1").select(
+        (F.col("doc_id") % 7).cast("string").alias("g"), F.format_string("%d.txt", "doc_id").alias("name"),
+    )
     whole = listed.groupBy("g").agg(F.collect_list("name").alias("names")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("g", "names")))).alias("m"))
     sinks.write_files(whole.select(F.lit(f"{root}/m.json").alias("out_path"), F.col("m").cast("binary").alias("content"))).write.format("noop").mode("overwrite").save()
     found = files.manifest_files(spark, f"{root}/m.json", f"{root}/files")
@@ -169,7 +182,10 @@ def typed_shards(spark, d):
 @query("copied_files", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'failed' ELSE 'ok' END AS status FROM labels")
 def copied_files(spark, d):
     root, labels = scratch(spark), table(spark, d, "labels")
-    rows = labels.where("doc_id % 3 <> 0").select(F.format_string(root + "/a/%d.txt", "doc_id").alias("out_path"), F.col("doc_id").cast("string").cast("binary").alias("content"))
+    rows = labels.where("doc_id % 3 <> 0").select(
+        F.format_string(root + "/a/%d.txt", "doc_id").alias("out_path"),
+        F.col("doc_id").cast("string").cast("binary").alias("content"),
+    )
     sinks.write_files(rows).write.format("noop").mode("overwrite").save()
     pairs = labels.select(F.format_string(root + "/a/%d.txt", "doc_id").alias("src"), F.format_string(root + "/b/%d.txt", "doc_id").alias("dst"))
     done = sinks.copy_files(pairs)
@@ -185,7 +201,9 @@ def samples_of(name: str, sql: str, change, channel: int = 0):
     @query(name, f"SELECT vec_id, (unnest(range(len(a))))::INTEGER AS pos, unnest(a) AS x FROM (SELECT vec_id, {sql} AS a FROM embeddings)")
     def run(spark, d):
         found = signal.map_audio(audio(spark, d, whole=True), change)
-        return found.select(vec_id(), F.posexplode(F.col("samples")[channel]).alias("pos", "x")).select("vec_id", "pos", (F.round(F.col("x").cast("double"), 5) + 0.0).alias("x"))
+        return found.select(vec_id(), F.posexplode(F.col("samples")[channel]).alias("pos", "x")).select(
+            "vec_id", "pos", (F.round(F.col("x").cast("double"), 5) + 0.0).alias("x"),
+        )
 
 
 samples_of("to_mono", HALF.format("(embedding[i + 1]::FLOAT + embedding[i + 33]::FLOAT)::DOUBLE / 2"), lambda _, x, sr: (codecs.convert(x, sr, sr, 1), sr))
@@ -211,14 +229,19 @@ def crop_or_skip(spark, d):
 @query("audio_stats", f"SELECT vec_id, round({LENGTH} / {RATE}::DOUBLE, 9) AS duration, 'mono' AS kind FROM embeddings UNION ALL SELECT vec_id, 2.0, 'stereo' FROM embeddings")
 def audio_stats(spark, d):
     both = audio(spark, d).unionByName(audio(spark, d, whole=True))
-    return both.select(vec_id(), F.round(F.col("n_samples") / F.col("sr"), 9).alias("duration"), stats.channel_kind(F.col("n_channels")).alias("kind"))
+    return both.select(
+        vec_id(), F.round(F.col("n_samples") / F.col("sr"), 9).alias("duration"),
+        stats.channel_kind(F.col("n_channels")).alias("kind"),
+    )
 
 
 @query("model_features", "SELECT vec_id, (c * 4 + f)::INTEGER AS pos, round(cos(c) * list_avg(list_transform(range(f * 8, f * 8 + 8), lambda i: abs(embedding[i + 1] + embedding[i + 33])::DOUBLE / 2)), 4) + 0.0 AS x FROM embeddings, (SELECT unnest(range(3)) AS c), (SELECT unnest(range(4)) AS f)")
 def model_features(spark, d):
     contract = infer.Contract("energies", ".energies.npy", 16, 2, mono=True)
     found = infer.infer(audio(spark, d, whole=True), lambda: infer.dummy(3, 2), contract).where("status = 'ok'")
-    return found.select(vec_id(), F.posexplode("data").alias("pos", "x")).select("vec_id", "pos", (F.round(F.col("x").cast("double"), 4) + 0.0).alias("x"))
+    return found.select(vec_id(), F.posexplode("data").alias("pos", "x")).select(
+        "vec_id", "pos", (F.round(F.col("x").cast("double"), 4) + 0.0).alias("x"),
+    )
 
 
 @query("contract_failures", f"SELECT CASE WHEN {RATE} = 44100 THEN 'ok' ELSE 'failed' END AS status, count(*) AS n FROM embeddings GROUP BY 1")
@@ -270,7 +293,9 @@ DIFF = "list_transform(range(32), lambda i: abs(embedding[i + 1]::DOUBLE - embed
 @query("difference_totals", f"SELECT vec_id, round(list_max(a), 6) AS largest, round(list_sum(a), 6) AS total, round(list_avg(a), 6) AS average FROM (SELECT vec_id, {DIFF} AS a FROM embeddings)")
 def difference_totals(spark, d):
     found = arrays.difference_totals(F.slice(E(), 1, 32), F.slice(E(), 33, 32))
-    return table(spark, d, "embeddings").select("vec_id", found.alias("t")).select("vec_id", *[F.round(F.col(f"t.{c}"), 6).alias(c) for c in ("largest", "total", "average")])
+    return table(spark, d, "embeddings").select("vec_id", found.alias("t")).select(
+        "vec_id", *[F.round(F.col(f"t.{c}"), 6).alias(c) for c in ("largest", "total", "average")],
+    )
 
 
 @query("stratified_by_part", "SELECT genre, doc_id FROM (SELECT g AS genre, doc_id, row_number() OVER (PARTITION BY g ORDER BY md5(doc_id::VARCHAR || ':42'), doc_id) AS r FROM documents, (SELECT source AS g FROM documents GROUP BY 1 ORDER BY count(*) DESC, source LIMIT 10) WHERE contains(lang || '---' || source, g)) WHERE r <= 10")
@@ -298,7 +323,9 @@ def stream_new(spark, d):
     from ..streaming.incremental import process_new
 
     source, target = wave_of_labels(spark, d), scratch(spark)
-    done = table(spark, d, "labels").where("toxic <> 0").select(F.format_string(target + "/%d.npy", "doc_id").alias("out_path"), F.lit(b"x").alias("content"))
+    done = table(spark, d, "labels").where("toxic <> 0").select(
+        F.format_string(target + "/%d.npy", "doc_id").alias("out_path"), F.lit(b"x").alias("content"),
+    )
     sinks.write_files(done.unionByName(spark.createDataFrame([(f"{target}/none.npy", b"x")], done.schema))).write.format("noop").mode("overwrite").save()
     out = scratch(spark)
     process_new(spark, f"{source}/*.txt", f"{target}/**", ".txt", [".npy"], lambda df: df.select("path").write.mode("append").parquet(out), f"{out}-state", source_dir=source, target_dir=target).awaitTermination()

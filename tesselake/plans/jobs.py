@@ -37,26 +37,44 @@ def example(spark: SparkSession, source_audio_path: str, source_audio_suffix: st
     """Total duration, files decoded and files failed."""
     audio = files.decode_audio(open_files(spark, f"{source_audio_path.rstrip('/')}/**{source_audio_suffix}")).drop("samples")
     seconds = F.sum(F.when(F.col("status") == "ok", F.col("n_samples") / F.col("sr")))
-    return audio.agg(F.count_if(F.col("status") == "ok").alias("audio_count"), F.count_if(F.col("status") == "failed").alias("failed_count"), F.coalesce(seconds, F.lit(0.0)).alias("seconds"))
+    return audio.agg(
+        F.count_if(F.col("status") == "ok").alias("audio_count"),
+        F.count_if(F.col("status") == "failed").alias("failed_count"), F.coalesce(seconds, F.lit(0.0)).alias("seconds"),
+    )
 
 
 def dataset_stats(spark: SparkSession, source_audio_path: str, match_suffix: str = ".wav") -> dict[str, DataFrame]:
     """Count, duration, channel kinds and sample rates, from headers alone."""
     head = files.audio_headers(open_files(spark, f"{source_audio_path.rstrip('/')}/**{match_suffix}", first=files.HEAD)).where("status = 'ok'")
     head = head.withColumn("duration", F.col("n_samples") / F.col("sr"))
-    return {"totals": stats.totals(head), "channels": stats.counts(head, stats.channel_kind(F.col("n_channels")), "kind"), "rates": head.select("sr").distinct()}
+    return {
+        "totals": stats.totals(head), "channels": stats.counts(head, stats.channel_kind(F.col("n_channels")), "kind"),
+        "rates": head.select("sr").distinct(),
+    }
 
 
-def feature_stats(features: DataFrame, labels: list[str], threshold: float = 0.8, music_label: int = 0, music_threshold: float = 0.5) -> dict[str, DataFrame]:
+def feature_stats(
+    features: DataFrame, labels: list[str], threshold: float = 0.8, music_label: int = 0, music_threshold: float = 0.5,
+) -> dict[str, DataFrame]:
     """Music and genre counts of (path, shape, data) features."""
-    rows = features.where("status = 'ok'").withColumn("rows", F.expr("transform(filter(sequence(0, shape[0]), i -> i < shape[0]), i -> slice(data, i * shape[1] + 1, shape[1]))"))
+    rows = features.where("status = 'ok'").withColumn(
+        "rows",
+        F.expr("transform(filter(sequence(0, shape[0]), i -> i < shape[0]), i -> slice(data, i * shape[1] + 1, shape[1]))"),
+    )
     best = F.transform("rows", lambda r: F.array_max(r))
     mean = F.transform("rows", lambda r: arrays.mean_std(r)[0].cast("float"))
     genres = rows.select(F.explode(arrays.above(best, threshold)).alias("i")).select(F.element_at(F.array(*map(F.lit, labels)), F.col("i") + 1).alias("genre"))
-    return {"music": stats.counts(rows, arrays.is_music(mean, music_label, music_threshold), "is_music"), "genres": stats.counts(genres, "genre", "genre")}
+    return {
+        "music": stats.counts(rows, arrays.is_music(mean, music_label, music_threshold), "is_music"),
+        "genres": stats.counts(genres, "genre", "genre"),
+    }
 
 
-def music_stats(spark: SparkSession, root: str, labels: list[str], music_suffix: str = ".music.npy", vocal_suffix: str = ".vocal.npy", genre_suffix: str = ".genre.npy", p_threshold: float = 0.9, n_threshold: float = 0.1, genre_threshold: float = 0.8, music_label: int = 0, music_threshold: float = 0.5) -> dict[str, DataFrame]:
+def music_stats(
+    spark: SparkSession, root: str, labels: list[str], music_suffix: str = ".music.npy",
+    vocal_suffix: str = ".vocal.npy", genre_suffix: str = ".genre.npy", p_threshold: float = 0.9,
+    n_threshold: float = 0.1, genre_threshold: float = 0.8, music_label: int = 0, music_threshold: float = 0.5,
+) -> dict[str, DataFrame]:
     """Of the tracks with a music feature below root: how many are music and, of these, how many have vocals, and the genres of
     the music tracks.  Features are .npy files (classes x frames); a track without a vocal or genre feature counts for none."""
 
@@ -65,15 +83,26 @@ def music_stats(spark: SparkSession, root: str, labels: list[str], music_suffix:
         rows = F.expr("transform(filter(sequence(0, shape[0]), i -> i < shape[0]), i -> slice(data, i * shape[1] + 1, shape[1]))")
         return found.select(paths.remove_suffix(F.col("path"), suffix).alias("track"), rows.alias("rows"))
 
-    music = rows_of(music_suffix).select("track", arrays.is_music(F.transform("rows", lambda r: arrays.mean_std(r)[0].cast("float")), music_label, music_threshold).alias("is_music"))
-    vocal = rows_of(vocal_suffix).where(F.size("rows") > 1).select("track", arrays.majority_vote(F.element_at("rows", 2), p_threshold, n_threshold).alias("is_vocal"))
+    music = rows_of(music_suffix).select(
+        "track",
+        arrays.is_music(F.transform("rows", lambda r: arrays.mean_std(r)[0].cast("float")), music_label, music_threshold).alias("is_music"),
+    )
+    vocal = rows_of(vocal_suffix).where(F.size("rows") > 1).select(
+        "track", arrays.majority_vote(F.element_at("rows", 2), p_threshold, n_threshold).alias("is_vocal"),
+    )
     kept = music.where("is_music").join(vocal, "track", "left").select("track", F.coalesce("is_vocal", F.lit(False)).alias("is_vocal"))
     best = F.transform("rows", lambda r: F.array_max(r))
     genre = rows_of(genre_suffix).join(music.where("is_music"), "track", "left_semi").select(F.explode(arrays.above(best, genre_threshold)).alias("i")).select(F.element_at(F.array(*map(F.lit, labels)), F.col("i") + 1).alias("genre"))
-    return {"music": stats.counts(music, "is_music", "is_music"), "vocal": stats.counts(kept, "is_vocal", "is_vocal"), "genres": stats.counts(genre, "genre", "genre")}
+    return {
+        "music": stats.counts(music, "is_music", "is_music"), "vocal": stats.counts(kept, "is_vocal", "is_vocal"),
+        "genres": stats.counts(genre, "genre", "genre"),
+    }
 
 
-def run_model(spark: SparkSession, glob: str, audio_suffix: str, contract: infer.Contract, factory: Callable, overwrite: bool = False, max_duration: float | None = None, channels_first: bool = True) -> DataFrame:
+def run_model(
+    spark: SparkSession, glob: str, audio_suffix: str, contract: infer.Contract, factory: Callable,
+    overwrite: bool = False, max_duration: float | None = None, channels_first: bool = True,
+) -> DataFrame:
     """List, skip completed, decode, crop, resample to the contract's rate, infer, write .npy beside each source."""
     suffix = contract.suffix
     todo = pending(spark, glob, audio_suffix, [suffix], overwrite)
@@ -95,13 +124,20 @@ def run_model(spark: SparkSession, glob: str, audio_suffix: str, contract: infer
     return sinks.write_files(found.select(paths.output_path(F.col("path"), audio_suffix, suffix).alias("out_path"), npy("shape", "data").alias("content")))
 
 
-def separate(spark: SparkSession, glob: str, audio_suffix: str, factory: Callable, stems: tuple[str, ...] = ("vocals", "instrumental"), only_if_vocals: bool = False, vocals: DataFrame | None = None, p_threshold: float = 0.9, n_threshold: float = 0.1, max_duration: float = 360, overwrite: bool = False) -> DataFrame:
+def separate(
+    spark: SparkSession, glob: str, audio_suffix: str, factory: Callable,
+    stems: tuple[str, ...] = ("vocals", "instrumental"), only_if_vocals: bool = False, vocals: DataFrame | None = None,
+    p_threshold: float = 0.9, n_threshold: float = 0.1, max_duration: float = 360, overwrite: bool = False,
+) -> DataFrame:
     """Source separation: optional vocal gate (stem, probs), crop, 44.1 kHz, z-normal input, one file per stem.
 
     A file is decoded and separated once, the model made once per task; all its stems come from that."""
     todo = pending(spark, glob, audio_suffix, [f".{s}{audio_suffix}" for s in stems], overwrite)
     if only_if_vocals:
-        todo = assemble.vocal_filter(todo.withColumn("stem", paths.file_stem(F.col("path"))), vocals, "stem", arrays.majority_vote(F.col("probs"), p_threshold, n_threshold))
+        todo = assemble.vocal_filter(
+            todo.withColumn("stem", paths.file_stem(F.col("path"))), vocals, "stem",
+            arrays.majority_vote(F.col("probs"), p_threshold, n_threshold),
+        )
     def make():
         model = factory()
 
@@ -121,7 +157,10 @@ def separate(spark: SparkSession, glob: str, audio_suffix: str, factory: Callabl
     return sinks.write_files(sinks.encode_audio(parts.withColumn("out_path", name), audio_suffix))
 
 
-def transcode(spark: SparkSession, src_dir: str, audio_suffix: str, target_audio_suffix: str, target_sample_rate: int = 48000, crop_duration: float | None = None, overwrite: bool = False) -> DataFrame:
+def transcode(
+    spark: SparkSession, src_dir: str, audio_suffix: str, target_audio_suffix: str, target_sample_rate: int = 48000,
+    crop_duration: float | None = None, overwrite: bool = False,
+) -> DataFrame:
     """Convert the files that have no target yet; with crop_duration a piece of that length from a place drawn by the path, shorter files go."""
 
     def change(path, x, sr):
@@ -137,11 +176,17 @@ def transcode(spark: SparkSession, src_dir: str, audio_suffix: str, target_audio
         return x, target_sample_rate
 
     glob = f"{src_dir.rstrip('/')}/**{audio_suffix}"
-    audio = signal.map_audio(files.decode_audio(open_files(spark, glob, pending(spark, glob, audio_suffix, [target_audio_suffix], overwrite))), change)
+    audio = signal.map_audio(
+        files.decode_audio(open_files(spark, glob, pending(spark, glob, audio_suffix, [target_audio_suffix], overwrite))),
+        change,
+    )
     return sinks.write_files(sinks.encode_audio(audio.withColumn("out_path", paths.output_path(F.col("path"), audio_suffix, target_audio_suffix)), target_audio_suffix))
 
 
-def shard(spark: SparkSession, src_dir: str, dest_dir: str, audio_suffix: str, suffixes: list[str], num_files_per_shard: int = 100_000, max_dataset_size: int | None = None, min_shard_idx: int = 0) -> DataFrame:
+def shard(
+    spark: SparkSession, src_dir: str, dest_dir: str, audio_suffix: str, suffixes: list[str],
+    num_files_per_shard: int = 100_000, max_dataset_size: int | None = None, min_shard_idx: int = 0,
+) -> DataFrame:
     """Copy files and their features to shard directories.  The destination must be empty."""
     if not suffixes:
         raise ValueError("suffixes must not be empty")
@@ -171,7 +216,10 @@ FEATURES = (
 )
 
 
-def classify(spark: SparkSession, src_dir: str, audio_suffix: str, heads: dict[str, Callable], embed: Callable, features: list[str] | None = None, overwrite: bool = False, known: tuple[str, ...] = FEATURES) -> DataFrame:
+def classify(
+    spark: SparkSession, src_dir: str, audio_suffix: str, heads: dict[str, Callable], embed: Callable,
+    features: list[str] | None = None, overwrite: bool = False, known: tuple[str, ...] = FEATURES,
+) -> DataFrame:
     """Several classifier heads on one decoded and embedded file; one .npy per feature beside the source.
 
     ``heads`` maps a feature to a function of the embedding, ``embed`` makes the embedding of mono audio once per file.
@@ -197,13 +245,22 @@ def classify(spark: SparkSession, src_dir: str, audio_suffix: str, heads: dict[s
                         made.append((f, write_npy(np.asarray(heads[f](x), np.float32))))
                 except Exception:
                     pass
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(made), pa.string()), pa.array([f for f, _ in made], pa.string()), pa.array([c for _, c in made], pa.binary())], names=["path", "feature", "content"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([path] * len(made), pa.string()), pa.array([f for f, _ in made], pa.string()),
+                        pa.array([c for _, c in made], pa.binary()),
+                    ],
+                    names=["path", "feature", "content"],
+                )
 
     found = audio.where("status = 'ok'").select("path", "samples").mapInArrow(run, "path string, feature string, content binary")
     return sinks.write_files(found.select(F.concat(paths.remove_suffix(F.col("path"), audio_suffix), F.lit("."), "feature", F.lit(".npy")).alias("out_path"), "content"))
 
 
-def transcribe(spark: SparkSession, match_pattern: str, audio_suffix: str, factory: Callable, overwrite: bool = False, suffix: str = ".whisper.json") -> DataFrame:
+def transcribe(
+    spark: SparkSession, match_pattern: str, audio_suffix: str, factory: Callable, overwrite: bool = False,
+    suffix: str = ".whisper.json",
+) -> DataFrame:
     """Speech to text: {"lyrics": segments} beside each file; files without a segment give no output.
 
     ``factory`` makes a function of (audio, rate) that returns segments, or raises: the file is then left out."""
@@ -224,7 +281,10 @@ def transcribe(spark: SparkSession, match_pattern: str, audio_suffix: str, facto
                 except Exception:
                     continue
                 if segments:
-                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([json.dumps({"lyrics": segments}).encode()], pa.binary())], names=["path", "content"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path]), pa.array([json.dumps({"lyrics": segments}).encode()], pa.binary())],
+                        names=["path", "content"],
+                    )
 
     found = files.decode_audio(open_files(spark, match_pattern, todo)).where("status = 'ok'").select("path", "sr", "samples").mapInArrow(run, "path string, content binary")
     return sinks.write_files(found.select(paths.output_path(F.col("path"), audio_suffix, suffix).alias("out_path"), "content"))
@@ -243,7 +303,10 @@ def embed_lyrics(spark: SparkSession, match_pattern: str, factory: Callable, ove
         for b in batches:
             for r in b.to_pylist():
                 tokens = np.array(r["tokens"], np.int32)
-                arrays_ = {"embeds": np.asarray(model(tokens), np.float32), "tokens": tokens, "starts": np.array(r["starts"], np.float32), "ends": np.array(r["ends"], np.float32)}
+                arrays_ = {
+                    "embeds": np.asarray(model(tokens), np.float32), "tokens": tokens,
+                    "starts": np.array(r["starts"], np.float32), "ends": np.array(r["ends"], np.float32),
+                }
                 if len({a.shape[-1] for a in arrays_.values()}) != 1:
                     raise ValueError("embeddings, tokens and times differ in length")
                 yield pa.RecordBatch.from_arrays([pa.array([r["path"]]), pa.array([write_npz(arrays_)], pa.binary())], names=["path", "content"])
@@ -261,10 +324,16 @@ def byte_features(spark: SparkSession, match_pattern: str, overwrite: bool = Fal
     order = F.array_sort(F.collect_list(F.struct("segment", "at", "tokens", "start", "end")))
     grouped = word.groupBy("path").agg(order.alias("w"))
     spread = lambda name: F.flatten(F.transform("w", lambda w: F.transform(w["tokens"], lambda _: w[name])))
-    return grouped.select("path", F.flatten(F.transform("w", lambda w: w["tokens"])).alias("tokens"), spread("start").alias("starts"), spread("end").alias("ends"))
+    return grouped.select(
+        "path", F.flatten(F.transform("w", lambda w: w["tokens"])).alias("tokens"), spread("start").alias("starts"),
+        spread("end").alias("ends"),
+    )
 
 
-def training_set(tracks: DataFrame, key: str, required: dict[str, DataFrame], optional: dict, dest_dir: str | None = None, dims: dict[str, int] | None = None, length_of: str | None = None, min_duration: float = 20, frame_rate: float = 30) -> DataFrame:
+def training_set(
+    tracks: DataFrame, key: str, required: dict[str, DataFrame], optional: dict, dest_dir: str | None = None,
+    dims: dict[str, int] | None = None, length_of: str | None = None, min_duration: float = 20, frame_rate: float = 30,
+) -> DataFrame:
     """Assemble features per track, validate, drop short ones; with dest_dir write them as shards."""
     rows = assemble.assemble(tracks.select(key).distinct(), key, required, optional)
     for name, dim in (dims or {}).items():

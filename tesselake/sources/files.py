@@ -36,7 +36,10 @@ def contents(found: DataFrame, first: int | None = None) -> DataFrame:
                         content = f.read(size if first is None else min(first, size))
                 except OSError as found_:
                     error = f"{type(found_).__name__}: {found_}"
-                yield pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([size], pa.int64()), pa.array([content], pa.binary()), pa.array([error], pa.string())], names=["path", "length", "content", "error"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path], pa.string()), pa.array([size], pa.int64()), pa.array([content], pa.binary()), pa.array([error], pa.string())],
+                    names=["path", "length", "content", "error"],
+                )
 
     return found.select("path").mapInArrow(run, "path string, length bigint, content binary, error string")
 
@@ -143,4 +146,7 @@ def track_directories(files: DataFrame, root: str) -> DataFrame:
     return files.select(found.alias("subdir")).where("subdir <> ''").distinct()
 
 
-__all__ = ["audio_headers", "contents", "decode_audio", "load_arrays", "load_features", "load_json", "manifest", "manifest_files", "track_directories", "uri_parts"]
+__all__ = [
+    "audio_headers", "contents", "decode_audio", "load_arrays", "load_features", "load_json", "manifest",
+    "manifest_files", "track_directories", "uri_parts",
+]

@@ -125,7 +125,10 @@ class ShardedWriter(DataSourceArrowWriter):
         return message
 
     def commit(self, messages) -> None:
-        put(f"{self.root}/index.json", json.dumps({"schema": json.loads(self.schema), "shards": [s for m in messages if m for s in m.shards]}).encode())
+        put(
+            f"{self.root}/index.json",
+            json.dumps({"schema": json.loads(self.schema), "shards": [s for m in messages if m for s in m.shards]}).encode(),
+        )
 
     def abort(self, messages) -> None:
         system, path = filesystem(self.root)

@@ -20,7 +20,10 @@ def file_stream(spark: SparkSession, glob: str, per_batch: int = 1000) -> DataFr
     return files.where(F.col("path").rlike(glob_regex(glob)))
 
 
-def process_new(spark: SparkSession, glob: str, target_glob: str, old_suffix: str, new_suffixes: list[str], process: Callable[[DataFrame], None], checkpoint: str, **options) -> StreamingQuery:
+def process_new(
+    spark: SparkSession, glob: str, target_glob: str, old_suffix: str, new_suffixes: list[str],
+    process: Callable[[DataFrame], None], checkpoint: str, **options,
+) -> StreamingQuery:
     """Run ``process`` on each micro-batch's files that still miss a target; ends when no new file is left."""
 
     def batch(files: DataFrame, _: int) -> None:
