@@ -127,7 +127,10 @@ def in_order(x: np.ndarray) -> np.ndarray:
     return np.where(i < 0, -(i & 0x7FFFFFFF), i)
 
 
-def search_block(model: Quantizer, qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, codes: np.ndarray, k: int, rerank: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def search_block(
+    model: Quantizer, qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, codes: np.ndarray, k: int,
+    rerank: int,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(queries, ids, scores) of the best k of the block for some queries at a time; ids of -1 stand for none.
 
     The block is in the order of its ids.  With no rerank, or no more rows than that, all are scored exactly."""
@@ -163,7 +166,10 @@ def usable(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
-def search(rows: DataFrame, every: int, k: int = 20, id_col: str = "vec_id", vector: str = "embedding", block: int = 32_768, query_block: int = 512, sample: int = 8000, rerank: int | None = None) -> DataFrame:
+def search(
+    rows: DataFrame, every: int, k: int = 20, id_col: str = "vec_id", vector: str = "embedding", block: int = 32_768,
+    query_block: int = 512, sample: int = 8000, rerank: int | None = None,
+) -> DataFrame:
     """The k nearest rows of each row whose id is divisible by ``every``: query_id, rank, vec_id, score.
 
     A block holds about ``block`` rows at most (under 2^24), fewer where that gives the cluster too few tasks."""
@@ -197,7 +203,10 @@ def searched(data: DataFrame, dim: int, every: int, k: int, block: int, query_bl
         number = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(n)).cast("long")
         return df.withColumn("number", number).groupBy("number").applyInArrow(lambda t: packed(t, encode), kind)
 
-    queries = dealt(data.where(F.col("vec_id") % every == 0), query_blocks, False).select(F.col("number").alias("q_number"), F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("number"))
+    queries = dealt(data.where(F.col("vec_id") % every == 0), query_blocks, False).select(
+        F.col("number").alias("q_number"), F.col("ids").alias("q_ids"), F.col("x").alias("q_x"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("number"),
+    )
     pairs = dealt(data, blocks, True).join(queries, "number")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +215,18 @@ def searched(data: DataFrame, dim: int, every: int, k: int, block: int, query_bl
             for i in range(b.num_rows):
                 get = lambda name, kind: np.frombuffer(b.column(name)[i].as_buffer(), kind)
                 q_ids, number, q_number = get("q_ids", "<i8"), b.column("number")[i].as_py(), b.column("q_number")[i].as_py()
-                for at, ids, score in search_block(model, q_ids, get("q_x", np.float64).reshape(-1, dim), get("ids", "<i8"), get("x", np.float64).reshape(-1, dim), get("codes", np.uint8).reshape(-1, -(-len(model.books) // 2)), k, rerank):
+                for at, ids, score in search_block(
+                    model, q_ids, get("q_x", np.float64).reshape(-1, dim), get("ids", "<i8"),
+                    get("x", np.float64).reshape(-1, dim),
+                    get("codes", np.uint8).reshape(-1, -(-len(model.books) // 2)), k, rerank,
+                ):
                     real = score > -np.inf
                     flat = pa.StructArray.from_arrays([pa.array(-score[real]), pa.array(ids[real])], fields=list(entry))
                     best = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(real.sum(1))]), pa.int32()), flat)
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array((q_number << 32) | at), pa.array(np.full(len(at), number)), best], names=["query_id", "q", "number", "best"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(q_ids[at]), pa.array((q_number << 32) | at), pa.array(np.full(len(at), number)), best],
+                        names=["query_id", "q", "number", "best"],
+                    )
 
     part = pairs.mapInArrow(run, "query_id long, q long, number long, best array<struct<minus:double,vec_id:bigint>>")
     while True:  # a merge sees the best k of 64 blocks at most
@@ -218,4 +234,7 @@ def searched(data: DataFrame, dim: int, every: int, k: int, block: int, query_bl
         blocks = -(-blocks // 64)
         if blocks == 1:
             break
-    return part.select("query_id", F.posexplode("best").alias("at", "b")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.minus")).alias("score"))
+    return part.select("query_id", F.posexplode("best").alias("at", "b")).select(
+        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"),
+        (-F.col("b.minus")).alias("score"),
+    )

@@ -22,7 +22,12 @@ def components(links: DataFrame, most: int = 60, alone: bool = False) -> DataFra
         stepped = labels.join(near, labels.id == near.a).select("id", F.least("component", "m").alias("next"), F.col("component").alias("old"))
         jump = labels.select(F.col("id").alias("at"), F.col("component").alias("beyond"))
         old = labels
-        stepped = written(stepped.join(jump, stepped.next == jump["at"], "left").select("id", F.least("next", F.coalesce("beyond", "next")).alias("component"), "old"), "labels")
+        stepped = written(
+            stepped.join(jump, stepped.next == jump["at"], "left").select(
+                "id", F.least("next", F.coalesce("beyond", "next")).alias("component"), "old",
+            ),
+            "labels",
+        )
         done = stepped.where("component <> old").isEmpty()
         labels = stepped.select("id", "component")
         labels._written = stepped._written

@@ -192,9 +192,19 @@ def keyed(docs: DataFrame, id_col: str, text: str, t: Threshold, width: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 4 << 20):
             sets = [shingle_set(x, width) for x in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([t.band(len(s)) for s in sets], pa.int32()), pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32())], names=["id", "h", "n", "key", "band", "steps"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("id"), b.column("h"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_key(s) for s in sets], pa.int64()),
+                    pa.array([t.band(len(s)) for s in sets], pa.int32()),
+                    pa.array([enough(s, t) if len(s) else 0 for s in sets], pa.int32()),
+                ],
+                names=["id", "h", "n", "key", "band", "steps"],
+            )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text).alias("h"), F.col(text).alias("t")).mapInArrow(run, "id long, h long, n long, key long, band int, steps int")
+    return docs.select(
+        F.col(id_col).cast("long").alias("id"), text_hash(text).alias("h"), F.col(text).alias("t"),
+    ).mapInArrow(run, "id long, h long, n long, key long, band int, steps int")
 
 
 def text_hash(text: str) -> Column:
@@ -284,7 +294,10 @@ def candidates(dealt: DataFrame, t: Threshold, few: int) -> DataFrame:
 
     def shaped(ab: np.ndarray, large: list[tuple[int, bytes]]) -> pa.Table:
         n, none = [None] * len(ab), [None] * len(large)
-        found = ([*ab[:, 0].tolist(), *none], [*ab[:, 1].tolist(), *none], [*n, *(g for g, _ in large)], [*n, *(g & 0xFF for g, _ in large)], [*n, *(m for _, m in large)])
+        found = (
+            [*ab[:, 0].tolist(), *none], [*ab[:, 1].tolist(), *none], [*n, *(g for g, _ in large)],
+            [*n, *(g & 0xFF for g, _ in large)], [*n, *(m for _, m in large)],
+        )
         return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(columns, found)})
 
     def run(table: pa.Table) -> pa.Table:
@@ -335,7 +348,9 @@ def verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     Sketches go through the first two joins, whole sets only for pairs that these can't rule out."""
 
     def beside(df: DataFrame, what: str) -> DataFrame:
-        left, right = sets.select(F.col("key").alias("a"), F.col(what).alias("x"), F.size("s").alias("na")), sets.select(F.col("key").alias("b"), F.col(what).alias("y"), F.size("s").alias("nb"))
+        left, right = sets.select(
+            F.col("key").alias("a"), F.col(what).alias("x"), F.size("s").alias("na"),
+        ), sets.select(F.col("key").alias("b"), F.col(what).alias("y"), F.size("s").alias("nb"))
         return df.join(left, "a").join(right, "b")
 
     near = beside(pairs, "p").where((t.den + t.num) * sketch_distance(F.col("x"), F.col("y")) <= (t.den - t.num) * (F.col("na") + F.col("nb"))).select("a", "b")
@@ -351,7 +366,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: i
         for b in small_batches(batches, 4 << 20):
             sets = [shingle_set(x, width) for x in b.column("t").to_pylist()]
             fits = [set_key(s) == k for s, k in zip(sets, b.column("key").to_pylist())]  # a repeated id may bring other texts
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([s.view(np.int64) for s in sets], kind), pa.array([sketch(s) for s in sets], kind)], names=["key", "s", "p"]).filter(pa.array(fits, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), pa.array([s.view(np.int64) for s in sets], kind), pa.array([sketch(s) for s in sets], kind)],
+                names=["key", "s", "p"],
+            ).filter(pa.array(fits, pa.bool_()))
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null")
     return texts.join(wanted.hint("shuffle_hash"), "id").select("key", "t").mapInArrow(run, "key long, s array<long>, p array<long>").dropDuplicates(["key"])
@@ -376,7 +394,10 @@ def families(groups: DataFrame, plan: dict[int, Allocation | None]) -> DataFrame
     members = written(unpacked_members(groups), "members")
     allowed = F.create_map(*[F.lit(x) for k, a in plan.items() if a for x in (k, a.frequent)])
     worth = F.create_map(*[F.lit(x) for k, a in plan.items() if a for x in (k, 2 if a.deletion else 1)])
-    many = written(members.groupBy("key", "band").agg(F.count("*").alias("c")).where(F.col("c") * worth[F.col("band")] > allowed[F.col("band")]), "many")
+    many = written(
+        members.groupBy("key", "band").agg(F.count("*").alias("c")).where(F.col("c") * worth[F.col("band")] > allowed[F.col("band")]),
+        "many",
+    )
     held = written(members.join(many, ["key", "band"]).select("g", "key"), "members")
     dropped(groups.sparkSession, members)
     # each set is linked to the least head of its groups, and that head to the heads of the set's other groups; heads
@@ -391,7 +412,10 @@ def families(groups: DataFrame, plan: dict[int, Allocation | None]) -> DataFrame
     return found.join(many.groupBy("key").agg(F.sum("c").alias("c")), "key")
 
 
-def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int = 1024, elements: int = 400_000, pivots: int = 8, rounds: int = 2) -> DataFrame:
+def family_links(
+    family: DataFrame, sets: DataFrame, t: Threshold, block: int = 1024, elements: int = 400_000, pivots: int = 8,
+    rounds: int = 2,
+) -> DataFrame:
     """Links (a, b) of keys within families (key, family, c, n), enough of them to join what is linked.
 
     A block holds about ``block`` sets with ``elements`` elements together at most.  A family of one block has no need of
@@ -407,7 +431,9 @@ def family_links(family: DataFrame, sets: DataFrame, t: Threshold, block: int =
         for _ in range(rounds):
             links = written(pivot_links(wide, labels, t, pivots), "pivots")
             found = links if found is None else found.unionByName(links)
-            labels = wide.select("family", "key").join(components(found).withColumnRenamed("id", "key"), "key", "left").select("family", "key", F.coalesce("component", "key").alias("label"))
+            labels = wide.select("family", "key").join(
+                components(found).withColumnRenamed("id", "key"), "key", "left",
+            ).select("family", "key", F.coalesce("component", "key").alias("label"))
             main = labels.groupBy("family", "label").agg(F.count("*").alias("size")).groupBy("family").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
             labels = written(labels.join(main, "family").select("key", "label", (F.col("label") != F.col("main")).alias("out")), "labels")
             if labels.where("out").isEmpty():
@@ -424,7 +450,9 @@ def pivot_links(sets: DataFrame, labels: DataFrame | None, t: Threshold, pivots:
     from_ = sets if labels is None else sets.join(labels.where("out"), "key", "left_semi")
     chosen = from_.groupBy("family", part.alias("part")).agg(F.max_by("key", F.struct("c", "key")).alias("key"))
     # a family's few pivots go to each of its blocks, as one row
-    few = sets.join(chosen.select("key"), "key", "left_semi").groupBy("family").agg(F.collect_list(F.struct("key", "s")).alias("pivots"), F.first("blocks").alias("blocks"))
+    few = sets.join(chosen.select("key"), "key", "left_semi").groupBy("family").agg(
+        F.collect_list(F.struct("key", "s")).alias("pivots"), F.first("blocks").alias("blocks"),
+    )
     few = few.select("family", "pivots", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"))
 
     def near(p: Column) -> Column:
@@ -443,7 +471,10 @@ def outlier_links(sets: DataFrame, t: Threshold, block: int, elements: int) -> D
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i")
     right = sets.select("family", every, F.col("own").alias("j"), "key", "label", "s", "out", F.lit(False).alias("left"))
     part = F.pmod(F.xxhash64("key", F.lit(2)), F.col("parts")).cast("int").alias("i")
-    left = sets.where("out").select("family", part, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "key", "label", "s", "out", F.lit(True).alias("left"))
+    left = sets.where("out").select(
+        "family", part, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "key", "label", "s", "out",
+        F.lit(True).alias("left"),
+    )
 
     def run(table: pa.Table) -> pa.Table:
         key, old, left = table.column("key").to_numpy(), table.column("label").to_numpy(), table.column("left").to_numpy(zero_copy_only=False)
@@ -487,11 +518,16 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Thres
     a, b = reps.select(F.col("key").alias("a"), F.col("id").alias("ia")), reps.select(F.col("key").alias("b"), F.col("id").alias("ib"))
     labels = components(links.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")))
     label = reps.join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
-    out = nodes.join(label, "key", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"))
+    out = nodes.join(label, "key", "left").select(
+        "id", "n",
+        F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"),
+    )
     return out.withColumnRenamed("id", id_col)
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, **options) -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", t: Threshold = Threshold(), width: int = 4, **options,
+) -> DataFrame:
     """The documents, with their columns, but of those that links join only one: the first by id, then by a hash of the text
     (of repeated rows one).  Two texts of one id are two documents.  Rows without id, and texts without words, stay."""
     nodes, reps, links = links_of(docs, id_col, text, t, width, **options)
@@ -506,13 +542,18 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     return once.unionByName(again).select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
 
 
-def links_of(docs: DataFrame, id_col: str, text: str, t: Threshold, width: int, few: int = 16, per_bucket: int = 1_500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+def links_of(
+    docs: DataFrame, id_col: str, text: str, t: Threshold, width: int, few: int = 16, per_bucket: int = 1_500_000,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, reps, links): the rows with their keys, an id for each key, and links between keys, enough to join all that
     are linked."""
     sweep(docs)
     nodes = written(keyed(docs, id_col, text, t, width), "nodes")
     known = nodes.where("id is not null and n > 0")
-    reps = written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("band").alias("band"), F.first("steps").alias("steps")), "reps")
+    reps = written(
+        known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("band").alias("band"), F.first("steps").alias("steps")),
+        "reps",
+    )
     bands = {r.band: (r.n, r.steps) for r in reps.groupBy("band").agg(F.count("*").alias("n"), F.bit_and("steps").alias("steps")).collect()}
     # a set that is the smaller of a pair in the band above leaves out its empty segments, too: the larger one's count
     plan = {k: allocate(t, k, bands.get(k, (0, 0))[0] + bands.get(k - 1, (0, 0))[0], bands.get(k, (0, 0))[1]) if k in bands else None for b in bands for k in (b, b + 1)}

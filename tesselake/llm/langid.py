@@ -135,7 +135,10 @@ def train(docs: DataFrame, per_lang: int = 400, per_doc: int = 8, most: int = 40
             for lang, doc, text in zip(*(b.column(c).to_pylist() for c in ("lang", "doc_id", "text"))):
                 own = segments(text)
                 rows += [(lang, doc, own[i]) for i in sorted({len(own) * k // per_doc for k in range(per_doc)} if own else ())]
-            yield pa.RecordBatch.from_pylist([dict(zip(("lang", "doc_id", "piece"), r)) for r in rows], pa.schema([("lang", pa.string()), ("doc_id", pa.int64()), ("piece", pa.string())]))
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(("lang", "doc_id", "piece"), r)) for r in rows],
+                pa.schema([("lang", pa.string()), ("doc_id", pa.int64()), ("piece", pa.string())]),
+            )
 
     pieces = one.select("lang", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "lang string, doc_id long, piece string")
     # of a language there are about per_lang * per_doc at most
@@ -152,6 +155,14 @@ def classify(docs: DataFrame, per_lang: int = 400, per_doc: int = 8, most: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, block_bytes):
             found = predict(texts_of(b), model)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
-
-    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id"), b.column("held_out"), pa.array([x for x, _ in found], pa.string()),
+                    pa.array([s for _, s in found], pa.float64()),
+                ],
+                names=["doc_id", "held_out", "lang_pred", "score"],
+            )
+
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
+        run, "doc_id long, held_out boolean, lang_pred string, score double",
+    )

@@ -72,7 +72,10 @@ def fingerprint(docs: DataFrame, text: str, prefix: str = "", printed: bool = Tr
     docs = docs.withColumn(leaf, F.transform(paragraphs(F.col(text)), lambda p: F.transform(leaves(p), lambda x: node("L", x))))
     docs = docs.withColumn(para, F.transform(leaf, lambda p: joined("P", p)))
     count = F.size(para)
-    docs = docs.withColumn(ends, F.filter(F.sequence(F.lit(1), count), lambda i: (F.substring(F.get(F.col(para), i - 1), 1, 1) < LAST) | (i == count)))
+    docs = docs.withColumn(
+        ends,
+        F.filter(F.sequence(F.lit(1), count), lambda i: (F.substring(F.get(F.col(para), i - 1), 1, 1) < LAST) | (i == count)),
+    )
     docs = docs.withColumn(section, by_section(F.col(ends), F.col(para), lambda p, _: joined("S", p)))
     docs = docs.withColumn(root, joined("R", F.col(section)))
     if printed:
@@ -95,7 +98,10 @@ def differing(docs: DataFrame, a: str, b: str) -> DataFrame:
     for x in one:
         docs = docs.withColumn(f"__keys_{x}", F.transform(f"__rest_{x}", lambda p: p["k"]))
     for x, y in one.items():
-        docs = docs.withColumn(f"__low_{x}", F.flatten(F.transform(F.filter(f"__rest_{x}", lambda p: ~F.array_contains(F.col(f"__keys_{y}"), p["k"])), lambda p: p["leaves"])))  # noqa: B023
+        docs = docs.withColumn(
+            f"__low_{x}",
+            F.flatten(F.transform(F.filter(f"__rest_{x}", lambda p: ~F.array_contains(F.col(f"__keys_{y}"), p["k"])), lambda p: p["leaves"])),
+        )  # noqa: B023
     for x, y in one.items():
         held = F.aggregate(f"__{x}paragraphs", F.lit(0), lambda n, p: n + F.size(p["leaves"])) - F.size(f"__low_{x}")
         docs = docs.withColumn(f"__new_{x}", F.array_except(f"__low_{x}", f"__low_{y}")).withColumn(f"__all_{x}", held + F.size(F.array_distinct(f"__low_{x}")))
@@ -164,7 +170,10 @@ def edits(docs: DataFrame, buckets: int | None = None, many: int = 100_000) -> D
     if more is not None:
         # equal rows but one of each group, counted until now: in parts of a thousand, dealt anew
         parts = compared(more, "more").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("more") - 1) / 1000))))
-        parts = parts.repartition(partitions(docs)).withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col("more") - 1000 * F.col("part")))))
+        parts = parts.repartition(partitions(docs)).withColumn(
+            "one",
+            F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col("more") - 1000 * F.col("part")))),
+        )
         out = out.unionByName(parts.select(*out.columns))
     return out
 
@@ -172,11 +181,17 @@ def edits(docs: DataFrame, buckets: int | None = None, many: int = 100_000) -> D
 def compared(rows: DataFrame, *more: str) -> DataFrame:
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
-    rows = rows.withColumn("n_chars", n).withColumn("edited", F.concat(F.expr("left(text, int(n_chars) - int(floor(n_chars / 2)))"), F.substring(F.col("next"), F.lit(1), half)))
+    rows = rows.withColumn("n_chars", n).withColumn(
+        "edited",
+        F.concat(F.expr("left(text, int(n_chars) - int(floor(n_chars / 2)))"), F.substring(F.col("next"), F.lit(1), half)),
+    )
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
     rows = fingerprint(rows, "text", "text_")
     rows = fingerprint(rows, "edited", "edited_")
     rows = fingerprint(rows, "next", "next_", printed=False)
     rows = differing(rows, "text_", "edited_").withColumnRenamed("__like", "near_edited")
     rows = differing(rows.drop("__new_text_", "__all_text_"), "text_", "next_").withColumnRenamed("__like", "near_next")
-    return rows.select("doc_id", "n_chars", "edited_sha256", F.col("text_fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", *more)
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", F.col("text_fingerprint").alias("fingerprint"), "edited_fingerprint",
+        "near_edited", "near_next", *more,
+    )

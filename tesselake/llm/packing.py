@@ -150,7 +150,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
                 rows += [(doc, k, s, len(x := ids[s : s + capacity]), zlib.crc32(x.tobytes())) for k, s in enumerate(range(0, len(ids), capacity))]
             columns = list(zip(*rows)) if rows else [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     return docs.select("doc_id", "text").mapInArrow(run, ITEM)
 

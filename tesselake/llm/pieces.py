@@ -416,7 +416,11 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "tex
             texts = texts_of(b, text)
             flat, at = c.encode(texts)
             own = [flat[i:j] for i, j in zip(at[:-1], at[1:])]
-            columns = [b.column(id_col), pa.array(np.diff(at), pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64()), pa.array([c.decode(x) == t for x, t in zip(own, texts)], pa.bool_())]
+            columns = [
+                b.column(id_col), pa.array(np.diff(at), pa.int64()),
+                pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64()),
+                pa.array([c.decode(x) == t for x, t in zip(own, texts)], pa.bool_()),
+            ]
             if ids:
                 columns.append(pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_ids", "ids_crc32", "round_trip", "ids"][: len(columns)])

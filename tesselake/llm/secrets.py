@@ -50,7 +50,11 @@ class Rule:
 # The base kinds, in the order in which spans of one start are listed.
 KEYWORDS = ("password", "passwd", "secret", "token")
 BASE = (
-    Rule("assign", "(" + "|".join(map(either_case, KEYWORDS)) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]" + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    Rule(
+        "assign",
+        "(" + "|".join(map(either_case, KEYWORDS)) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]" + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2, 8,
+    ),
     Rule("access", "AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", "[0-9a-f]+", 0, 32),
 )
@@ -249,6 +253,9 @@ def digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES, block_bytes: int =
             base = [[x for x in spans if x[2] in kinds] for spans in rows]
             counts = [pa.array([sum(x[2] == k for x in spans) for spans in base], pa.int64()) for k in kinds]
             hashes = pa.array([hashlib.sha256(listed(x).encode()).hexdigest() for x in base], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *counts, hashes, pa.array(map(listed, rows), pa.string())], names=["doc_id", *(f"n_{k}" for k in kinds), "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), *counts, hashes, pa.array(map(listed, rows), pa.string())],
+                names=["doc_id", *(f"n_{k}" for k in kinds), "base_sha256", "spans"],
+            )
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

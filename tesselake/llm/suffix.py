@@ -227,7 +227,10 @@ def candidate_hashes(texts: DataFrame, width: int, k: int, buckets: int) -> Data
                 if at[i] < at[i + 1]:
                     used, local = np.unique(who[at[i] : at[i + 1]], return_inverse=True)
                     rows.append((i, packed6(h[at[i] : at[i + 1]]), local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(), keys_[used].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))], names=["bucket", "h", "local", "keys"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))],
+                names=["bucket", "h", "local", "keys"],
+            )
 
     return texts.select("row", "t").mapInArrow(run, "bucket int, h binary, local binary, keys binary")
 
@@ -308,15 +311,23 @@ def stretches(suspects: DataFrame, width: int, k: int, deal: int, buckets: int)
                 u, start, end = map(np.concatenate, zip(*sure))
                 rows.append((-1 - int(u[0]) % buckets, None, end.astype(np.uint32).tobytes(), None, None, None, start.astype(np.uint32).tobytes(), None, u.tobytes()))
             columns = list(zip(*rows)) if rows else [()] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.int32(), *[pa.binary()] * 8))], names=["bucket", "text", "lengths", "starts", "context", "local", "place", "docs", "uids"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, kind) for x, kind in zip(columns, (pa.int32(), *[pa.binary()] * 8))],
+                names=["bucket", "text", "lengths", "starts", "context", "local", "place", "docs", "uids"],
+            )
 
-    return suspects.mapInArrow(run, "bucket int, text binary, lengths binary, starts binary, context binary, local binary, place binary, docs binary, uids binary")
+    return suspects.mapInArrow(
+        run,
+        "bucket int, text binary, lengths binary, starts binary, context binary, local binary, place binary, docs binary, uids binary",
+    )
 
 
 def judged(dealt: DataFrame, width: int, blocks: int, most: int = 1_000_000) -> DataFrame:
     """Step 4: (row, cuts), the spans that go from each suspect."""
 
-    def spans(contexts: list[tuple[bytes, int]], context: np.ndarray, doc: np.ndarray, uid: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def spans(
+        contexts: list[tuple[bytes, int]], context: np.ndarray, doc: np.ndarray, uid: np.ndarray, place: np.ndarray,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts = np.array([w for _, w in contexts])
         least = np.full(len(contexts), np.iinfo(np.int64).max)
         np.minimum.at(least, context, doc)
@@ -405,18 +416,26 @@ def judged(dealt: DataFrame, width: int, blocks: int, most: int = 1_000_000) ->
 DEAL = 12
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, width: int = 50, k: int = 26, bucket_bytes: int = 16 << 20, most: int = 1_000_000) -> DataFrame:
+def removals(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, width: int = 50,
+    k: int = 26, bucket_bytes: int = 16 << 20, most: int = 1_000_000,
+) -> DataFrame:
     """Per row id, t (bytes), the columns ``keep`` as c0, c1, ..., whole (it goes wholly) and cuts (the spans that go, null for none)."""
     sweep(docs)
     t = F.encode(F.coalesce(text, F.lit("")), "utf-8")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), t.alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep or [])])
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), t.alias("t"),
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep or [])],
+    )
     n = partitions(docs)
     rows = bucketed(rows.withColumn("sha", F.unhex(F.sha2("t", 256))).withColumn("n", F.octet_length("t").cast("long")), "texts", "row", n)
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = int(max(n, total // bucket_bytes))
     facts = rows.where(F.col("id").isNotNull() & (F.col("n") >= width)).select("row", "id", "sha")
     # the first row of each text; row numbers only break ties between repeated rows
-    reps = facts.groupBy("sha").agg(F.min(F.struct("id", "row")).alias("first")).select("sha", F.col("first.id").alias("least"), F.col("first.row").alias("rep"))
+    reps = facts.groupBy("sha").agg(F.min(F.struct("id", "row")).alias("first")).select(
+        "sha", F.col("first.id").alias("least"), F.col("first.row").alias("rep"),
+    )
     reps = written(reps, "reps")  # else its shuffle would be the join's, whose large keys Spark could then not split
     facts = written(facts.join(reps, "sha").select("row", "rep", (F.col("id") > F.col("least")).alias("whole")), "facts")
     texts = rows.join(facts.where("row = rep").select("row").hint("shuffle_hash"), "row", "left_semi")
@@ -449,7 +468,10 @@ def shortened(found: DataFrame, as_text: bool = False) -> DataFrame:
             kept = [cut_out(t, c) for t, c in zip(texts, cuts)]
             kept = pa.array([t.decode("utf-8", "ignore") for t in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
             removed, spans = ([sum(c[1::2]) - sum(c[::2]) for c in cuts], [len(c) // 2 for c in cuts])
-            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in columns], kept, pa.array(removed, pa.int64()), pa.array(spans, pa.int64())], names=[*[f.name for f in columns], "t", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(f.name) for f in columns], kept, pa.array(removed, pa.int64()), pa.array(spans, pa.int64())],
+                names=[*[f.name for f in columns], "t", "n_removed", "n_spans"],
+            )
 
     kind = StructType(list(columns)).add("t", "string" if as_text else "binary").add("n_removed", "long").add("n_spans", "long")
     return found.mapInArrow(run, kind)

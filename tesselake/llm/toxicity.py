@@ -43,7 +43,9 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(words)), lengths)
     place = np.arange(len(codes)) - starts[owner]
-    whole = np.add.reduceat(mix64(codes * np.uint64(0x10001) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), starts) if len(words) else np.zeros(0, np.uint64)
+    whole = np.add.reduceat(
+        mix64(codes * np.uint64(0x10001) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), starts,
+    ) if len(words) else np.zeros(0, np.uint64)
     found, owners = [mix64(whole) % np.uint64(BUCKETS)], [np.arange(len(words))]
     for n in GRAMS:
         m = len(codes) - n + 1
@@ -153,7 +155,13 @@ class Network:
             w = windows[i : i + chunk].T
             x = table[w]
             mask = None if w.all() else w > 0
-            states = np.concatenate([self.run(x[:, :, : 3 * HIDDEN], self.p["uf"], mask), self.run(x[::-1, :, 3 * HIDDEN :], self.p["ub"], None if mask is None else mask[::-1])[::-1]], 2)
+            states = np.concatenate(
+                [
+                    self.run(x[:, :, : 3 * HIDDEN], self.p["uf"], mask),
+                    self.run(x[::-1, :, 3 * HIDDEN :], self.p["ub"], None if mask is None else mask[::-1])[::-1],
+                ],
+                2,
+            )
             out[i : i + chunk] = self.pooled(states, mask)
         return out
 
@@ -198,7 +206,10 @@ def scattered(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def gradients(net: Network, feats: np.ndarray, owner: np.ndarray, n: int, windows: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[dict, np.ndarray]:
+def gradients(
+    net: Network, feats: np.ndarray, owner: np.ndarray, n: int, windows: np.ndarray, target: np.ndarray,
+    weight: np.ndarray,
+) -> tuple[dict, np.ndarray]:
     """Gradients of the weighted log loss of a batch of windows; words are numbered from 1."""
     p, table = net.p, np.concatenate([np.zeros((1, 6 * HIDDEN), np.float32), net.inputs(feats, owner, n)])
     w = windows.T
@@ -265,7 +276,11 @@ def train(samples: list[tuple[str, int]], steps: int = 500, batch: int = 256, ra
     size = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
     odds = np.log((seen[1] + 0.5) / (size[1] + 1)) - np.log((seen[0] + 0.5) / (size[0] + 1))
     draw = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
-    p = {"emb": 0.1 * draw(BUCKETS, DIM) * np.sqrt(BUCKETS), "win": draw(DIM, 6 * HIDDEN), "bin": np.zeros(6 * HIDDEN, np.float32), "uf": draw(HIDDEN, 3 * HIDDEN), "ub": draw(HIDDEN, 3 * HIDDEN), "att": draw(2 * HIDDEN, 8), "query": draw(8), "out": draw(2 * HIDDEN), "bias": np.zeros(1, np.float32)}
+    p = {
+        "emb": 0.1 * draw(BUCKETS, DIM) * np.sqrt(BUCKETS), "win": draw(DIM, 6 * HIDDEN),
+        "bin": np.zeros(6 * HIDDEN, np.float32), "uf": draw(HIDDEN, 3 * HIDDEN), "ub": draw(HIDDEN, 3 * HIDDEN),
+        "att": draw(2 * HIDDEN, 8), "query": draw(8), "out": draw(2 * HIDDEN), "bias": np.zeros(1, np.float32),
+    }
     p = {k: v.astype(np.float32) for k, v in p.items()}
     p["emb"][:, 0] = 0.25 * odds
     net = Network(p)
@@ -341,7 +356,10 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = 1200, longest: in
     return train([(t, y) for _, t, y in rows]) if {y for *_, y in rows} == {0, 1} else None
 
 
-def score(docs: DataFrame, labels: DataFrame, per_label: int = 1200, threshold: float = THRESHOLD, block_bytes: int = 2 << 20, columns: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, per_label: int = 1200, threshold: float = THRESHOLD, block_bytes: int = 2 << 20,
+    columns: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("score", "predicted"),
+) -> DataFrame:
     """The columns named, with the score and the prediction under ``names``."""
     net = learn(docs, labels, per_label)
     carried = docs.select(*columns, F.col("text").alias("__text"))
@@ -350,7 +368,10 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = 1200, threshold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, block_bytes):
             s = net.scores(texts_of(b, "__text")) if net else np.zeros(b.num_rows)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[*columns, *names])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in columns), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
+                names=[*columns, *names],
+            )
 
     return carried.mapInArrow(run, schema)
 

@@ -122,7 +122,11 @@ def classified(pages: DataFrame, id_col: str = "page_id", payload: str = "html",
     Payloads move once, by id, which no page shares with many.  The smallest id of a digest is found with partial
     aggregation on digests alone, so a payload that a third of all pages share is one row per task in that
     shuffle; the join on digests has small rows on both sides and is open to Spark's skew splitting."""
-    data = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url") if url in pages.columns else F.lit(None).cast("string").alias("url"), F.coalesce(payload, F.lit("")).alias("payload"))
+    data = pages.select(
+        F.col(id_col).alias("id"),
+        F.col(url).alias("url") if url in pages.columns else F.lit(None).cast("string").alias("url"),
+        F.coalesce(payload, F.lit("")).alias("payload"),
+    )
     data = data.withColumn("digest", F.sha2("payload", 256))
     keyed = data.where((F.octet_length("payload") >= least) & F.col("id").isNotNull()).select("id", "digest")
     shared = keyed.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
@@ -162,7 +166,10 @@ def write_bundles(data: DataFrame, folder: str, bundles: int, frame_bytes: int =
                 if size >= bundle_bytes:
                     close()
                     out = None
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)], names=["id", "bundle", "frame", "at", "length"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)],
+                names=["id", "bundle", "frame", "at", "length"],
+            )
         if out is not None:
             close()
 
@@ -198,9 +205,14 @@ def read_records(index: DataFrame) -> DataFrame:
                 out.append((number(fields["WARC-Record-ID"]), int(fields["X-Payload-Length"]), digest, kind, number(fields.get("WARC-Refers-To")), block))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
             columns = list(zip(*out)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
+            )
 
-    return index.sortWithinPartitions("bundle", "frame", "at").mapInArrow(run, "id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    return index.sortWithinPartitions("bundle", "frame", "at").mapInArrow(
+        run, "id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
+    )
 
 
 def archive(pages: DataFrame, folder: str | None = None, bundles: int | None = None, **columns) -> tuple[DataFrame, str]:
@@ -214,4 +226,6 @@ def archive(pages: DataFrame, folder: str | None = None, bundles: int | None = N
 def round_trip(pages: DataFrame) -> DataFrame:
     """The query's columns, from records read back out of the archives."""
     index, _ = archive(pages)
-    return read_records(index.repartition(partitions(pages), "bundle")).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(index.repartition(partitions(pages), "bundle")).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to",
+    )
