@@ -12,7 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: With this setting Spark removes a query's exchanges as soon as the query has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -107,14 +107,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
-    """Like ``written``, dealt by the column ``by``: joins on it don't shuffle the table again.
+def bucketed(df: DataFrame, name: str, by: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """Like ``written``, dealt by the column ``by``: joins on it don't shuffle the table again.  dealt: ``df`` comes from
+    ``repartition(buckets, by)`` already.
 
     Spark keeps buckets for catalogue tables only; the entry goes again once the table's plan is made."""
     spark = df.sparkSession
     path, entry = new_path(spark, name), f"{name}_{uuid.uuid4().hex}"
     with short_lived_exchanges(spark):
-        df.repartition(buckets, by).write.bucketBy(buckets, by).option("compression", "zstd").option("path", path).saveAsTable(entry)
+        rows = df if dealt else df.repartition(buckets, by)
+        rows.write.bucketBy(buckets, by).option("compression", "zstd").option("path", path).saveAsTable(entry)
     out = spark.table(entry)
     out = out.select("*")  # analysed: holds the files, not the entry
     out._written = path
@@ -123,6 +125,23 @@ def bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
     return out
 
 
+#: Bits of a sieve: its words are a broadcast of 131,072 rows at most, whatever the data.
+SIEVE = 1 << 23
+
+
+def sieved(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """Rows with ``hit``: false only where no row of ``wanted`` has these keys.
+
+    A bitmap of hashes, of a fixed size, says so; what it lets through by chance a join behind it removes.  So rows that the
+    join would drop needn't be shuffled for it, as long as the wanted ones are few beside the bitmap's bits."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(SIEVE)).alias("place")
+    words = wanted.select(place).select(F.expr("shiftright(place, 6)").alias("word"), F.expr("shiftleft(1L, int(place % 64))").alias("bit"))
+    words = written(words.groupBy("word").agg(F.bit_or("bit").alias("bits")), "sieve")
+    found = rows.withColumn("place", place).withColumn("word", F.expr("shiftright(place, 6)")).join(F.broadcast(words), "word", "left")
+    hit = F.coalesce(F.expr("shiftright(bits, int(place % 64)) & 1L = 1L"), F.lit(False))
+    return found.withColumn("hit", hit).drop("place", "word", "bits")
+
+
 def dropped(spark: SparkSession, *tables: DataFrame | None) -> None:
     """Remove written tables of an operator's own that nothing reads any more."""
     for t in tables:

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import dropped, mix64, partitions, small_batches, sweep, written
+from .common import bucketed, dropped, mix64, partitions, sieved, small_batches, sweep, written
 from .components import components
 
 U = np.uint64
@@ -359,7 +359,7 @@ def verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
-    """(key, s, p) of the documents that stand for the wanted keys (key, id)."""
+    """(key, s, p) of the documents that stand for the wanted keys (key, id): a table dealt by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
@@ -372,7 +372,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: i
             ).filter(pa.array(fits, pa.bool_()))
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null")
-    return texts.join(wanted.hint("shuffle_hash"), "id").select("key", "t").mapInArrow(run, "key long, s array<long>, p array<long>").dropDuplicates(["key"])
+    # most texts have no candidate: they aren't moved
+    some = sieved(texts, wanted, "id").where("hit").drop("hit")
+    sets, n = some.join(wanted.hint("shuffle_hash"), "id").select("key", "t").mapInArrow(run, "key long, s array<long>, p array<long>"), partitions(docs)
+    return bucketed(sets.repartition(n, "key").dropDuplicates(["key"]), "sets", "key", n, dealt=True)
 
 
 def unpacked_members(groups: DataFrame) -> DataFrame:
@@ -535,11 +538,16 @@ def one_of_each_group(
     known = nodes.where(F.col("id").isNotNull()).groupBy("id", "h").agg(F.first("key").alias("key"), F.first("n").alias("n"), F.count("*").alias("c"))
     known = written(known.join(labels, "key", "left").select("id", "h", "n", "c", F.coalesce("component", "key").alias("group")), "known")
     first = known.where("n > 0").groupBy("group").agg(F.min(F.struct("id", "h", "c")).alias("first")).select("first.*")
-    stay = written(first.unionByName(known.where("n = 0").select("id", "h", F.lit(1).cast("long").alias("c"))), "stay")
-    mark, place = "_" * (1 + max(map(len, docs.columns))), [F.col(id_col).cast("long").alias("id"), text_hash(text).alias("h")]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *place).join(stay.withColumnRenamed("c", mark), ["id", "h"])
-    once, again = rows.where(F.col(mark) == 1), rows.where(F.col(mark) > 1).dropDuplicates(["id", "h"])
-    return once.unionByName(again).select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
+    loose = known.where("n = 0").select("id", "h", F.lit(1).cast("long").alias("c"))
+    stay = written(first.unionByName(loose), "stay")
+    # only documents that go, or come more than once, need to be looked up: the others aren't moved
+    moved = known.select("id", "h").join(stay.where("c = 1").select("id", "h"), ["id", "h"], "left_anti")
+    place = [F.col(id_col).cast("long").alias("id"), text_hash(text).alias("h")]
+    rows = sieved(docs.where(F.col(id_col).isNotNull()).select(F.struct(*docs.columns).alias("row"), *place), moved, "id", "h")
+    found = rows.where("hit").drop("hit").join(stay, ["id", "h"])
+    once, again = found.where("c = 1"), found.where("c > 1").dropDuplicates(["id", "h"])
+    kept = rows.where("not hit").select("row").unionByName(once.select("row")).unionByName(again.select("row"))
+    return kept.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def links_of(
@@ -566,7 +574,7 @@ def links_of(
     family = written(families(groups, plan).join(reps.select("key", "n"), "key"), "families") if large else None
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key"))
     wanted = (wanted.unionByName(family.select("key")) if large else wanted).distinct().join(reps.select("key", "id"), "key")
-    sets = written(sets_of(docs, wanted, id_col, text, width), "sets")
+    sets = sets_of(docs, written(wanted, "wanted"), id_col, text, width)
     links = verified(pairs, sets, t)
     links = written(links.unionByName(family_links(family, sets, t)) if large else links, "joins")
     dropped(docs.sparkSession, found, pairs, sets, family)

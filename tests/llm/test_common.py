@@ -38,6 +38,18 @@ def test_dropped_and_bucketed(spark):
     assert not there(table)
 
 
+def test_a_sieve_misses_nothing(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr("id", "id % 7 as h")
+    wanted = rows.where("id % 50 = 3")
+    out = common.sieved(rows, wanted, "id", "h")
+    assert out.columns == ["id", "h", "hit"] and out.count() == 5000
+    hits = {r.id for r in out.where("hit").collect()}
+    assert {i for i in range(5000) if i % 50 == 3} <= hits and len(hits) < 110
+    assert common.sieved(rows, wanted.where("false"), "id", "h").where("hit").count() == 0
+    monkeypatch.setattr(common, "SIEVE", 64)  # full: lets all through
+    assert common.sieved(rows, rows, "id", "h").where("hit").count() == 5000
+
+
 def test_the_setting_comes_back(spark):
     assert spark.conf.get(common.CLEANUP, None) in (None, "false")
     before = spark.conf.get(common.CLEANUP, None)
