@@ -11,7 +11,8 @@ H + 1 together, some segment of a linked pair must match.  Which kind a band get
 written against candidates expected, from the band's number of sets.  Exact segments that are empty in a set are left out:
 bands get spare ones, and as many as the sets that they really hold need for that (counted over all of them).
 
-Signatures are dealt to buckets in packed form.  Sets that share one become candidate pairs, unless more than ``few``
+Signatures are dealt to buckets in packed form, in as many passes over the texts as keep a pass's exchange below a number of
+bytes for each shingle.  Sets that share one become candidate pairs, unless more than ``few``
 do.  Such a frequent signature is left out as long as the slack covers a set's frequent ones (a linked pair then still
 meets in another).  What remains are families of near copies, whose sets have more of them.  A family's sets are first
 held against a few pivots, those in most frequent signatures; whoever is linked to one is joined to it.  Outliers, the
@@ -31,7 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import ceil, exp, log
 
 import numpy as np
@@ -140,6 +141,11 @@ def enough(s: np.ndarray, t: Threshold) -> int:
     return found
 
 
+#: The chance that strangers agree in an element of a segment, as allocation takes it.  Exact segments of some 3 elements
+#: everywhere gave no more candidates than one-deletion ones in half of the bands, which write 3 signatures for one.
+AGREE = 0.01
+
+
 def allocate(t: Threshold, band: int, sets: int, steps: int) -> Allocation | None:
     """The cheapest segments of a band with so many sets, of which ``steps`` are enough; None: equal sets only.
 
@@ -155,11 +161,11 @@ def allocate(t: Threshold, band: int, sets: int, steps: int) -> Allocation | Non
     frequent = max(1, need // 16)
     deletion = (need + 2 + 2 * frequent) // 2
     length = size / deletion
-    best = cost(deletion, 1 + length, (1 + length) * 0.2 ** max(0.0, length - 1) + exp(-length)), Allocation(0, deletion, frequent)
+    best = cost(deletion, 1 + length, (1 + length) * AGREE ** max(0.0, length - 1) + exp(-length)), Allocation(0, deletion, frequent)
     for step in range(len(SPARE)):
         if steps >> step & 1:
             m, frequent = exact_segments(t, band, step)
-            best = min(best, (cost(m, 1, 0.2 ** (size / m)), Allocation(m, 0, frequent)), key=lambda x: x[0])
+            best = min(best, (cost(m, 1, AGREE ** (size / m)), Allocation(m, 0, frequent)), key=lambda x: x[0])
             break
     return best[1]
 
@@ -211,8 +217,15 @@ def text_hash(text: str) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int, few: int) -> DataFrame:
-    """Packed signatures by bucket.  A set that its task has met already is left out.
+#: Bytes of a dealt signature at most: its own 6, 2 or 4 for its set's place, 12 for that set's key and size.
+ENTRY = 20
+
+
+def dealt_signatures(
+    docs: DataFrame, text: str, plan: dict[int, Allocation | None], t: Threshold, width: int, buckets: int, few: int,
+    turn: int = 0, passes: int = 1,
+) -> DataFrame:
+    """Packed signatures by bucket, of all passes' those of one.  A set that its task has met already is left out.
 
     Of a signature that more than ``few`` + 1 sets of a batch share the rest is known to be frequent and goes to buckets
     of its own (below 0), dealt by batch: no bucket gets more than a few entries of a signature from a batch."""
@@ -228,6 +241,8 @@ def dealt_signatures(docs: DataFrame, text: str, plan: dict[int, Allocation | No
                 met.add(key)
                 k = t.band(len(s))
                 own = [signatures(s, i, a) for i in (k, k + 1) if (a := plan.get(i))]
+                if passes > 1:
+                    own = [x[(x >> U(8)) % U(passes) == turn] for x in own]
                 if own:
                     sigs += own
                     owner.append(sum(map(len, own)))
@@ -552,9 +567,10 @@ def one_of_each_group(
 
 def links_of(
     docs: DataFrame, id_col: str, text: str, t: Threshold, width: int, few: int = 16, per_bucket: int = 1_500_000,
+    per_shingle: int = 9, room: int = 1 << 26,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, reps, links): the rows with their keys, an id for each key, and links between keys, enough to join all that
-    are linked."""
+    are linked.  A pass's signatures take ``per_shingle`` bytes a shingle, or ``room`` bytes in all, at most."""
     sweep(docs)
     nodes = written(keyed(docs, id_col, text, t, width), "nodes")
     known = nodes.where("id is not null and n > 0")
@@ -566,8 +582,15 @@ def links_of(
     # a set that is the smaller of a pair in the band above leaves out its empty segments, too: the larger one's count
     plan = {k: allocate(t, k, bands.get(k, (0, 0))[0] + bands.get(k - 1, (0, 0))[0], bands.get(k, (0, 0))[1]) if k in bands else None for b in bands for k in (b, b + 1)}
     entries = sum(n * sum(a.exact + a.deletion + (t.top(k) if a.deletion else 0) for k in (b, b + 1) if (a := plan[k])) for b, (n, _) in bands.items())
-    buckets = int(max(partitions(docs), entries // per_bucket))
-    found = written(candidates(dealt_signatures(docs.where(F.col(id_col).isNotNull()), text, plan, t, width, buckets, few), t, few), "candidates")
+    shingles = reps.agg(F.sum("n")).first()[0] or 0
+    passes = max(1, ceil(entries * ENTRY / max(room, per_shingle * shingles)))
+    buckets = int(max(ceil(partitions(docs) / passes), entries // (passes * per_bucket)))
+    texts = docs.where(F.col(id_col).isNotNull())
+    parts = [
+        written(candidates(dealt_signatures(texts, text, plan, t, width, buckets, few, turn, passes), t, few), "candidates")
+        for turn in range(passes)
+    ]
+    found = reduce(DataFrame.unionByName, parts)
     pairs = written(found.where("b is not null").select("a", "b").distinct(), "pairs")
     groups = found.where("b is null").select("g", "band", "members")
     large = not groups.isEmpty()
@@ -577,5 +600,5 @@ def links_of(
     sets = sets_of(docs, written(wanted, "wanted"), id_col, text, width)
     links = verified(pairs, sets, t)
     links = written(links.unionByName(family_links(family, sets, t)) if large else links, "joins")
-    dropped(docs.sparkSession, found, pairs, sets, family)
+    dropped(docs.sparkSession, *parts, pairs, sets, family)
     return nodes, reps, links

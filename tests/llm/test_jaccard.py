@@ -155,3 +155,26 @@ def test_components(spark):
     out = {r.id: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert all(out[i] == 0 for i in range(41)) and out[90] == out[100] == 90
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("num", [80, 85])
+def test_more_sets_need_no_more_signatures(num):
+    t = jaccard.Threshold(num, 100)
+    for size in (40, 100, 300, 1000, 5000):
+        few, many = (jaccard.allocate(t, t.band(size), sets, 15) for sets in (100, 300_000))
+        assert many == few and many.exact and not many.deletion
+
+
+def test_passes_deal_each_signature_once(spark):
+    rows = family_rows(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    t = jaccard.Threshold()
+    plan = {k: jaccard.allocate(t, k, 100, 15) for k in range(60)}
+
+    def dealt(*turn):
+        return sum(len(r.sig) // 6 for r in jaccard.dealt_signatures(df.coalesce(1), "text", plan, t, 4, 3, 16, *turn).collect())
+
+    parts = [dealt(i, 4) for i in range(4)]
+    assert sum(parts) == dealt() and max(parts) < sum(parts) / 3
+    out = {r.doc_id: (r.n, r.component) for r in jaccard.linked(df, few=3, per_shingle=9, room=1).collect()}
+    assert out == brute(rows)
