@@ -462,8 +462,8 @@ def family_links(
 
 
 def pivot_links(sets: DataFrame, labels: DataFrame | None, t: Threshold, pivots: int) -> DataFrame:
-    """Links of a family's sets with its pivots: of each of some parts (by hash) of the family, or of its outliers, the
-    set in most frequent signatures."""
+    """Links that join a family's sets as all links with its pivots do: of each of some parts (by hash) of the family, or of
+    its outliers, the set in most frequent signatures."""
     part = F.pmod(F.xxhash64("key", F.lit(0 if labels is None else 1)), F.lit(pivots))
     from_ = sets if labels is None else sets.join(labels.where("out"), "key", "left_semi")
     chosen = from_.groupBy("family", part.alias("part")).agg(F.max_by("key", F.struct("c", "key")).alias("key"))
@@ -477,8 +477,11 @@ def pivot_links(sets: DataFrame, labels: DataFrame | None, t: Threshold, pivots:
         both = F.size(F.array_intersect(p["s"], F.col("s")))
         return t.den * both >= t.num * (F.size(p["s"]) + F.col("n") - both)
 
-    met = sets.join(few, ["family", "own"]).select("key", F.transform(F.filter("pivots", near), lambda p: p["key"]).alias("b"))
-    return met.select(F.col("key").alias("a"), F.explode("b").alias("b")).where("a <> b")
+    met = sets.join(few, ["family", "own"]).select("key", F.array_sort(F.transform(F.filter("pivots", near), lambda p: p["key"])).alias("b"))
+    # a set is linked to the least of its pivots; one set of all with the same pivots joins these
+    met = written(met.where("size(b) > 0"), "met")
+    joins = met.where("size(b) > 1").groupBy("b").agg(F.min("key").alias("a")).select("a", F.explode("b").alias("b"))
+    return met.select(F.col("key").alias("a"), F.col("b")[0].alias("b")).unionByName(joins).where("a <> b")
 
 
 def outlier_links(sets: DataFrame, t: Threshold, block: int, elements: int) -> DataFrame:

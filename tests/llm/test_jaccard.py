@@ -178,3 +178,13 @@ def test_passes_deal_each_signature_once(spark):
     assert sum(parts) == dealt() and max(parts) < sum(parts) / 3
     out = {r.doc_id: (r.n, r.component) for r in jaccard.linked(df, few=3, per_shingle=9, room=1).collect()}
     assert out == brute(rows)
+
+
+def test_a_family_is_joined_by_about_a_link_for_each_set(spark):
+    rng = np.random.default_rng(5)
+    made = [np.unique(x).astype(np.int64) for x in set_rows(rng, "copies", 120)]
+    sets = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(made)], "key long, s array<long>")
+    family = spark.createDataFrame([(k, 1, k % 5, len(x)) for k, x in enumerate(made)], "key long, family long, c long, n long")
+    links = [tuple(r) for r in jaccard.family_links(family, sets, jaccard.Threshold(), block=30).collect()]
+    assert len(links) <= 2 * len(made)
+    assert {r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == {0}
