@@ -311,10 +311,14 @@ def required_match(spark, d):
     return listing.require(listing.list_files(spark, f"{root}/*.txt"), "*.txt").agg(F.count("*").alias("n"))
 
 
+def dealt(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    return listing.rebalance(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def wave_of_labels(spark: SparkSession, d: str) -> str:
     root = scratch(spark)
     rows = table(spark, d, "labels").select(F.format_string(root + "/%d.txt", "doc_id").alias("out_path"), F.lit(b"x").alias("content"))
-    sinks.write_files(rows).write.format("noop").mode("overwrite").save()
+    sinks.write_files(dealt(spark, rows)).write.format("noop").mode("overwrite").save()
     return root
 
 
@@ -326,7 +330,7 @@ def stream_new(spark, d):
     done = table(spark, d, "labels").where("toxic <> 0").select(
         F.format_string(target + "/%d.npy", "doc_id").alias("out_path"), F.lit(b"x").alias("content"),
     )
-    sinks.write_files(done.unionByName(spark.createDataFrame([(f"{target}/none.npy", b"x")], done.schema))).write.format("noop").mode("overwrite").save()
+    sinks.write_files(dealt(spark, done.unionByName(spark.createDataFrame([(f"{target}/none.npy", b"x")], done.schema)))).write.format("noop").mode("overwrite").save()
     out = scratch(spark)
-    process_new(spark, f"{source}/*.txt", f"{target}/**", ".txt", [".npy"], lambda df: df.select("path").write.mode("append").parquet(out), f"{out}-state", source_dir=source, target_dir=target).awaitTermination()
+    process_new(spark, f"{source}/*.txt", f"{target}/**", ".txt", [".npy"], lambda df: df.select("path").write.mode("append").parquet(out), f"{out}-state", source_dir=source, target_dir=target, content=False).awaitTermination()
     return spark.read.schema("path string").parquet(out).select(paths.file_stem(F.col("path")).cast("bigint").alias("doc_id"))

@@ -12,21 +12,42 @@ from ..operators.incremental import skip_completed
 from ..operators.listing import list_files
 
 
-def file_stream(spark: SparkSession, glob: str, per_batch: int = 1000) -> DataFrame:
-    """New files below a glob, as they come."""
+#: For files of which only names are taken: what a task counts for one (Spark's 4 MB, meant for files that are opened, make a
+#: task of every few), and the tasks in which a micro-batch's files are looked up (by default one for each file, up to 10,000).
+NAMES = {"spark.sql.files.openCostInBytes": str(1 << 14), "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64"}
+
+
+def file_stream(spark: SparkSession, glob: str, per_batch: int | None = None, content: bool = True) -> DataFrame:
+    """New files below a glob, as they come; 1000 in a micro-batch, without contents 100,000, unless ``per_batch`` says."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_batch).load(literal_root(glob))
+    most = per_batch or (1000 if content else 100_000)
+    files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", most).load(literal_root(glob))
     files = files.withColumn("path", without_scheme(F.col("path")))
-    return files.where(F.col("path").rlike(glob_regex(glob)))
+    files = files.where(F.col("path").rlike(glob_regex(glob)))
+    return files if content else files.drop("content")
 
 
 def process_new(
     spark: SparkSession, glob: str, target_glob: str, old_suffix: str, new_suffixes: list[str],
-    process: Callable[[DataFrame], None], checkpoint: str, **options,
+    process: Callable[[DataFrame], None], checkpoint: str, per_batch: int | None = None, content: bool = True, **options,
 ) -> StreamingQuery:
-    """Run ``process`` on each micro-batch's files that still miss a target; ends when no new file is left."""
+    """Run ``process`` on each micro-batch's files that still miss a target; ends when no new file is left.
 
-    def batch(files: DataFrame, _: int) -> None:
-        process(skip_completed(files, list_files(spark, target_glob), old_suffix, new_suffixes, **options))
+    Each micro-batch lists all targets.  Without ``content`` no source file is opened and micro-batches are large, so the
+    targets of many files are listed a few times only."""
 
-    return file_stream(spark, glob).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def batch(files: DataFrame, _: int) -> None:
+        process(skip_completed(files, list_files(files.sparkSession, target_glob), old_suffix, new_suffixes, **options))
+
+    stream = file_stream(spark, glob, per_batch, content).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if content:
+        return stream.start()
+    # the query has a session of its own, with the settings of its start
+    before = {k: spark.conf.get(k, None) for k in NAMES}
+    try:
+        for k, v in NAMES.items():
+            spark.conf.set(k, v)
+        return stream.start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

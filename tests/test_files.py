@@ -161,6 +161,22 @@ def test_stream(spark, tmp_path):
     assert sorted(seen) == ["0.txt", "2.txt", "7.txt"]
 
 
+def test_a_stream_of_names_takes_few_batches(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "out").mkdir()
+    for i in range(1100):
+        (tmp_path / f"in/{i}.txt").write_text("x")
+    (tmp_path / "out/1.npy").write_text("y")
+    before, seen = spark.conf.get("spark.sql.files.openCostInBytes"), []
+    process_new(
+        spark, f"{tmp_path}/in/*.txt", f"{tmp_path}/out/**", ".txt", [".npy"], lambda df: seen.append((df.columns, {r.path.rpartition("/")[2] for r in df.collect()})),
+        f"{tmp_path}/state", source_dir=f"{tmp_path}/in", target_dir=f"{tmp_path}/out", content=False,
+    ).awaitTermination(60)
+    assert len(seen) == 1 and seen[0][0] == ["path", "modificationTime", "length"]
+    assert seen[0][1] == {f"{i}.txt" for i in range(1100) if i != 1}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
 def exchanges(df):
     """The columns of each shuffle of the plan."""
     plan = df._jdf.queryExecution().executedPlan().toString()
