@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +19,15 @@ from ..operators.listing import list_files
 NAMES = {"spark.sql.files.openCostInBytes": str(1 << 14), "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64"}
 
 
+def names_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one and NAMES: a file source looks files up with those of the session it was made in."""
+    own = spark.newSession()
+    for k, v in {**dict(spark.conf.getAll), **NAMES}.items():
+        with suppress(PySparkException):  # those of the whole application are the same here and can't be set
+            own.conf.set(k, v)
+    return own
+
+
 def file_stream(spark: SparkSession, glob: str, per_batch: int | None = None, content: bool = True) -> DataFrame:
     """New files below a glob, as they come; 1000 in a micro-batch, without contents 100,000, unless ``per_batch`` says."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
@@ -39,15 +50,5 @@ def process_new(
     def batch(files: DataFrame, _: int) -> None:
         process(skip_completed(files, list_files(files.sparkSession, target_glob), old_suffix, new_suffixes, **options))
 
-    stream = file_stream(spark, glob, per_batch, content).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if content:
-        return stream.start()
-    # the query has a session of its own, with the settings of its start
-    before = {k: spark.conf.get(k, None) for k in NAMES}
-    try:
-        for k, v in NAMES.items():
-            spark.conf.set(k, v)
-        return stream.start()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    stream = file_stream(spark if content else names_session(spark), glob, per_batch, content).writeStream.foreachBatch(batch)
+    return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tesselake.operators import infer, listing, signal
 from tesselake.plans import jobs
 from tesselake.sources import codecs, files, sinks
-from tesselake.streaming.incremental import process_new
+from tesselake.streaming.incremental import names_session, process_new
 
 
 def sine(rate=8000, seconds=0.5, channels=2, hz=440):
@@ -167,14 +167,17 @@ def test_a_stream_of_names_takes_few_batches(spark, tmp_path):
     for i in range(1100):
         (tmp_path / f"in/{i}.txt").write_text("x")
     (tmp_path / "out/1.npy").write_text("y")
-    before, seen = spark.conf.get("spark.sql.files.openCostInBytes"), []
+    lookup = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, seen = spark.conf.get(lookup), []
+    own = names_session(spark)
+    assert own.conf.get(lookup) == "64" and own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
     process_new(
         spark, f"{tmp_path}/in/*.txt", f"{tmp_path}/out/**", ".txt", [".npy"], lambda df: seen.append((df.columns, {r.path.rpartition("/")[2] for r in df.collect()})),
         f"{tmp_path}/state", source_dir=f"{tmp_path}/in", target_dir=f"{tmp_path}/out", content=False,
     ).awaitTermination(60)
     assert len(seen) == 1 and seen[0][0] == ["path", "modificationTime", "length"]
     assert seen[0][1] == {f"{i}.txt" for i in range(1100) if i != 1}
-    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert spark.conf.get(lookup) == before
 
 
 def exchanges(df):
